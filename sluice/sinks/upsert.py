@@ -181,19 +181,20 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     return UpsertResult(path, run_id, list(range(num_buckets)), dict(obs.get), quarantine)
 
 
-def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
-           precombine: Sequence[str | Column], run_id: str | None = None,
-           tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None) -> UpsertResult:
-    """K4: apply ``batch`` to the bucketed table at ``path``.
+@dataclass
+class UpsertPlan:
+    merged: DataFrame | None
+    touched_buckets: list[int]
+    quarantine: DataFrame
 
-    Creates the table when it does not exist (``num_buckets`` required then).
-    """
-    run_id = run_id or uuid.uuid4().hex[:16]
-    if not table_exists(spark, path):
-        if num_buckets is None:
-            raise ValueError(f"no table at {path}; num_buckets is required to create it")
-        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)
 
+def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
+                precombine: Sequence[str | Column], run_id: str,
+                tiebreak: Sequence[str | Column] = ()) -> UpsertPlan:
+    """Build (without writing) the merged rows of the touched buckets.
+
+    The only job run here collects the touched bucket ids (at most N ints).
+    """
     n = read_num_buckets(spark, path)
     target = snapshot(spark, path)
     batch = _check_schema(batch, target, keys)
@@ -206,7 +207,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     # Bounded by n: the bucket ids, never the rows.
     touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
     if not touched:
-        return UpsertResult(path, run_id, [], {"rows_written": 0}, quarantine)
+        return UpsertPlan(None, [], quarantine)
 
     incoming = with_meta(latest, keys, run_id).withColumn(SRC_COL, F.lit(1))
     existing = target.filter(F.col(BUCKET_COL).isin(touched)).withColumn(SRC_COL, F.lit(0))
@@ -221,10 +222,29 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
               .withColumn("__rn", F.row_number().over(w))
               .filter(F.col("__rn") == 1)
               .drop("__rn", SRC_COL))
+    return UpsertPlan(merged, touched, quarantine)
+
+
+def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
+           precombine: Sequence[str | Column], run_id: str | None = None,
+           tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None) -> UpsertResult:
+    """K4: apply ``batch`` to the bucketed table at ``path``.
+
+    Creates the table when it does not exist (``num_buckets`` required then).
+    """
+    run_id = run_id or uuid.uuid4().hex[:16]
+    if not table_exists(spark, path):
+        if num_buckets is None:
+            raise ValueError(f"no table at {path}; num_buckets is required to create it")
+        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)
+
+    plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak)
+    if plan.merged is None:
+        return UpsertResult(path, run_id, [], {"rows_written": 0}, plan.quarantine)
     obs = Observation("upsert")
-    merged = merged.observe(
+    merged = plan.merged.observe(
         obs, F.count(F.lit(1)).alias("rows_written"),
         F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
-    return UpsertResult(path, run_id, touched, dict(obs.get), quarantine)
+    return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine)

@@ -1,0 +1,129 @@
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sinks.upsert import (BUCKET_COL, RECORD_KEY, merge_latest, plan_upsert, snapshot,
+                                 upsert)
+
+SCHEMA = "k1 int, k2 string, ts int, v string"
+
+
+def _df(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _state(spark, path):
+    return sorted((r.k1, r.k2, r.ts, r.v) for r in snapshot(spark, path).collect())
+
+
+def _files(path):
+    out = {}
+    for f in glob.glob(f"{path}/{BUCKET_COL}=*/*.parquet"):
+        st = os.stat(f)
+        out[f] = (st.st_size, st.st_mtime_ns)
+    return out
+
+
+BASE = [(i, f"x{i % 3}", 10, f"base{i}") for i in range(40)]
+
+
+def test_create_then_upsert_semantics(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], run_id="r1", num_buckets=8)
+    batch = _df(spark, [
+        (1, "x1", 11, "newer"),        # newer precombine: replaces
+        (2, "x2", 9, "older"),         # older: ignored
+        (3, "x0", 10, "equal"),        # equal: batch wins
+        (4, "x1", None, "nullts"),     # NULL precombine sorts lowest: ignored
+        (100, "new", 1, "insert"),     # new key: inserted
+        (5, "x2", 12, "dup-a"),        # two rows of one key in one batch
+        (5, "x2", 13, "dup-b"),
+        (None, "x", 99, "nullkey"),    # NULL key: quarantined
+    ])
+    res = upsert(spark, batch, path, ["k1", "k2"], ["ts"], run_id="r2")
+    got = {(r[0], r[1]): r[3] for r in _state(spark, path)}
+    assert got[(1, "x1")] == "newer"
+    assert got[(2, "x2")] == "base2"
+    assert got[(3, "x0")] == "equal"
+    assert got[(4, "x1")] == "base4"
+    assert got[(100, "new")] == "insert"
+    assert got[(5, "x2")] == "dup-b"
+    assert len(got) == 41  # |keys(base) U keys(batch)|, NULL key excluded
+    assert res.quarantine.count() == 1
+    rk = snapshot(spark, path).filter("k1 = 100").first()[RECORD_KEY]
+    assert rk == "k1:100,k2:new"
+
+
+def test_reapply_is_idempotent_and_order_free(spark, tmp_dir):
+    b1 = _df(spark, [(i, f"x{i % 3}", 20 + i % 2, "b1") for i in range(0, 40, 2)])
+    b2 = _df(spark, [(i, f"x{i % 3}", 21, "b2") for i in range(0, 40, 3)])
+    p1, p2 = f"{tmp_dir}/a", f"{tmp_dir}/b"
+    for path, order in ((p1, (b1, b2)), (p2, (b2, b1))):
+        upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts", "v"], num_buckets=4)
+        for b in order:
+            upsert(spark, b, path, ["k1", "k2"], ["ts", "v"])
+    assert _state(spark, p1) == _state(spark, p2)
+    before = _state(spark, p1)
+    upsert(spark, b2, p1, ["k1", "k2"], ["ts", "v"])
+    assert _state(spark, p1) == before
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
+    before = _files(path)
+    res = upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"])
+    after = _files(path)
+    assert len(res.touched_buckets) == 1
+    touched = f"{BUCKET_COL}={res.touched_buckets[0]}/"
+    unchanged = {f: v for f, v in before.items() if touched not in f}
+    assert unchanged and all(after.get(f) == v for f, v in unchanged.items())
+    assert all(touched in f for f in set(after) - set(before))
+
+
+def test_plan_reads_only_touched_buckets_and_shuffles_once_by_bucket(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
+    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9")
+    plan = p.merged._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({BUCKET_COL}" in plan
+    assert "REPARTITION_BY_COL" in plan
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_schema_mismatch_fails_before_write(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    before = _files(path)
+    bad = spark.createDataFrame([(1, "x1", 11, "v", 3)], SCHEMA + ", extra int")
+    with pytest.raises(ValueError, match="extra"):
+        upsert(spark, bad, path, ["k1", "k2"], ["ts"])
+    assert _files(path) == before
+
+
+def test_key_types_cast_to_target(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=8)
+    batch = spark.createDataFrame([(1, "x1", 99, "via-long")], "k1 long, k2 string, ts int, v string")
+    upsert(spark, batch, path, ["k1", "k2"], ["ts"])
+    got = snapshot(spark, path).filter("k1 = 1").collect()
+    assert len(got) == 1 and got[0].v == "via-long"
+
+
+def test_empty_batch_is_noop(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    res = upsert(spark, _df(spark, []), path, ["k1", "k2"], ["ts"])
+    assert res.touched_buckets == [] and len(_state(spark, path)) == 40
+
+
+def test_merge_latest_in_memory(spark):
+    base = _df(spark, BASE)
+    batch = _df(spark, [(1, "x1", 10, "tie"), (200, "z", 1, "new")])
+    out = merge_latest(base, batch, ["k1", "k2"], ["ts"])
+    got = {(r.k1, r.k2): r.v for r in out.collect()}
+    assert got[(1, "x1")] == "tie" and got[(200, "z")] == "new" and len(got) == 41
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.filter(F.col("k1").isNull()).count() == 0
