@@ -43,11 +43,11 @@ def _resolve(df: DataFrame, cols: Sequence[str | Column]) -> list[Column]:
 def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  descending: bool) -> list[Column]:
     named = [c for c in order if isinstance(c, str)]
-    ties = _orderable(df, list(keys) + named)
-    cols = _resolve(df, order) + [F.col(c) for c in ties]
+    ties = [F.col(c) for c in _orderable(df, list(keys) + named)]
     if descending:
-        return [c.desc_nulls_last() for c in cols]
-    return [c.asc_nulls_last() for c in cols]
+        return [c.desc_nulls_last() for c in _resolve(df, order) + ties]
+    # Tie-break columns treat NULL as the lowest value (as max/min_by do).
+    return [c.asc_nulls_last() for c in _resolve(df, order)] + [c.asc_nulls_first() for c in ties]
 
 
 def _top1(df: DataFrame, keys: Sequence[str | Column], order_cols: list[Column]) -> DataFrame:
@@ -85,14 +85,19 @@ def _by_agg(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | C
     named_keys = [k for k in keys if isinstance(k, str)]
     named_order = [c for c in order if isinstance(c, str)]
     ties = _orderable(df, named_keys + named_order)
-    ord_struct = F.struct(*_resolve(df, order), *[F.col(c) for c in ties])
+    tie_cols = [F.col(c) for c in ties]
     row = F.struct(*[F.col(c) for c in df.columns])
     pick = F.max_by if pick_max else F.min_by
-    if not pick_max:
-        # min over a struct puts NULL first; flip NULL to sort after values.
-        ord_struct = F.struct(
-            *[F.struct(x.isNull(), x) for x in _resolve(df, order)],
-            *[F.struct(F.col(c).isNull(), F.col(c)) for c in ties])
+    if pick_max:
+        # Struct ordering puts NULL fields lowest: max skips them, as wanted.
+        ord_struct = F.struct(*_resolve(df, order), *tie_cols)
+    else:
+        # min would pick a NULL order value first; a flat (is_null, value)
+        # pair per order column sorts NULL after values (tie-break columns
+        # keep NULL lowest). Flat, not nested: nested structs compare
+        # several times slower.
+        ord_struct = F.struct(*[e for x in _resolve(df, order) for e in (x.isNull(), x)],
+                              *tie_cols)
     key_cols = [(F.col(k) if isinstance(k, str) else k).alias(f"__k{i}") for i, k in enumerate(keys)]
     return (df.groupBy(*key_cols).agg(pick(row, ord_struct).alias("__row"))
             .select("__row.*"))

@@ -14,7 +14,7 @@ from ..functions import names as N
 from ..functions.codes import lower_or_default, map_code, refresh_label
 from ..functions.text import py_strip, split_strip
 from ..operators import quality as Q
-from ..operators.dedup import first_per_key
+from ..operators.dedup import first_per_key, latest_per_key
 from ..operators.explode import explode_list, per_row_list
 from ..operators.lookup import lookup, lookup_misses
 from ..operators.outcomes import run_summary, with_outcome
@@ -538,3 +538,57 @@ SELECT status, error_class, count(*) AS items FROM items GROUP BY status, error_
 """)
 def control_flow(spark: SparkSession, sf: str) -> DataFrame:
     return run_summary(control_items(spark, sf))
+
+
+@query("latest_lineitem", ("A3",), sql="""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                           ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC,
+                                    l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+                                    l_discount DESC, l_tax DESC, l_returnflag DESC,
+                                    l_linestatus DESC) = 1
+""")
+def latest_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 on a near-unique composite key over the whole fact table."""
+    li = table(spark, sf, "lineitem")
+    return latest_per_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@query("first_per_supplier", ("A1",), sql="""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_suppkey
+                           ORDER BY l_shipdate NULLS LAST, l_orderkey, l_partkey,
+                                    l_linenumber, l_quantity, l_extendedprice, l_discount,
+                                    l_tax, l_returnflag, l_linestatus) = 1
+""")
+def first_per_supplier(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 on few keys (one per supplier): aggregate form, partial per task."""
+    li = table(spark, sf, "lineitem")
+    return first_per_key(li, ["l_suppkey"], ["l_shipdate"], strategy="agg")
+
+
+@query("quality_counts", ("A2", "V4"), sql=_ORDER_FINDINGS_SQL + """
+SELECT count(*) AS "rows",
+       count(*) FILTER (WHERE o_orderkey IN (SELECT row_id FROM f)) AS rows_bad,
+       count(*) FILTER (WHERE o_orderstatus = 'P') AS pending
+FROM orders
+""")
+def quality_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Global counts in one pass: rows seen, rows with any finding, pending."""
+    from ..operators.outcomes import counts
+    o = Q.flag(table(spark, sf, "orders"), ORDER_RULES)
+    return counts(o, rows_bad=F.size(Q.FINDINGS) > 0, pending=F.col("o_orderstatus") == "P")
+
+
+@query("sorted_listing", ("O1", "P5"), sql="""
+SELECT 'INTLDLDAT-SA' || c_mktsegment || '-INC-DL_CUSTOMERS-' || c_mktsegment || '_' || c_name
+         AS unit_name
+FROM customer ORDER BY unit_name
+""")
+def sorted_listing_q(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: all unit names in ascending lexical order (range-partitioned sort)."""
+    from ..operators.topk import sorted_listing
+    c = table(spark, sf, "customer")
+    names = c.select(N.unit_name("c_mktsegment", F.lit("INC"), F.lit("dl_customers"), "c_name")
+                     .alias("unit_name"))
+    return sorted_listing(names, ["unit_name"])

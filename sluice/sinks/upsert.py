@@ -200,15 +200,18 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     batch = _check_schema(batch, target, keys)
     clean, quarantine = split_null_keys(batch, keys)
 
+    # Bounded by n: the bucket ids, never the rows. Taken from the raw batch
+    # (dedup does not change the key set): a hash aggregate of ints with
+    # map-side combine, not a second run of the batch's window shuffle.
+    touched = sorted(r[0] for r in
+                     clean.select(bucket_of(keys, n).alias(BUCKET_COL)).distinct().collect())
+    if not touched:
+        return UpsertPlan(None, [], quarantine)
+
     # Newest row per key inside the batch (pre-reduced before the shuffle).
     latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
     latest = latest.withColumn(BUCKET_COL, bucket_of(keys, n))
 
-    # Bounded by n: the bucket ids, never the rows.
-    touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
-    if not touched:
-        return UpsertPlan(None, [], quarantine)
-
     incoming = with_meta(latest, keys, run_id).withColumn(SRC_COL, F.lit(1))
     existing = target.filter(F.col(BUCKET_COL).isin(touched)).withColumn(SRC_COL, F.lit(0))
     both = existing.unionByName(incoming)
