@@ -48,35 +48,54 @@ def dedup_mapping(mapping: DataFrame, key: str, order: Sequence[str | Column],
     return out if keep is None else out.select(*keep)
 
 
-def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-           order: Sequence[str | Column], values: Sequence[str],
+def _keys(k: str | Sequence[str]) -> list[str]:
+    return [k] if isinstance(k, str) else list(k)
+
+
+def lookup(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
+           right_key: str | Sequence[str], order: Sequence[str | Column], values: Sequence[str],
            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, hit_col: str | None = None) -> DataFrame:
-    """Left join to the first matching right row (case-sensitive key).
+    """Left join to the first matching right row (case-sensitive key,
+    single or composite).
 
     ``right`` is reduced to one row per key first (A1), so the join never
     multiplies left rows.
     """
-    r = first_per_key(right.filter(F.col(right_key).isNotNull()), [right_key], order)
-    cols = [F.col(right_key).alias("__lk")] + [F.col(v) for v in values]
+    lks, rks = _keys(left_key), _keys(right_key)
+    present = F.lit(True)
+    for k in rks:
+        present = present & F.col(k).isNotNull()
+    r = first_per_key(right.filter(present), rks, order)
+    cols = [F.col(k).alias(f"__lk{i}") for i, k in enumerate(rks)] + [F.col(v) for v in values]
     if hit_col:
         cols.append(F.lit(True).alias(hit_col))
     r = r.select(*cols)
     # Bound checked on the raw side (a limited scan, no shuffle): dedup only shrinks it.
     if _small(right, broadcast_rows):
         r = F.broadcast(r)
-    out = left.join(r, left[left_key] == r["__lk"], "left").drop("__lk")
+    cond = None
+    for i, k in enumerate(lks):
+        c = left[k] == r[f"__lk{i}"]
+        cond = c if cond is None else cond & c
+    out = left.join(r, cond, "left").drop(*[f"__lk{i}" for i in range(len(rks))])
     if hit_col:
         out = out.withColumn(hit_col, F.coalesce(F.col(hit_col), F.lit(False)))
     return out
 
 
-def lookup_misses(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+def lookup_misses(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
+                  right_key: str | Sequence[str],
                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Left rows without a match (anti join on the distinct right keys)."""
-    keys = right.select(F.col(right_key).alias("__rk")).filter(F.col("__rk").isNotNull()).distinct()
+    lks, rks = _keys(left_key), _keys(right_key)
+    keys = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rks)]).dropna().distinct()
     if _small(right, broadcast_rows):
         keys = F.broadcast(keys)
-    return left.join(keys, left[left_key] == keys["__rk"], "left_anti")
+    cond = None
+    for i, k in enumerate(lks):
+        c = left[k] == keys[f"__rk{i}"]
+        cond = c if cond is None else cond & c
+    return left.join(keys, cond, "left_anti")
 
 
 def key_guard(key: Column | str) -> Column:

@@ -117,16 +117,11 @@ def storage_mapping(export: DataFrame, by_schema: bool = True,
 
 def resolve_items(items: DataFrame, mapping: DataFrame, scheme: str = "gs://") -> DataFrame:
     """J1 + J2 + C1: look every item up; misses become error outcomes."""
-    by_schema = "dlSchemaName" in mapping.columns
-    if by_schema:
-        items = items.withColumn("__mkey", F.concat(F.col("schema"), F.lit("\u0001"), F.col("table_name")))
-        mapping = mapping.select(
-            F.concat(F.col("dlSchemaName"), F.lit("\u0001"), F.col("dlTableName")).alias("__mk"),
-            "bucket_id", F.lit(0).alias("__o"))
-        j = lookup(items, mapping, "__mkey", "__mk", order=["__o"], values=["bucket_id"],
-                   hit_col="_hit").drop("__mkey")
+    m = mapping.withColumn("__o", F.lit(0))
+    if "dlSchemaName" in mapping.columns:
+        j = lookup(items, m, ["schema", "table_name"], ["dlSchemaName", "dlTableName"],
+                   order=["__o"], values=["bucket_id"], hit_col="_hit")
     else:
-        m = mapping.select("dlTableName", "bucket_id", F.lit(0).alias("__o"))
         j = lookup(items, m, "table_name", "dlTableName", order=["__o"], values=["bucket_id"],
                    hit_col="_hit")
     out = with_outcome(j, [

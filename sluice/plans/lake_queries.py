@@ -84,7 +84,7 @@ def external_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name).filter(F.col("o_orderstatus") == "O")
 
 
-@query("ingest_raw", ("S5", "K8", "K2", "P2"), sql="""
+@query("ingest_raw", ("S5", "K8", "K2"), sql="""
 SELECT o_orderkey, o_custkey, o_totalprice, 'MAK' AS banner,
        TIMESTAMP '2024-01-02 03:04:05' AS ds_load_ts
 FROM orders WHERE o_orderstatus = 'O'

@@ -306,7 +306,7 @@ WITH f AS (
 """
 
 
-@query("row_violations", ("V1", "F2", "F3", "F4", "F5", "W1"), sql=_ORDER_FINDINGS_SQL + """
+@query("row_violations", ("V1", "F2", "F3", "F4", "F5"), sql=_ORDER_FINDINGS_SQL + """
 SELECT row_id, CAST(rule_pos AS INTEGER) AS rule_pos, rule_id, "column", offending, message
 FROM f
 """)
@@ -529,7 +529,7 @@ FROM j
 """
 
 
-query("control_items", ("S5", "X1", "P3", "A1", "J1", "J2", "C1"), sql=_CONTROL_ITEMS_SQL)(control_items)
+query("control_items", ("X1", "P3", "A1", "J1", "J2", "C1", "F6"), sql=_CONTROL_ITEMS_SQL)(control_items)
 
 
 @query("control_flow", ("V3", "X1", "P3", "A1", "J1", "C1", "C2"), sql="""
@@ -592,3 +592,65 @@ def sorted_listing_q(spark: SparkSession, sf: str) -> DataFrame:
     names = c.select(N.unit_name("c_mktsegment", F.lit("INC"), F.lit("dl_customers"), "c_name")
                      .alias("unit_name"))
     return sorted_listing(names, ["unit_name"])
+
+
+# ---------------------------------------------------------------------------
+# P2 / J3 through the flow's own functions
+# ---------------------------------------------------------------------------
+
+def part_control_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A control table shaped like the real one, derived from ``part``: the
+    name's words are the banner list, the type is the table, the brand the
+    source table; sensitivity and load type follow price and type."""
+    p = table(spark, sf, "part")
+    sens = (F.when(F.col("p_retailprice") > 1500, F.lit("HS"))
+            .when(F.col("p_retailprice") > 1200, F.lit("se")).otherwise(F.lit("ns")))
+    load = F.when(F.col("p_type").isin("PROMO", "SMALL"), F.lit("FULL")).otherwise(F.lit("inc"))
+    return p.select(
+        F.col("p_brand").alias("icdsTableName"),
+        F.replace(F.col("p_name"), F.lit(" "), F.lit(",")).alias("BANNER_NAME"),
+        sens.alias("dataSensitivity"),
+        F.concat(F.lit("dl_"), F.lower("p_type")).alias("dlSchemaName"),
+        F.col("p_type").alias("dlTableName"), load.alias("tableLoadType"),
+        F.lit(None).cast("string").alias("keyPreCombine"),
+        F.lit(None).cast("string").alias("keyPrimaryKey"),
+        F.col("p_partkey").alias("row_id"))
+
+
+@query("request_rows", ("P2", "P6", "P7", "P9", "P10", "P11", "J3", "X1"), sql="""
+WITH control AS (
+  SELECT p_partkey AS row_id, replace(p_name, ' ', ',') AS banners,
+         lower(CASE WHEN p_retailprice > 1500 THEN 'HS' WHEN p_retailprice > 1200 THEN 'se'
+                    ELSE 'ns' END) AS sensitivity,
+         'dl_' || lower(p_type) AS schema, p_type AS tbl,
+         upper(CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 'FULL' ELSE 'inc' END) AS load_type
+  FROM part),
+items AS (
+  SELECT row_id, schema, tbl, sensitivity, load_type, trim(banner) AS banner, pos
+  FROM (SELECT *, unnest(string_split(banners, ',')) AS banner,
+               unnest(range(len(string_split(banners, ',')))) AS pos FROM control)),
+req AS (
+  SELECT 'hash' AS bucketNameType, schema AS databaseName,
+         lower(trim(banner)) || '_' || lower(tbl) AS tableName,
+         'SA-' || upper(banner) AS opCmpnyCd,
+         CASE WHEN lower(load_type) = 'inc' THEN 'incremental load'
+              ELSE lower(load_type) || ' load' END AS refreshMode,
+         CASE sensitivity WHEN 'se' THEN 'ns' WHEN 'ns' THEN 'ns' WHEN 'hs' THEN 'hs'
+                          ELSE 'ns' END AS sfx,
+         false AS isDevBigLake, 'DCA Logic' AS updateSoftDelete,
+         CAST(NULL AS VARCHAR) AS resourceBucketType, row_id, pos
+  FROM items)
+SELECT bucketNameType, databaseName, tableName, opCmpnyCd, refreshMode,
+       'svc-ingest-' || sfx || '@lake-' || sfx || '-dev.example' AS storage_uploader,
+       'svc-ingest-' || sfx || '@lake-' || sfx || '-dev.example' AS storage_viewer,
+       isDevBigLake, updateSoftDelete, resourceBucketType
+FROM req
+QUALIFY row_number() OVER (PARTITION BY databaseName, tableName ORDER BY row_id, pos) = 1
+""")
+def request_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One storage request per distinct (schema, table name) the control
+    table asks for; the first asking item (row, then banner order) wins."""
+    from . import flow
+    items = flow.work_items(part_control_table(spark, sf))
+    req = flow.storage_requests(items, env="dev")
+    return first_per_key(req, ["databaseName", "tableName"], ["row_id", "pos"]).drop("row_id", "pos")

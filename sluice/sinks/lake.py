@@ -46,20 +46,22 @@ def reads_path(df: DataFrame, path: str) -> bool:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-              fmt: str = "parquet") -> None:
-    """K1 / K3: replace the data at ``path`` with ``df``."""
+              fmt: str = "parquet", options: Mapping[str, str] | None = None) -> None:
+    """K1 / K3: replace the data at ``path`` with ``df`` (``fmt="csv"`` with
+    ``options={"header": "true"}`` gives a CSV table with a header)."""
     if reads_path(df, path):
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
+           options: Mapping[str, str] | None = None) -> None:
     """K2: one batched append for all rows (no read-all / rewrite-all)."""
-    w = df.write.mode("append").format(fmt)
+    w = df.write.mode("append").format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

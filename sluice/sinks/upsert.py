@@ -165,6 +165,14 @@ def _check_schema(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
                           for c in _business_columns(target)])
 
 
+def suggest_num_buckets(table_bytes: int, bucket_bytes: int = 512 << 20) -> int:
+    """A bucket count for a table of ``table_bytes``: buckets of about
+    ``bucket_bytes`` (one file each per write), rounded up to a power of two.
+    Fixed at creation; a daily batch then rewrites only the buckets it hits."""
+    n = max(1, -(-table_bytes // bucket_bytes))
+    return 1 << (n - 1).bit_length()
+
+
 def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                  precombine: Sequence[str | Column], num_buckets: int,
                  run_id: str | None = None, tiebreak: Sequence[str | Column] = ()) -> UpsertResult:
@@ -237,6 +245,10 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     """
     run_id = run_id or uuid.uuid4().hex[:16]
     if not table_exists(spark, path):
+        fs, p = _jvm_fs(spark, path)
+        if fs.exists(p) and len(fs.listStatus(p)) > 0:
+            raise ValueError(f"{path} holds files but is not a bucketed upsert table; "
+                             "refusing to overwrite it")
         if num_buckets is None:
             raise ValueError(f"no table at {path}; num_buckets is required to create it")
         return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)

@@ -127,3 +127,32 @@ def test_merge_latest_in_memory(spark):
     assert got[(1, "x1")] == "tie" and got[(200, "z")] == "new" and len(got) == 41
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     assert out.filter(F.col("k1").isNull()).count() == 0
+
+
+def test_hot_key_batch(spark, tmp_dir):
+    # One key carries a third of the batch rows; the newest must win.
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=8)
+    hot = spark.range(0, 3000).select(F.lit(1).alias("k1"), F.lit("x1").alias("k2"),
+                                      (F.col("id") + 100).cast("int").alias("ts"),
+                                      F.concat(F.lit("hot"), F.col("id").cast("string")).alias("v"))
+    cold = spark.range(1000, 7000).select(F.col("id").cast("int").alias("k1"), F.lit("c").alias("k2"),
+                                          F.lit(1).alias("ts"), F.lit("cold").alias("v"))
+    res = upsert(spark, hot.unionByName(cold), path, ["k1", "k2"], ["ts"])
+    snap = snapshot(spark, path)
+    assert snap.count() == 40 + 6000
+    assert snap.filter("k1 = 1 AND k2 = 'x1'").first().v == "hot2999"
+    assert res.metrics["rows_from_batch"] == 6001
+
+
+def test_refuses_foreign_path(spark, tmp_dir):
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp_dir}/foreign")
+    with pytest.raises(ValueError, match="not a bucketed upsert table"):
+        upsert(spark, _df(spark, BASE), f"{tmp_dir}/foreign", ["k1"], ["ts"], num_buckets=4)
+
+
+def test_suggest_num_buckets():
+    from sluice.sinks.upsert import suggest_num_buckets
+    assert suggest_num_buckets(1) == 1
+    assert suggest_num_buckets(3 << 30, 512 << 20) == 8
+    assert suggest_num_buckets(100 << 40, 512 << 20) == 1 << 18
