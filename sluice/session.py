@@ -61,6 +61,12 @@ def shared_root(spark: SparkSession) -> str:
     if not ckpt:
         ckpt = spark.sparkContext.getCheckpointDir()
     if not ckpt:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is invisible to other executors and lost
+            # with the node: refuse instead of silently using one.
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} (or {LAKE_ROOT_CONF}) to a shared folder; "
+                "no local fallback on a cluster")
         ckpt = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.sparkContext.setCheckpointDir(ckpt)
         ckpt = spark.sparkContext.getCheckpointDir() or ckpt
