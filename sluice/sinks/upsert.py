@@ -1,8 +1,10 @@
 """INC load: upsert by composite key, newest precombine value wins (K4, A3, K7).
 
 Table layout: Parquet partitioned by ``b = pmod(hash(keys), N)``, the hash
-bucket of the record key. ``N`` is fixed when the table is created and stored
-in the table folder name-independent file ``_sluice_buckets`` (one line).
+bucket of the record key. ``N``, the keys and the table schema are fixed when
+the table is created and stored in ``_sluice_table.json`` in the table folder
+(hidden from Spark's readers by the leading underscore). Reads use the stored
+schema: no footer sampling, and an empty table reads as an empty frame.
 
 One upsert run:
 
@@ -28,12 +30,14 @@ the upsert is idempotent, so re-applying the same batch repairs the table.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_per_key
 
@@ -45,7 +49,7 @@ RECORD_KEY = "_record_key"
 PARTITION_PATH = "_partition_path"
 FILE_NAME = "_file_name"
 META_COLS = (COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY, PARTITION_PATH)
-_BUCKETS_FILE = "_sluice_buckets"
+_META_FILE = "_sluice_table.json"
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
@@ -114,32 +118,46 @@ def _jvm_fs(spark: SparkSession, path: str):
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _jvm_fs(spark, path)
-    return fs.exists(p) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/" + _BUCKETS_FILE))
+    return fs.exists(p) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"))
 
 
-def read_num_buckets(spark: SparkSession, path: str) -> int:
-    # A "_" file is hidden from Spark's readers (so the Parquet scan skips
-    # it); read the single line through the file system API instead.
+def read_meta(spark: SparkSession, path: str) -> dict:
+    """The table's fixed properties: num_buckets, keys, schema (JSON)."""
     jvm = spark._jvm
     fs, _ = _jvm_fs(spark, path)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{_BUCKETS_FILE}"))
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"))
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
     try:
-        return int(reader.readLine().strip())
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
     finally:
         reader.close()
+    return json.loads("\n".join(lines))
+
+
+def read_num_buckets(spark: SparkSession, path: str) -> int:
+    return int(read_meta(spark, path)["num_buckets"])
 
 
-def _write_num_buckets(spark: SparkSession, path: str, n: int) -> None:
+def _write_meta(spark: SparkSession, path: str, n: int, keys: Sequence[str],
+                schema: StructType) -> None:
     fs, _ = _jvm_fs(spark, path)
-    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_BUCKETS_FILE}"), True)
-    out.writeBytes(f"{n}\n")
-    out.close()
+    text = json.dumps({"num_buckets": n, "keys": list(keys), "schema": schema.jsonValue()})
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"), True)
+    writer = spark._jvm.java.io.OutputStreamWriter(out, "UTF-8")
+    writer.write(text)
+    writer.close()
 
 
 def snapshot(spark: SparkSession, path: str, with_file_name: bool = False) -> DataFrame:
     """Snapshot scan of a target table (copy-on-write: the plain scan)."""
-    df = spark.read.option("basePath", path).parquet(path)
+    reader = spark.read.option("basePath", path)
+    if table_exists(spark, path):
+        reader = reader.schema(StructType.fromJson(read_meta(spark, path)["schema"]))
+    df = reader.parquet(path)
     if with_file_name:
         df = df.withColumn(FILE_NAME, F.col("_metadata.file_name"))
     return df
@@ -185,7 +203,10 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     staged = staged.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     (staged.repartition(F.col(BUCKET_COL))
      .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
-    _write_num_buckets(spark, path, num_buckets)
+    # Partition column last, as the partitioned reader returns it.
+    schema = StructType([f for f in staged.schema.fields if f.name != BUCKET_COL]
+                        + [f for f in staged.schema.fields if f.name == BUCKET_COL])
+    _write_meta(spark, path, num_buckets, keys, schema)
     return UpsertResult(path, run_id, list(range(num_buckets)), dict(obs.get), quarantine)
 
 

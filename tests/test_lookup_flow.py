@@ -109,3 +109,16 @@ def test_control_flow_validation_and_dry_run(spark, tmp_dir):
     with pytest.raises(RuntimeError):
         flow.run(spark, good, m, fail_on_item_error=True)
     assert F is not None
+
+
+def test_mapping_drops_failed_rows_when_asked(spark, tmp_dir):
+    from sluice.sources.control import read_csv_text
+    export = ("databaseName,tableName,bucket_name,error\n"
+              "s,t_one,id-bad,quota exceeded\n"
+              "s,t_one,id-good,\n")
+    m = write_text(f"{tmp_dir}/export.csv", export)
+    df = read_csv_text(spark, m)
+    first = flow.storage_mapping(df).collect()
+    assert [r.bucket_id for r in first] == ["id-bad"]
+    ok = flow.storage_mapping(df, only_created=F.col("error").isNull()).collect()
+    assert [r.bucket_id for r in ok] == ["id-good"]

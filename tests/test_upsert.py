@@ -156,3 +156,26 @@ def test_suggest_num_buckets():
     assert suggest_num_buckets(1) == 1
     assert suggest_num_buckets(3 << 30, 512 << 20) == 8
     assert suggest_num_buckets(100 << 40, 512 << 20) == 1 << 18
+
+
+def test_empty_target_then_upsert(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, []), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    assert snapshot(spark, path).count() == 0
+    upsert(spark, _df(spark, BASE[:5]), path, ["k1", "k2"], ["ts"])
+    assert len(_state(spark, path)) == 5
+
+
+def test_nine_column_composite_key(spark, tmp_dir):
+    keys = [f"c{i}" for i in range(9)]
+    schema = ", ".join(f"c{i} string" for i in range(9)) + ", ts timestamp, v int"
+    import datetime as dt
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    base = [tuple(f"{j}-{i}" for i in range(9)) + (t0, j) for j in range(20)]
+    batch = [tuple(f"{j}-{i}" for i in range(9)) + (t1, 100 + j) for j in range(10, 30)]
+    path = f"{tmp_dir}/t"
+    upsert(spark, spark.createDataFrame(base, schema), path, keys, ["ts"], num_buckets=8)
+    upsert(spark, spark.createDataFrame(batch, schema), path, keys, ["ts"])
+    got = {r.c0: r.v for r in snapshot(spark, path).collect()}
+    assert len(got) == 30
+    assert got["5-0"] == 5 and got["15-0"] == 115 and got["25-0"] == 125
