@@ -107,6 +107,7 @@ class UpsertResult:
     touched_buckets: list[int]
     metrics: dict = field(default_factory=dict)
     quarantine: DataFrame | None = None
+    strategy: str = "create"
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -210,19 +211,88 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     return UpsertResult(path, run_id, list(range(num_buckets)), dict(obs.get), quarantine)
 
 
+# Merge strategy bounds: a batch of at most this many rows is merged without
+# shuffling target data (broadcast joins on its keys); a touched bucket with
+# this many files or more is compacted by the shuffle merge instead.
+MERGE_BROADCAST_ROWS = 1_000_000
+MAX_FILES_PER_BUCKET = 16
+
+
 @dataclass
 class UpsertPlan:
     merged: DataFrame | None
     touched_buckets: list[int]
     quarantine: DataFrame
+    strategy: str = "none"
+
+
+def files_per_bucket(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, int]:
+    """Data files per bucket (from the file listing the driver holds anyway)."""
+    want = set(buckets)
+    counts = {b: 0 for b in want}
+    for f in snapshot(spark, path).inputFiles():
+        for part in f.split("/"):
+            if part.startswith(BUCKET_COL + "="):
+                b = int(part.split("=", 1)[1])
+                if b in want:
+                    counts[b] += 1
+                break
+    return counts
+
+
+def _shuffle_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                   precombine: Sequence[str | Column]) -> DataFrame:
+    """Target rows of the touched buckets and batch rows, shuffled once by
+    bucket; newer row per key kept. Rewrites each touched bucket as one file
+    (compaction)."""
+    both = existing.withColumn(SRC_COL, F.lit(0)).unionByName(incoming.withColumn(SRC_COL, F.lit(1)))
+    # Shuffle by bucket only: each bucket lands in one task, and the window's
+    # clustering (b, keys) is already satisfied, so no second exchange.
+    w = (Window.partitionBy(F.col(BUCKET_COL), *[F.col(k) for k in keys])
+         .orderBy(*[(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in precombine],
+                  F.col(SRC_COL).desc()))
+    return (both.repartition(F.col(BUCKET_COL))
+            .withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1)
+            .drop("__rn", SRC_COL))
+
+
+def _broadcast_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                     precombine: Sequence[str | Column]) -> DataFrame:
+    """Small batch: no target data is shuffled.
+
+    1. Target (keys, precombine) only, joined to the broadcast batch keys:
+       the batch rows whose target row is newer are the losers.
+    2. Winners = batch minus losers (both bounded by the batch size).
+    3. Target rows whose key a winner replaces are dropped by a broadcast
+       anti join inside the scan's own tasks; winners are unioned in.
+    Precombine tuples compare with the batch winning ties and NULL lowest,
+    exactly as the window merge orders them.
+    """
+    keys = list(keys)
+    pc = [F.col(c) if isinstance(c, str) else c for c in precombine]
+    new_side = incoming.select(*keys, F.struct(*pc, F.lit(1)).alias("__pn"))
+    old_side = existing.select(*keys, F.struct(*pc, F.lit(0)).alias("__po"))
+    losers = (old_side.join(F.broadcast(new_side), keys)
+              .filter(~(F.col("__pn") > F.col("__po"))).select(*keys))
+    winners = incoming.join(F.broadcast(losers), keys, "left_anti")
+    kept = existing.join(F.broadcast(winners.select(*keys)), keys, "left_anti")
+    return kept.unionByName(winners)
 
 
 def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                 precombine: Sequence[str | Column], run_id: str,
-                tiebreak: Sequence[str | Column] = ()) -> UpsertPlan:
+                tiebreak: Sequence[str | Column] = (), strategy: str = "auto",
+                broadcast_rows: int = MERGE_BROADCAST_ROWS,
+                max_files_per_bucket: int = MAX_FILES_PER_BUCKET) -> UpsertPlan:
     """Build (without writing) the merged rows of the touched buckets.
 
-    The only job run here collects the touched bucket ids (at most N ints).
+    ``strategy``: ``"shuffle"`` (bucket-wise window merge, compacts),
+    ``"broadcast"`` (no target shuffle; batch must be small) or ``"auto"``
+    (broadcast when the batch has at most ``broadcast_rows`` rows — a
+    checked bound — and no touched bucket has ``max_files_per_bucket`` files).
+    Jobs run here: the touched bucket ids (at most N ints) and, for
+    ``auto``, the LIMIT-bounded batch row check.
     """
     n = read_num_buckets(spark, path)
     target = snapshot(spark, path)
@@ -240,26 +310,27 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     # Newest row per key inside the batch (pre-reduced before the shuffle).
     latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
     latest = latest.withColumn(BUCKET_COL, bucket_of(keys, n))
-
-    incoming = with_meta(latest, keys, run_id).withColumn(SRC_COL, F.lit(1))
-    existing = target.filter(F.col(BUCKET_COL).isin(touched)).withColumn(SRC_COL, F.lit(0))
-    both = existing.unionByName(incoming)
-
-    # Shuffle by bucket only: each bucket lands in one task, and the window's
-    # clustering (b, keys) is already satisfied, so no second exchange.
-    w = (Window.partitionBy(F.col(BUCKET_COL), *[F.col(k) for k in keys])
-         .orderBy(*[(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in precombine],
-                  F.col(SRC_COL).desc()))
-    merged = (both.repartition(F.col(BUCKET_COL))
-              .withColumn("__rn", F.row_number().over(w))
-              .filter(F.col("__rn") == 1)
-              .drop("__rn", SRC_COL))
-    return UpsertPlan(merged, touched, quarantine)
+    incoming = with_meta(latest, keys, run_id)
+    existing = target.filter(F.col(BUCKET_COL).isin(touched))
+
+    if strategy == "auto":
+        from ..operators.lookup import has_at_most
+        small = has_at_most(clean, broadcast_rows)
+        crowded = small and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket
+        strategy = "broadcast" if small and not crowded else "shuffle"
+    if strategy == "broadcast":
+        merged = _broadcast_merge(existing, incoming, keys, precombine)
+    elif strategy == "shuffle":
+        merged = _shuffle_merge(existing, incoming, keys, precombine)
+    else:
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    return UpsertPlan(merged, touched, quarantine, strategy)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            precombine: Sequence[str | Column], run_id: str | None = None,
-           tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None) -> UpsertResult:
+           tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None,
+           strategy: str = "auto") -> UpsertResult:
     """K4: apply ``batch`` to the bucketed table at ``path``.
 
     Creates the table when it does not exist (``num_buckets`` required then).
@@ -274,13 +345,14 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
             raise ValueError(f"no table at {path}; num_buckets is required to create it")
         return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)
 
-    plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak)
+    plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy)
     if plan.merged is None:
-        return UpsertResult(path, run_id, [], {"rows_written": 0}, plan.quarantine)
+        return UpsertResult(path, run_id, [], {"rows_written": 0}, plan.quarantine, "none")
     obs = Observation("upsert")
     merged = plan.merged.observe(
         obs, F.count(F.lit(1)).alias("rows_written"),
         F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
-    return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine)
+    return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine,
+                        plan.strategy)

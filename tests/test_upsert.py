@@ -86,13 +86,26 @@ def test_untouched_buckets_keep_their_files(spark, tmp_dir):
 def test_plan_reads_only_touched_buckets_and_shuffles_once_by_bucket(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
-    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9")
+    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9",
+                    strategy="shuffle")
     plan = p.merged._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({BUCKET_COL}" in plan
     assert "REPARTITION_BY_COL" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 
 
+def test_small_batch_merges_without_shuffling_target(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
+    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9")
+    assert p.strategy == "broadcast"
+    plan = p.merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    # The only exchanges shuffle the batch (its dedup), never the target scan.
+    assert "REPARTITION_BY_COL" not in plan
+    assert plan.count("Exchange hashpartitioning") == plan.count("WindowGroupLimit") // 2
+
+
 def test_schema_mismatch_fails_before_write(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
@@ -179,3 +192,38 @@ def test_nine_column_composite_key(spark, tmp_dir):
     got = {r.c0: r.v for r in snapshot(spark, path).collect()}
     assert len(got) == 30
     assert got["5-0"] == 5 and got["15-0"] == 115 and got["25-0"] == 125
+
+
+def test_merge_strategies_agree(spark, tmp_dir):
+    import random
+    rnd = random.Random(7)
+    for trial in range(3):
+        batch = []
+        for _ in range(60):
+            k = rnd.randrange(0, 60)
+            ts = rnd.choice([None, 8, 10, 10, 12])
+            batch.append((k, f"x{k % 3}", ts, f"t{trial}-{rnd.randrange(1000)}"))
+        results = []
+        for strategy in ("shuffle", "broadcast"):
+            path = f"{tmp_dir}/{strategy}{trial}"
+            upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=8)
+            res = upsert(spark, _df(spark, batch), path, ["k1", "k2"], ["ts"], strategy=strategy)
+            assert res.strategy == strategy
+            results.append(_state(spark, path))
+        assert results[0] == results[1]
+
+
+def test_crowded_buckets_fall_back_to_compacting_merge(spark, tmp_dir):
+    from sluice.sinks.upsert import files_per_bucket
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=2)
+    for i in range(3):
+        upsert(spark, _df(spark, [(i, f"x{i % 3}", 20 + i, "u")]), path, ["k1", "k2"], ["ts"])
+    before = files_per_bucket(spark, path, [0, 1])
+    assert max(before.values()) >= 2
+    p = plan_upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], "r",
+                    max_files_per_bucket=2)
+    assert p.strategy == "shuffle"
+    res = upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], strategy="shuffle")
+    after = files_per_bucket(spark, path, res.touched_buckets)
+    assert all(v == 1 for v in after.values())
