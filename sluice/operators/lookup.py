@@ -88,9 +88,13 @@ def lookup_misses(left: DataFrame, right: DataFrame, left_key: str | Sequence[st
                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Left rows without a match (anti join on the distinct right keys)."""
     lks, rks = _keys(left_key), _keys(right_key)
-    keys = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rks)]).dropna().distinct()
+    keys = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rks)]).dropna()
     if _small(right, broadcast_rows):
+        # Duplicate build keys do not change an anti join: no distinct needed.
         keys = F.broadcast(keys)
+    else:
+        # Shuffle join: partial distinct shrinks a duplicate-heavy side first.
+        keys = keys.distinct()
     cond = None
     for i, k in enumerate(lks):
         c = left[k] == keys[f"__rk{i}"]
@@ -109,5 +113,5 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     ``existing``. Appending the result keeps the table duplicate-free across
     re-runs."""
     fresh = first_per_key(incoming, list(keys), order)
-    have = existing.select(*keys).distinct()
-    return fresh.join(have, list(keys), "left_anti")
+    # The existing table is duplicate-free by construction: no distinct.
+    return fresh.join(existing.select(*keys), list(keys), "left_anti")

@@ -22,7 +22,6 @@ from .. import schemas
 from ..functions import fixed
 from ..functions import names as N
 from ..functions.codes import account_suffix, lower_or_default, refresh_label, service_account
-from ..functions.text import py_strip
 from ..operators import quality as Q
 from ..operators.dedup import first_per_key
 from ..operators.explode import explode_list
@@ -176,7 +175,3 @@ def run(spark: SparkSession, control_path: str, mapping_export_path: str, env: s
         raise RuntimeError("some work items failed; see items.status/error")
     return ControlRun(findings, resolved, requests, summary)
 
-
-def strip_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Python-``strip`` the given text columns (helper for callers)."""
-    return df.select(*[py_strip(c).alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sinks import lake
-from ..sinks.upsert import BUCKET_COL, RECORD_KEY, snapshot, upsert
+from ..sinks.upsert import RECORD_KEY, snapshot, upsert
 from ..sources.tables import extract_raw, table, ts_ntz
 from ..streaming.incremental import upsert_stream
-from .queries import ORDER_COLS, _ORDERS_UPSERT_CTE, orders_base_and_batch
+from .queries import _ORDERS_UPSERT_CTE, ORDER_COLS, orders_base_and_batch
 from .registry import query
 
 TEST_BUCKETS = 16
@@ -127,5 +127,3 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
                   max_files_per_trigger=2)
     return snapshot(spark, f"{root}/table").select(*ORDER_COLS, "ds_load_ts")
 
-
-__all__ = ["BUCKET_COL"]

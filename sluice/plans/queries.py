@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..functions.codes import lower_or_default, map_code, refresh_label
-from ..functions.text import py_strip, split_strip
 from ..operators import quality as Q
 from ..operators.dedup import first_per_key, latest_per_key
 from ..operators.explode import explode_list, per_row_list
@@ -20,7 +19,7 @@ from ..operators.lookup import lookup, lookup_misses
 from ..operators.outcomes import run_summary, with_outcome
 from ..operators.setops import union_by_name
 from ..operators.topk import preview
-from ..sinks.upsert import merge_latest, record_key
+from ..sinks.upsert import merge_latest
 from ..sources.tables import table, ts_ntz
 from .registry import query
 
