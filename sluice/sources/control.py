@@ -17,13 +17,17 @@ from ..operators.quality import require_columns, require_rows
 MAX_OFFSET_ROWS = 1_000_000
 
 
-def read_csv_text(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS,
+                  multi_line: bool = False) -> DataFrame:
     """CSV with header, every column text (no inference), missing-value
     tokens (``NA``, ``None``, empty, ...) read as NULL. Whitespace-only text
     stays text. CRLF line ends and blank lines are handled by the reader.
+
+    Files stay splittable (parallel read) unless ``multi_line`` is asked for,
+    which is only needed when quoted fields contain line breaks.
     """
     df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("multiLine", True).option("escape", '"').csv(path))
+          .option("multiLine", multi_line).option("escape", '"').csv(path))
     tokens = list(na_tokens)
     return df.select(*[
         F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string"))
