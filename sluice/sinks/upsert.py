@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import latest_per_key
+from ..session import shared_root
 
 BUCKET_COL = "b"
 SRC_COL = "__sluice_src"
@@ -153,6 +154,12 @@ def _write_meta(spark: SparkSession, path: str, n: int, keys: Sequence[str],
     writer.close()
 
 
+def _drop_staging(spark: SparkSession, staging: str | None) -> None:
+    if staging:
+        fs, p = _jvm_fs(spark, staging)
+        fs.delete(p, True)
+
+
 def snapshot(spark: SparkSession, path: str, with_file_name: bool = False) -> DataFrame:
     """Snapshot scan of a target table (copy-on-write: the plain scan)."""
     reader = spark.read.option("basePath", path)
@@ -211,10 +218,15 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     return UpsertResult(path, run_id, list(range(num_buckets)), dict(obs.get), quarantine)
 
 
-# Merge strategy bounds: a batch of at most this many rows is merged without
-# shuffling target data (broadcast joins on its keys); a touched bucket with
-# this many files or more is compacted by the shuffle merge instead.
+# Merge strategy bounds. The shuffle merge moves every row of the touched
+# buckets through one exchange: cheap while that data is small, the
+# bottleneck when it is large. So: touched data up to SHUFFLE_MAX_BYTES ->
+# shuffle merge (one stage, compacts); larger touched data and a batch of at
+# most MERGE_BROADCAST_ROWS rows -> broadcast merge (target never shuffled);
+# a touched bucket with MAX_FILES_PER_BUCKET files or more -> shuffle merge
+# (compaction).
 MERGE_BROADCAST_ROWS = 1_000_000
+SHUFFLE_MAX_BYTES = 1 << 30
 MAX_FILES_PER_BUCKET = 16
 
 
@@ -224,6 +236,7 @@ class UpsertPlan:
     touched_buckets: list[int]
     quarantine: DataFrame
     strategy: str = "none"
+    staging: str | None = None
 
 
 def files_per_bucket(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, int]:
@@ -284,53 +297,67 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
                 precombine: Sequence[str | Column], run_id: str,
                 tiebreak: Sequence[str | Column] = (), strategy: str = "auto",
                 broadcast_rows: int = MERGE_BROADCAST_ROWS,
+                shuffle_max_bytes: int = SHUFFLE_MAX_BYTES,
                 max_files_per_bucket: int = MAX_FILES_PER_BUCKET) -> UpsertPlan:
     """Build (without writing) the merged rows of the touched buckets.
 
     ``strategy``: ``"shuffle"`` (bucket-wise window merge, compacts),
     ``"broadcast"`` (no target shuffle; batch must be small) or ``"auto"``
-    (broadcast when the batch has at most ``broadcast_rows`` rows — a
-    checked bound — and no touched bucket has ``max_files_per_bucket`` files).
-    Jobs run here: the touched bucket ids (at most N ints) and, for
-    ``auto``, the LIMIT-bounded batch row check.
+    (broadcast when the touched buckets hold more than ``shuffle_max_bytes``,
+    the batch has at most ``broadcast_rows`` rows — a counted bound — and no
+    touched bucket has ``max_files_per_bucket`` files; shuffle otherwise).
+    Touched bytes are estimated from the table size in the file listing the
+    driver already holds: hash buckets are uniform, so size x touched / N.
+    Jobs run here: the batch checkpoint (which also counts its rows) and
+    the touched bucket ids (at most N ints).
     """
     n = read_num_buckets(spark, path)
     target = snapshot(spark, path)
     batch = _check_schema(batch, target, keys)
     clean, quarantine = split_null_keys(batch, keys)
 
-    # Bounded by n: the bucket ids, never the rows. Taken from the raw batch
-    # (dedup does not change the key set): a hash aggregate of ints with
-    # map-side combine, not a second run of the batch's window shuffle.
-    touched = sorted(r[0] for r in
-                     clean.select(bucket_of(keys, n).alias(BUCKET_COL)).distinct().collect())
-    if not touched:
-        return UpsertPlan(None, [], quarantine)
-
-    # Newest row per key inside the batch (pre-reduced before the shuffle).
+    # Newest row per key inside the batch (pre-reduced before the shuffle),
+    # then frozen as a Parquet table in the shared checkpoint folder (the
+    # cluster's spark.checkpoint.dir): the row count, the touched buckets and
+    # the merge all see the same rows even if the source changes between jobs
+    # (a re-read that put a row into an untouched bucket would make dynamic
+    # overwrite replace that bucket). Parquet, not RDD checkpoint(): columnar
+    # write, vectorised read-back.
     latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
     latest = latest.withColumn(BUCKET_COL, bucket_of(keys, n))
+    obs = Observation("batch")
+    staged = f"{shared_root(spark)}/_sluice_staging/{run_id}-{uuid.uuid4().hex[:12]}"
+    latest.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    latest = spark.read.schema(latest.schema).parquet(staged)
+    rows = int(obs.get["rows"])
+    if rows == 0:
+        return UpsertPlan(None, [], quarantine, staging=staged)
+
+    # Bounded by n: the bucket ids, never the rows.
+    touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
     incoming = with_meta(latest, keys, run_id)
     existing = target.filter(F.col(BUCKET_COL).isin(touched))
 
     if strategy == "auto":
-        from ..operators.lookup import has_at_most
-        small = has_at_most(clean, broadcast_rows)
-        crowded = small and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket
-        strategy = "broadcast" if small and not crowded else "shuffle"
+        table_bytes = int(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        big_target = table_bytes * len(touched) // n > shuffle_max_bytes
+        small_batch = rows <= broadcast_rows
+        crowded = (big_target and small_batch
+                   and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket)
+        strategy = "broadcast" if big_target and small_batch and not crowded else "shuffle"
     if strategy == "broadcast":
         merged = _broadcast_merge(existing, incoming, keys, precombine)
     elif strategy == "shuffle":
         merged = _shuffle_merge(existing, incoming, keys, precombine)
     else:
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    return UpsertPlan(merged, touched, quarantine, strategy)
+    return UpsertPlan(merged, touched, quarantine, strategy, staged)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            precombine: Sequence[str | Column], run_id: str | None = None,
            tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None,
-           strategy: str = "auto") -> UpsertResult:
+           strategy: str = "auto", **plan_options) -> UpsertResult:
     """K4: apply ``batch`` to the bucketed table at ``path``.
 
     Creates the table when it does not exist (``num_buckets`` required then).
@@ -345,8 +372,10 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
             raise ValueError(f"no table at {path}; num_buckets is required to create it")
         return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)
 
-    plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy)
+    plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy,
+                       **plan_options)
     if plan.merged is None:
+        _drop_staging(spark, plan.staging)
         return UpsertResult(path, run_id, [], {"rows_written": 0}, plan.quarantine, "none")
     obs = Observation("upsert")
     merged = plan.merged.observe(
@@ -354,5 +383,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
+    # Committed: the frozen batch is no longer read by anything.
+    _drop_staging(spark, plan.staging)
     return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine,
                         plan.strategy)

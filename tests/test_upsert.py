@@ -97,7 +97,10 @@ def test_plan_reads_only_touched_buckets_and_shuffles_once_by_bucket(spark, tmp_
 def test_small_batch_merges_without_shuffling_target(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
-    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9")
+    small = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r8")
+    assert small.strategy == "shuffle"  # tiny target: shuffling it is the cheap plan
+    p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9",
+                    shuffle_max_bytes=0)
     assert p.strategy == "broadcast"
     plan = p.merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
@@ -218,12 +221,23 @@ def test_crowded_buckets_fall_back_to_compacting_merge(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=2)
     for i in range(3):
-        upsert(spark, _df(spark, [(i, f"x{i % 3}", 20 + i, "u")]), path, ["k1", "k2"], ["ts"])
+        upsert(spark, _df(spark, [(i, f"x{i % 3}", 20 + i, "u")]), path, ["k1", "k2"], ["ts"],
+               strategy="broadcast")
     before = files_per_bucket(spark, path, [0, 1])
     assert max(before.values()) >= 2
     p = plan_upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], "r",
-                    max_files_per_bucket=2)
+                    max_files_per_bucket=2, shuffle_max_bytes=0)
     assert p.strategy == "shuffle"
     res = upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], strategy="shuffle")
     after = files_per_bucket(spark, path, res.touched_buckets)
     assert all(v == 1 for v in after.values())
+
+
+def test_batch_is_frozen_once_and_staging_removed(spark, tmp_dir):
+    from sluice.session import shared_root
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    res = upsert(spark, _df(spark, [(1, "x1", 99, "z")]), path, ["k1", "k2"], ["ts"],
+                 run_id="frozen-run-7f3a")
+    assert res.metrics["rows_from_batch"] == 1
+    assert not glob.glob(f"{shared_root(spark).replace('file:', '')}/_sluice_staging/frozen-run-7f3a-*")
