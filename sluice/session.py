@@ -30,7 +30,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 4 * n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
