@@ -33,8 +33,20 @@ def is_blank(c: Column | str) -> Column:
     return c.isNull() | (py_strip(c) == F.lit(""))
 
 
+_REGEX_META = ".$|()[{^?*+\\"
+
+
 def quote_regex(sep: str) -> str:
-    """Literal separator as a Java regex (``split`` takes a regex)."""
+    """Literal separator as a Java regex (``split`` takes a regex).
+
+    A single character is passed bare (or backslash-escaped when it is a
+    regex metacharacter): Java's ``String.split`` then takes its no-regex
+    fast path instead of compiling a pattern for every row.
+    """
+    if len(sep) == 1 and not sep.isalnum():
+        return "\\" + sep if sep in _REGEX_META else sep
+    if len(sep) == 1:
+        return sep
     if "\\E" in sep:
         return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return "\\Q" + sep + "\\E"
