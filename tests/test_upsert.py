@@ -241,3 +241,17 @@ def test_batch_is_frozen_once_and_staging_removed(spark, tmp_dir):
                  run_id="frozen-run-7f3a")
     assert res.metrics["rows_from_batch"] == 1
     assert not glob.glob(f"{shared_root(spark).replace('file:', '')}/_sluice_staging/frozen-run-7f3a-*")
+
+
+def test_meta_columns_and_file_name(spark, tmp_dir):
+    from sluice.sinks.upsert import COMMIT_SEQNO, COMMIT_TIME, FILE_NAME, PARTITION_PATH
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], run_id="c1", num_buckets=4)
+    upsert(spark, _df(spark, [(1, "x1", 20, "new")]), path, ["k1", "k2"], ["ts"], run_id="c2")
+    snap = snapshot(spark, path, with_file_name=True)
+    r1 = snap.filter("k1 = 1").first()
+    r2 = snap.filter("k1 = 2").first()
+    assert r1[COMMIT_TIME] == "c2" and r2[COMMIT_TIME] == "c1"   # untouched rows keep theirs
+    assert r1[COMMIT_SEQNO].startswith("c2_")
+    assert r1[PARTITION_PATH] == f"{BUCKET_COL}={r1[BUCKET_COL]}"
+    assert r1[FILE_NAME].endswith(".parquet")
