@@ -86,12 +86,25 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
 def lookup_misses(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
                   right_key: str | Sequence[str],
                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left rows without a match (anti join on the distinct right keys)."""
+    """Left rows without a match.
+
+    Small right side (checked): broadcast anti join. Otherwise, small left
+    side (checked): the right keys that match some left key are found by a
+    broadcast semi join inside the right side's own scan (nothing of the big
+    side is shuffled), then an anti join between two small sets. Both big:
+    shuffle anti join on the distinct right keys.
+    """
     lks, rks = _keys(left_key), _keys(right_key)
     keys = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rks)]).dropna()
     if _small(right, broadcast_rows):
         # Duplicate build keys do not change an anti join: no distinct needed.
         keys = F.broadcast(keys)
+    elif _small(left, broadcast_rows):
+        probe = left.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(lks)])
+        # distinct: at most one row per left key, so the broadcast is bounded
+        # by the checked left side even if the right side repeats keys.
+        keys = F.broadcast(keys.join(F.broadcast(probe), [f"__rk{i}" for i in range(len(rks))],
+                                     "left_semi").distinct())
     else:
         # Shuffle join: partial distinct shrinks a duplicate-heavy side first.
         keys = keys.distinct()
@@ -112,6 +125,14 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     """The incoming rows to append: one per key, only for keys not yet in
     ``existing``. Appending the result keeps the table duplicate-free across
     re-runs."""
-    fresh = first_per_key(incoming, list(keys), order)
+    keys = list(keys)
+    fresh = first_per_key(incoming, keys, order)
+    have = existing.select(*keys)
+    if _small(incoming, DEFAULT_BROADCAST_ROWS):
+        # Few incoming rows against a big table: find the existing keys that
+        # matter with a broadcast semi join inside the table's own scan, so
+        # the table is never shuffled.
+        # distinct keeps the broadcast bounded by the checked incoming side.
+        have = F.broadcast(have.join(F.broadcast(fresh.select(*keys)), keys, "left_semi").distinct())
     # The existing table is duplicate-free by construction: no distinct.
-    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+    return fresh.join(have, keys, "left_anti")

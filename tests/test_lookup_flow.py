@@ -122,3 +122,16 @@ def test_mapping_drops_failed_rows_when_asked(spark, tmp_dir):
     assert [r.bucket_id for r in first] == ["id-bad"]
     ok = flow.storage_mapping(df, only_created=F.col("error").isNull()).collect()
     assert [r.bucket_id for r in ok] == ["id-good"]
+
+
+def test_small_left_against_big_right_never_shuffles_right(spark):
+    big = spark.range(0, 50000).select(F.col("id").cast("string").alias("k"))
+    small = spark.createDataFrame([("5",), ("x",), ("y",)], "k string")
+    miss = lookup_misses(small, big, "k", "k", broadcast_rows=10)
+    assert sorted(r.k for r in miss.collect()) == ["x", "y"]
+    plan = miss._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "SortMergeJoin" not in plan
+    incoming = spark.createDataFrame([("5", 1), ("z", 2), ("z", 3)], "k string, seq int")
+    new = insert_if_absent(big, incoming, ["k"], ["seq"])
+    assert [(r.k, r.seq) for r in new.collect()] == [("z", 2)]
+    assert "SortMergeJoin" not in new._jdf.queryExecution().executedPlan().toString()
