@@ -336,7 +336,8 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     # Bounded by n: the bucket ids, never the rows.
     touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
     incoming = with_meta(latest, keys, run_id)
-    existing = target.filter(F.col(BUCKET_COL).isin(touched))
+    # All buckets touched: no pruning to do, and no N-literal IN list to plan.
+    existing = target if len(touched) == n else target.filter(F.col(BUCKET_COL).isin(touched))
 
     if strategy == "auto":
         table_bytes = int(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
