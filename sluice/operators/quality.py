@@ -126,7 +126,8 @@ class ValidationError(ValueError):
 def gate(df: DataFrame, rules: Sequence[Rule], row_id: str | Column, show: int = 20) -> None:
     """V2: raise before any write when any row violates any rule.
 
-    One aggregate job; only ``show`` sample findings reach the driver.
+    Two small jobs (a top-``show`` sample and a count); only the sample
+    findings reach the driver.
     """
     found = violations(df, rules, row_id)
     sample = found.orderBy("row_id", "rule_pos").limit(show).collect()

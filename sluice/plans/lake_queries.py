@@ -127,3 +127,32 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
                   max_files_per_trigger=2)
     return snapshot(spark, f"{root}/table").select(*ORDER_COLS, "ds_load_ts")
 
+
+
+@query("item_load", ("K4", "K8", "S5", "A3"), sql="""
+WITH base AS (
+  SELECT *, TIMESTAMP '2024-03-01 06:00:00' AS ds_load_ts FROM orders
+  WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+batch AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice,
+         o_orderdate, o_orderpriority, TIMESTAMP '2024-03-02 06:00:00' AS ds_load_ts
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT * FROM batch
+UNION ALL
+SELECT * FROM base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
+""")
+def item_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two daily INC runs of one work item through ``load_item``: each run
+    stamps its extract with its single load timestamp (the precombine
+    column), so the later run wins every key it carries."""
+    from .ingest import load_item
+    path = scratch_path(spark, "item_orders")
+    o = table(spark, sf, "orders")
+    day1 = o.filter(F.col("o_orderdate") < ts_ntz("1999-01-01"))
+    day2 = (o.filter(F.col("o_orderdate") >= ts_ntz("1998-01-01"))
+            .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
+    load_item(spark, day1, path, "INC", "o_orderkey", "ds_load_ts",
+              dt.datetime(2024, 3, 1, 6, 0, 0), run_id="d1", num_buckets=TEST_BUCKETS)
+    load_item(spark, day2, path, "INC", "o_orderkey", "ds_load_ts",
+              dt.datetime(2024, 3, 2, 6, 0, 0), run_id="d2")
+    return snapshot(spark, path).select(*ORDER_COLS, "ds_load_ts")
