@@ -51,6 +51,10 @@ def with_row_number(df: DataFrame, name: str = "row_num") -> DataFrame:
     starting offset (prefix sum over at most #partitions rows, broadcast),
     so no global single-task window over the data is needed. The input
     partitioning of a file scan is deterministic, so both passes agree.
+
+    Apply it directly on a scan (optionally after narrow filters/projections),
+    never on a shuffle output: rows inside a post-shuffle partition may come
+    in a different order each time the partition is computed.
     """
     tagged = df.select("*", F.spark_partition_id().alias("__pid"),
                        F.monotonically_increasing_id().alias("__mid"))
