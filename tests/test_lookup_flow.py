@@ -135,3 +135,33 @@ def test_small_left_against_big_right_never_shuffles_right(spark):
     new = insert_if_absent(big, incoming, ["k"], ["seq"])
     assert [(r.k, r.seq) for r in new.collect()] == [("z", 2)]
     assert "SortMergeJoin" not in new._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cli(spark, tmp_dir, capsys):
+    from sluice.__main__ import main
+    c = write_text(f"{tmp_dir}/control.csv", CONTROL)
+    m = write_text(f"{tmp_dir}/export.csv", EXPORT)
+    assert main(["-i", c, "-m", m, "--dry-run"], spark=spark) == 0
+    rc = main(["-i", c, "-m", m, "--items-out", f"{tmp_dir}/items",
+               "--request-log", f"{tmp_dir}/req"], spark=spark)
+    assert rc == 1  # two items do not resolve
+    assert spark.read.parquet(f"{tmp_dir}/items").count() == 6
+    out = capsys.readouterr().out
+    assert "ok\t\t4" in out and "error\tnot_found\t2" in out
+    bad = write_text(f"{tmp_dir}/bad.csv", CONTROL.replace(",se,", ",xx,"))
+    assert main(["-i", bad, "-m", m], spark=spark) == 1
+
+
+def test_shuffle_lookup_with_hot_key(spark):
+    # Neither side passes the broadcast bound: shuffle join; one key holds a
+    # third of the left rows (AQE may split its partition); results whole.
+    hot = spark.range(0, 20000).select(F.lit("h").alias("k"), F.col("id"))
+    cold = spark.range(0, 40000).select(F.col("id").cast("string").alias("k"), F.col("id"))
+    left = hot.unionByName(cold)
+    right = spark.range(0, 40000).select(F.col("id").cast("string").alias("k"),
+                                         F.lit(1).alias("o"), (F.col("id") * 2).alias("v"))
+    right = right.unionByName(spark.createDataFrame([("h", 1, -1), ("h", 0, -2)], "k string, o int, v long"))
+    out = lookup(left, right, "k", "k", order=["o"], values=["v"], broadcast_rows=10, hit_col="hit")
+    assert out.count() == 60000
+    assert out.filter("k = 'h'").select("v").distinct().collect()[0].v == -2
+    assert out.filter("NOT hit").count() == 0
