@@ -196,7 +196,7 @@ def derive_names(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("decode_name", ("P5", "P8", "X7", "X8", "X9", "X10"), sql="""
+@query("decode_name", ("P5", "P8", "X7", "X8", "X10"), sql="""
 WITH u AS (
   SELECT o_orderkey,
          'INTLDLDAT-SA' || o_orderstatus || '-' ||
