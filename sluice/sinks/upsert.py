@@ -12,15 +12,19 @@ One upsert run:
    depends on the type), rows with a NULL key are split off (quarantine).
 2. The batch is reduced to its newest row per key (partial + final
    WindowGroupLimit: a hot key is cut to one row per map task before the
-   shuffle).
+   shuffle) and frozen as Parquet in the shared checkpoint folder, so every
+   later step sees the same rows.
 3. The touched buckets are the distinct ``b`` of the batch: at most ``N``
    integers, so collecting them is bounded by a table property, not by data.
-4. Only those buckets of the target are read (partition pruning), unioned
-   with the reduced batch (at most two rows per key now), shuffled *by
-   bucket*, the newer row per key kept, and written back with dynamic
-   partition overwrite. Every bucket is written by exactly one task: one file
-   per bucket per run, no small-file fan-out; untouched buckets keep their
-   files byte for byte.
+4. Only those buckets of the target are read (partition pruning) and merged,
+   by one of two plans chosen by cost (``plan_upsert``): the *shuffle* merge
+   (target + batch shuffled once by bucket, newer row per key kept, one file
+   per bucket) or the *broadcast* merge (no target row shuffled: broadcast
+   semi/anti joins on the batch keys inside the target scan). Either way the
+   result is written back with dynamic partition overwrite; untouched
+   buckets keep their files byte for byte. A broadcast merge leaves a bucket
+   with about (bucket size / split size) + 1 files; ``compact`` (or the
+   automatic fallback to the shuffle merge) rewrites crowded buckets.
 
 Failure model: tasks only read old files; old bucket folders are replaced at
 job commit, so a lost executor just re-runs tasks. A crash inside the commit
@@ -388,3 +392,22 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     _drop_staging(spark, plan.staging)
     return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine,
                         plan.strategy)
+
+
+def compact(spark: SparkSession, path: str, min_files: int = MAX_FILES_PER_BUCKET) -> list[int]:
+    """Rewrite every bucket holding ``min_files`` files or more as one file.
+
+    Rows are unchanged: the crowded buckets are read (partition pruning),
+    shuffled by bucket and written back with dynamic partition overwrite, so
+    other buckets keep their files. Returns the compacted bucket ids.
+    """
+    n = read_num_buckets(spark, path)
+    counts = files_per_bucket(spark, path, range(n))
+    crowded = sorted(b for b, c in counts.items() if c >= min_files)
+    if crowded:
+        rows = snapshot(spark, path).filter(F.col(BUCKET_COL).isin(crowded))
+        (rows.repartition(F.col(BUCKET_COL))
+         .sortWithinPartitions(BUCKET_COL, *read_meta(spark, path)["keys"])
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET_COL).parquet(path))
+    return crowded

@@ -255,3 +255,23 @@ def test_meta_columns_and_file_name(spark, tmp_dir):
     assert r1[COMMIT_SEQNO].startswith("c2_")
     assert r1[PARTITION_PATH] == f"{BUCKET_COL}={r1[BUCKET_COL]}"
     assert r1[FILE_NAME].endswith(".parquet")
+
+
+def test_compact_rewrites_only_crowded_buckets(spark, tmp_dir):
+    from sluice.sinks.upsert import compact, files_per_bucket
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    for i in range(3):
+        upsert(spark, _df(spark, [(0, "x0", 20 + i, f"u{i}")]), path, ["k1", "k2"], ["ts"],
+               strategy="broadcast")
+    before = _state(spark, path)
+    counts = files_per_bucket(spark, path, range(4))
+    # A broadcast merge writes the kept rows and the winners as separate files.
+    crowded = [b for b, c in counts.items() if c >= 2]
+    assert crowded
+    assert compact(spark, path, min_files=2) == sorted(crowded)
+    after = files_per_bucket(spark, path, range(4))
+    assert all(after[b] == 1 for b in crowded)
+    assert all(after[b] == counts[b] for b in counts if b not in crowded)
+    assert _state(spark, path) == before
+    assert compact(spark, path, min_files=2) == []
