@@ -350,6 +350,9 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
         crowded = (big_target and small_batch
                    and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket)
         strategy = "broadcast" if big_target and small_batch and not crowded else "shuffle"
+    if strategy == "broadcast" and rows > broadcast_rows:
+        # Never broadcast past the counted bound, even when asked to.
+        strategy = "shuffle"
     if strategy == "broadcast":
         merged = _broadcast_merge(existing, incoming, keys, precombine)
     elif strategy == "shuffle":

@@ -275,3 +275,12 @@ def test_compact_rewrites_only_crowded_buckets(spark, tmp_dir):
     assert all(after[b] == counts[b] for b in counts if b not in crowded)
     assert _state(spark, path) == before
     assert compact(spark, path, min_files=2) == []
+
+
+def test_broadcast_never_exceeds_bound(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    batch = _df(spark, [(i, f"x{i % 3}", 30, "b") for i in range(10)])
+    p = plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast",
+                    broadcast_rows=5)
+    assert p.strategy == "shuffle"
