@@ -97,3 +97,30 @@ def register_external_table(spark: SparkSession, name: str, path: str, schema_of
               f"LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def publish_snapshot(spark: SparkSession, df: DataFrame, table_name: str, base_path: str,
+                     version: str, partition_by: Sequence[str] = (),
+                     comments: Mapping[str, str] | None = None) -> str:
+    """K3 with publish safety: write the new snapshot into its own folder
+    ``<base_path>/v=<version>``, then point the catalog table at it.
+
+    Readers of the table see the old snapshot until the location switch (one
+    catalog operation) and the new one after it, never a half-written
+    folder. Old version folders stay until the caller removes them (readers
+    that started before the switch may still be reading them).
+    """
+    target = f"{base_path.rstrip('/')}/v={version}"
+    w = df.write.mode("errorifexists").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(target)
+    if spark.catalog.tableExists(table_name):
+        spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{target}'")
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE {table_name}")
+        spark.catalog.refreshTable(table_name)
+    else:
+        register_external_table(spark, table_name, target, df, partition_by, comments,
+                                replace=False)
+    return target

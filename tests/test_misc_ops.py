@@ -60,3 +60,16 @@ def test_external_table_drop_keeps_files(spark, tmp_dir):
     assert desc["id"] == "key - PRIMARY KEY"
     spark.sql("DROP TABLE sluice_test_ext")
     assert spark.read.parquet(f"{tmp_dir}/ext").count() == 2
+
+
+def test_publish_snapshot_switches_location(spark, tmp_dir):
+    from sluice.sinks.lake import publish_snapshot
+    v1 = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    p1 = publish_snapshot(spark, v1, "sluice_pub_t", f"{tmp_dir}/pub", "0001")
+    assert sorted(r.id for r in spark.table("sluice_pub_t").collect()) == [1, 2]
+    v2 = spark.table("sluice_pub_t").filter("id = 2").withColumn("v", F.lit("c"))
+    p2 = publish_snapshot(spark, v2, "sluice_pub_t", f"{tmp_dir}/pub", "0002")
+    assert [(r.id, r.v) for r in spark.table("sluice_pub_t").collect()] == [(2, "c")]
+    # The previous snapshot is untouched for readers that still hold it.
+    assert spark.read.parquet(p1).count() == 2 and p1 != p2
+    spark.sql("DROP TABLE sluice_pub_t")
