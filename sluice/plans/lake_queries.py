@@ -156,3 +156,19 @@ def item_load(spark: SparkSession, sf: str) -> DataFrame:
     load_item(spark, day2, path, "INC", "o_orderkey", "ds_load_ts",
               dt.datetime(2024, 3, 2, 6, 0, 0), run_id="d2")
     return snapshot(spark, path).select(*ORDER_COLS, "ds_load_ts")
+
+
+@query("snapshot_publish", ("K3", "K5", "S6"), sql="""
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+""")
+def snapshot_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Two FULL loads published as versioned snapshots of one catalog table:
+    the table reads the second; the first stays intact for earlier readers."""
+    base = scratch_path(spark, "orders_pub")
+    name = "sluice_pub_orders_" + base.rsplit("-", 1)[-1]
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    lake.publish_snapshot(spark, o.filter(F.col("o_orderstatus") == "F"), name, base, "0001")
+    lake.publish_snapshot(spark, o.filter(F.col("o_orderdate") >= ts_ntz("1998-01-01")), name, base,
+                          "0002")
+    return spark.table(name)
