@@ -17,7 +17,7 @@ from ..sinks import lake
 from ..sinks.upsert import RECORD_KEY, snapshot, upsert
 from ..sources.tables import extract_raw, table, ts_ntz
 from ..streaming.incremental import upsert_stream
-from .queries import _ORDERS_UPSERT_CTE, ORDER_COLS, orders_base_and_batch
+from .queries import _ORDER_FINDINGS_SQL, _ORDERS_UPSERT_CTE, ORDER_COLS, orders_base_and_batch
 from .registry import query
 
 TEST_BUCKETS = 16
@@ -172,3 +172,24 @@ def snapshot_publish(spark: SparkSession, sf: str) -> DataFrame:
     lake.publish_snapshot(spark, o.filter(F.col("o_orderdate") >= ts_ntz("1998-01-01")), name, base,
                           "0002")
     return spark.table(name)
+
+
+@query("quality_split_write", ("V3", "V1", "F2", "F3", "F4", "F5"), sql=_ORDER_FINDINGS_SQL + """
+, agg AS (SELECT row_id, count(*) AS n, min(rule_pos) AS first_pos FROM f GROUP BY row_id)
+SELECT o.o_orderkey, CASE WHEN a.n IS NULL THEN 'valid' ELSE 'rejected' END AS quality,
+       CAST(coalesce(a.n, 0) AS INTEGER) AS n_findings,
+       CASE a.first_pos WHEN 0 THEN 'priority_present' WHEN 1 THEN 'priority_parts'
+                        WHEN 2 THEN 'status_ci' WHEN 3 THEN 'segment_upper' END AS first_rule
+FROM orders o LEFT JOIN agg a ON a.row_id = o.o_orderkey
+""")
+def quality_split_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid and rejected orders written by one job as two partitions of one
+    table (the at-scale form of the split), read back."""
+    from ..operators import quality as Q
+    from .queries import ORDER_RULES
+    path = scratch_path(spark, "orders_quality")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    Q.write_split(Q.flag(o, ORDER_RULES), path)
+    t = spark.read.parquet(path)
+    return t.select("o_orderkey", "quality", F.size(Q.FINDINGS).alias("n_findings"),
+                    F.try_element_at(F.col(Q.FINDINGS), F.lit(1))["rule_id"].alias("first_rule"))
