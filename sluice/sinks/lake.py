@@ -99,6 +99,17 @@ def register_external_table(spark: SparkSession, name: str, path: str, schema_of
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def _partition_sql(spec: str) -> str:
+    """``a=1/b=x%20y`` (as SHOW PARTITIONS prints it) -> ``a='1', b='x y'``."""
+    from urllib.parse import unquote
+    parts = []
+    for kv in spec.split("/"):
+        k, v = kv.split("=", 1)
+        v = unquote(v).replace("\\", "\\\\").replace("'", "\\'")
+        parts.append(f"{_q(k)}='{v}'")
+    return ", ".join(parts)
+
+
 def publish_snapshot(spark: SparkSession, df: DataFrame, table_name: str, base_path: str,
                      version: str, partition_by: Sequence[str] = (),
                      comments: Mapping[str, str] | None = None) -> str:
@@ -109,6 +120,12 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table_name: str, base_p
     catalog operation) and the new one after it, never a half-written
     folder. Old version folders stay until the caller removes them (readers
     that started before the switch may still be reading them).
+
+    Partitioned tables: partition entries keep their own locations, so they
+    are re-pointed too (old entries dropped — files kept, the table is
+    external — and the new version's partitions discovered). That switch is
+    several catalog operations, not one: a reader in between may see an
+    empty table, never a mix of versions.
     """
     target = f"{base_path.rstrip('/')}/v={version}"
     w = df.write.mode("errorifexists").format("parquet")
@@ -118,6 +135,9 @@ def publish_snapshot(spark: SparkSession, df: DataFrame, table_name: str, base_p
     if spark.catalog.tableExists(table_name):
         spark.sql(f"ALTER TABLE {table_name} SET LOCATION '{target}'")
         if partition_by:
+            # Bounded by the partition count (catalog metadata, not data).
+            for (spec,) in spark.sql(f"SHOW PARTITIONS {table_name}").collect():
+                spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
             spark.sql(f"MSCK REPAIR TABLE {table_name}")
         spark.catalog.refreshTable(table_name)
     else:

@@ -73,3 +73,14 @@ def test_publish_snapshot_switches_location(spark, tmp_dir):
     # The previous snapshot is untouched for readers that still hold it.
     assert spark.read.parquet(p1).count() == 2 and p1 != p2
     spark.sql("DROP TABLE sluice_pub_t")
+
+
+def test_publish_snapshot_partitioned_no_stale_partitions(spark, tmp_dir):
+    from sluice.sinks.lake import publish_snapshot
+    v1 = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    publish_snapshot(spark, v1, "sluice_pub_p", f"{tmp_dir}/pp", "0001", partition_by=["p"])
+    assert sorted(map(tuple, spark.table("sluice_pub_p").collect())) == [(1, "a"), (2, "b")]
+    v2 = spark.createDataFrame([(3, "a"), (4, "c d")], "id int, p string")
+    publish_snapshot(spark, v2, "sluice_pub_p", f"{tmp_dir}/pp", "0002", partition_by=["p"])
+    assert sorted(map(tuple, spark.table("sluice_pub_p").collect())) == [(3, "a"), (4, "c d")]
+    spark.sql("DROP TABLE sluice_pub_p")
