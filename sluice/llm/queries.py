@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm import op4_lines, op6_quality
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_line_windows": op4_lines.ORACLE, "op6_line_frequency": op6_quality.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,3 +25,25 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op2_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.op2_minhash import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed_lines", "text")
+
+
+@query
+def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_quality.quality(_table(spark, sf_dir, "documents")).drop("removed_lines")
+
+
+@query
+def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.op8_pii import find_pii
+    return find_pii(_table(spark, sf_dir, "documents")).drop("h", "span_list")
+
+
+@query
+def op9_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.op9_html import main_text
+    return main_text(_table(spark, sf_dir, "pages"))
