@@ -98,7 +98,7 @@ def normalised_lines(text: bytes) -> list[tuple[int, int]]:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     longs = pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("host", pa.string()), *[(c, pa.int64()) for c in _COUNTS],
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("host", pa.string()), *[(c, pa.int64()) for c in _COUNTS],
                         ("lines", longs), ("words", longs), ("others", longs)])
     for b in batches:
         for lo, hi, buf, offs in text_slices(b.column("text")):
@@ -112,7 +112,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.append([k for _, k in ls])
                 others.append([(m2 if h == m1 else m1) - (1 << 63) for h, _ in ls])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), b.column("host").slice(lo, hi - lo),
+                [*[b.column(c).slice(lo, hi - lo) for c in ("doc_id", "h", "host")],
                  *[pa.array(c, pa.int64()) for c in base_counts(buf, offs)],
                  pa.array(lines, longs), pa.array(words, longs), pa.array(others, longs)], schema=schema)
 
@@ -121,7 +121,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             limit_percent: int = LIMIT_PERCENT, min_docs: int = MIN_DOCS,
             left_percent: int = LEFT_PERCENT) -> DataFrame:
     """Counts and verdict, one row per row of ``docs``:
-    doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    doc_id, h (hash of the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_removed_words, base_failed, kept, removed_lines (indexes among the lines
     that hold a word).
 
@@ -131,9 +131,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     clash; an empty table gives an empty result.
     """
     scanned = staged(arrow_map(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"),
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(host_col).cast("string").alias("host"),
                     F.col(text_col).alias("text")), _scan,
-        "doc_id long, host string, " + ", ".join(f"{c} long" for c in _COUNTS)
+        "doc_id long, h long, host string, " + ", ".join(f"{c} long" for c in _COUNTS)
         + ", lines array<long>, words array<long>, others array<long>"), "quality_scan")
     host = F.coalesce(F.col("host"), F.lit("\x00")).alias("host")
     held = (scanned.select(host, F.explode(F.arrays_zip("lines", "others")).alias("x"))
@@ -159,7 +159,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             .withColumn("kept", ~F.col("base_failed")
                         & (100 * (F.col("n_words") - F.col("n_removed_words"))
                            >= left_percent * F.col("n_words")))
-            .select("doc_id", *_COUNTS, "n_removed_words", "base_failed", "kept", "removed_lines"))
+            .select("doc_id", "h", *_COUNTS, "n_removed_words", "base_failed", "kept", "removed_lines"))
 
 
 _PAT = r"[^\x20\x09-\x0D]+"
