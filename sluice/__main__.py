@@ -5,7 +5,8 @@
 
 Exit code 0 when validation passed and (unless ``--allow-item-errors``) every
 work item resolved; 1 otherwise. Only the run summary (a handful of rows) and
-at most 20 validation findings are printed; items go to ``--items-out``.
+the first validation findings are printed; items go to ``--items-out``, all
+findings to ``--findings-out``.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                     help="match storage by table name only (ignore the schema)")
     ap.add_argument("--allow-item-errors", action="store_true",
                     help="exit 0 even when some items did not resolve")
+    ap.add_argument("--findings-out", help="write all validation findings here (Parquet) if there are any")
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("sluice-control-plane").getOrCreate()
     try:
         run = flow.run(spark, args.input, args.mapping, env=args.env,
                        request_log_path=None if args.dry_run else args.request_log,
-                       dry_run=args.dry_run, by_schema=not args.table_only_key)
+                       dry_run=args.dry_run, by_schema=not args.table_only_key,
+                       findings_path=args.findings_out)
     except ValidationError as e:
         print(f"validation failed: {e}", file=sys.stderr)
         return 1

@@ -52,14 +52,14 @@ def decode_unit_name(name: Column | str) -> Column:
     parts = split_literal(name, "-")
     div = part(parts, 1)
     last = part(parts, 4)
-    banner = F.substring(div, len(fixed.UNIT_DIVISION_PREFIX) + 1, 1 << 20)
+    banner = F.substr(div, F.lit(len(fixed.UNIT_DIVISION_PREFIX) + 1))
     ok = (
         (F.size(parts) == F.lit(fixed.UNIT_PARTS))
         & (prefix(div, len(fixed.UNIT_DIVISION_PREFIX)) == F.lit(fixed.UNIT_DIVISION_PREFIX))
         & F.startswith(last, F.concat(banner, F.lit("_")))
     )
     ok = F.coalesce(ok, F.lit(False))
-    table = F.substring(last, F.length(banner) + 2, 1 << 20)
+    table = F.substr(last, F.length(banner) + 2)
     schema = part(parts, 3)
     return F.struct(
         ok.alias("ok"),
@@ -80,6 +80,6 @@ def lake_path(storage_id: Column | str, table: Column | str, scheme: str = "gs:/
     return F.concat(F.lit(scheme), col_(storage_id), F.lit("/"), col_(table))
 
 
-def tags(constants: Sequence[str], *cols: Column | str) -> Column:
-    """Array of constant tags followed by per-row values."""
-    return F.array(*[F.lit(t) for t in constants], *[col_(c) for c in cols])
+def tags(constants: Sequence[str], *cols: Column | str, trailing: Sequence[str] = ()) -> Column:
+    """Array of constant tags, per-row values, and trailing constants."""
+    return F.array(*[F.lit(t) for t in constants], *[col_(c) for c in cols], *[F.lit(t) for t in trailing])

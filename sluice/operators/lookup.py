@@ -1,11 +1,10 @@
 """Lookup joins: first match wins (J1), misses (J2), insert-if-absent (J3),
 key guard (F6).
 
-Broadcast policy: a side is broadcast only after a *checked* row bound
-(``LIMIT max_rows + 1`` count, a cheap bounded job) — never because a table
-"is usually small". Above the bound the join is left to the planner: a
-shuffle join, which AQE may still turn into a broadcast from the measured
-post-shuffle size, and whose skewed partitions AQE splits.
+Nothing runs while a plan is built: whether a side is broadcast is the
+planner's decision, from its size estimate or, at run time, from measured
+bytes (``spark.sql.autoBroadcastJoinThreshold``); all else is a shuffle join
+whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -18,61 +17,30 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 from .dedup import first_per_key
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has ``max_rows`` rows or fewer (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _small(df: DataFrame, max_rows: int | None) -> bool:
-    return max_rows is not None and max_rows > 0 and has_at_most(df, max_rows)
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """``broadcast(df)`` when its row count is checked to be within ``max_rows``."""
-    return F.broadcast(df) if _small(df, max_rows) else df
-
-
-def dedup_mapping(mapping: DataFrame, key: str, order: Sequence[str | Column],
-                  key_expr: Column | None = None, keep: Sequence[str] | None = None,
-                  where: Column | None = None) -> DataFrame:
-    """A1 on a mapping: optional predicate (e.g. drop failed rows), key
-    normalisation (e.g. ``lower``), then first row per key by ``order``."""
-    m = mapping if where is None else mapping.filter(where)
-    if key_expr is not None:
-        m = m.withColumn(key, key_expr)
-    m = m.filter(F.col(key).isNotNull())
-    out = first_per_key(m, [key], order)
-    return out if keep is None else out.select(*keep)
-
-
 def _keys(k: str | Sequence[str]) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
            right_key: str | Sequence[str], order: Sequence[str | Column], values: Sequence[str],
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS, hit_col: str | None = None) -> DataFrame:
+           hit_col: str | None = None, right_is_unique: bool = False) -> DataFrame:
     """Left join to the first matching right row (case-sensitive key,
     single or composite).
 
     ``right`` is reduced to one row per key first (A1), so the join never
-    multiplies left rows.
+    multiplies left rows; ``right_is_unique`` says that it already is.
     """
     lks, rks = _keys(left_key), _keys(right_key)
     present = F.lit(True)
     for k in rks:
         present = present & F.col(k).isNotNull()
-    r = first_per_key(right.filter(present), rks, order)
+    r = right.filter(present)
+    if not right_is_unique:
+        r = first_per_key(r, rks, order)
     cols = [F.col(k).alias(f"__lk{i}") for i, k in enumerate(rks)] + [F.col(v) for v in values]
     if hit_col:
         cols.append(F.lit(True).alias(hit_col))
     r = r.select(*cols)
-    # Bound checked on the raw side (a limited scan, no shuffle): dedup only shrinks it.
-    if _small(right, broadcast_rows):
-        r = F.broadcast(r)
     cond = None
     for i, k in enumerate(lks):
         c = left[k] == r[f"__lk{i}"]
@@ -84,30 +52,21 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
 
 
 def lookup_misses(left: DataFrame, right: DataFrame, left_key: str | Sequence[str],
-                  right_key: str | Sequence[str],
-                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left rows without a match.
-
-    Small right side (checked): broadcast anti join. Otherwise, small left
-    side (checked): the right keys that match some left key are found by a
-    broadcast semi join inside the right side's own scan (nothing of the big
-    side is shuffled), then an anti join between two small sets. Both big:
-    shuffle anti join on the distinct right keys.
+                  right_key: str | Sequence[str], few_left: bool = False) -> DataFrame:
+    """Left rows without a match (a NULL key matches nothing).
+
+    ``few_left``: the left side is expected to be far smaller than the right
+    one. The right keys are then first reduced to those that occur on the
+    left, by a semi join in which the planner can broadcast the left keys, so
+    the big side is not shuffled; if it cannot, the result is the same.
     """
     lks, rks = _keys(left_key), _keys(right_key)
-    keys = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rks)]).dropna()
-    if _small(right, broadcast_rows):
-        # Duplicate build keys do not change an anti join: no distinct needed.
-        keys = F.broadcast(keys)
-    elif _small(left, broadcast_rows):
-        probe = left.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(lks)])
-        # distinct: at most one row per left key, so the broadcast is bounded
-        # by the checked left side even if the right side repeats keys.
-        keys = F.broadcast(keys.join(F.broadcast(probe), [f"__rk{i}" for i in range(len(rks))],
-                                     "left_semi").distinct())
-    else:
-        # Shuffle join: partial distinct shrinks a duplicate-heavy side first.
-        keys = keys.distinct()
+    names = [f"__rk{i}" for i in range(len(rks))]
+    keys = right.select(*[F.col(k).alias(n) for k, n in zip(rks, names, strict=True)]).dropna()
+    if few_left:
+        keys = keys.join(left.select(*[F.col(k).alias(n) for k, n in zip(lks, names, strict=True)]),
+                         names, "left_semi")
+    keys = keys.distinct()
     cond = None
     for i, k in enumerate(lks):
         c = left[k] == keys[f"__rk{i}"]
@@ -127,12 +86,16 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     re-runs."""
     keys = list(keys)
     fresh = first_per_key(incoming, keys, order)
-    have = existing.select(*keys)
-    if _small(incoming, DEFAULT_BROADCAST_ROWS):
-        # Few incoming rows against a big table: find the existing keys that
-        # matter with a broadcast semi join inside the table's own scan, so
-        # the table is never shuffled.
-        # distinct keeps the broadcast bounded by the checked incoming side.
-        have = F.broadcast(have.join(F.broadcast(fresh.select(*keys)), keys, "left_semi").distinct())
-    # The existing table is duplicate-free by construction: no distinct.
-    return fresh.join(have, keys, "left_anti")
+    names = [f"__k{i}" for i in range(len(keys))]
+
+    def same(a: DataFrame, b: DataFrame, b_keys: Sequence[str]) -> Column:
+        cond = F.lit(True)  # NULL is a key value like any other
+        for k, n in zip(b_keys, names, strict=True):
+            cond = cond & b[k].eqNullSafe(a[n])
+        return cond
+
+    have = existing.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    # Incoming rows are few against the table: its keys are reduced to those
+    # that matter inside its own scan, where the planner broadcasts the few.
+    have = have.join(fresh.select(*keys), same(have, fresh, keys), "left_semi").distinct()
+    return fresh.join(have, same(have, fresh, keys), "left_anti")

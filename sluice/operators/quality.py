@@ -90,7 +90,7 @@ def _default_message(rule: Rule) -> str:
 def findings(rules: Sequence[Rule]) -> Column:
     """``array<struct<rule_pos, rule_id, column, offending, message>>`` of
     the rules a row violates, in rule order (empty array when clean)."""
-    items = []
+    items, any_bad = [], F.lit(False)
     for pos, r in enumerate(rules):
         cond, offending = _violated(r)
         item = F.struct(
@@ -98,7 +98,10 @@ def findings(rules: Sequence[Rule]) -> Column:
             F.lit(r.column).alias("column"), offending.cast("string").alias("offending"),
             F.lit(r.message or _default_message(r)).alias("message"))
         items.append(F.when(cond, item))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+        any_bad = any_bad | cond
+    # Clean rows, the most, build no findings.
+    found = F.filter(F.array(*items), lambda x: x.isNotNull())
+    return F.when(any_bad, found).otherwise(F.filter(F.array(*items[:1]), lambda x: F.lit(False)))
 
 
 def flag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -129,22 +132,35 @@ def write_split(flagged: DataFrame, path: str, status_col: str = "quality") -> N
 
 
 class ValidationError(ValueError):
-    pass
+    """``findings`` (from ``gate``) has every finding as a DataFrame."""
 
+    findings: DataFrame | None = None
 
-def gate(df: DataFrame, rules: Sequence[Rule], row_id: str | Column, show: int = 20) -> None:
+
+def gate(df: DataFrame, rules: Sequence[Rule], row_id: str | Column, show: int = 20,
+         findings_path: str | None = None) -> None:
     """V2: raise before any write when any row violates any rule.
 
-    Two small jobs (a top-``show`` sample and a count); only the sample
-    findings reach the driver.
+    The exception carries every finding as a DataFrame; with
+    ``findings_path`` they are first written there as Parquet. The message
+    itself quotes the first ``show``.
     """
     found = violations(df, rules, row_id)
+    n = found.count()
+    if not n:
+        return
+    if findings_path is not None:
+        found.write.mode("overwrite").parquet(findings_path)
+        found = df.sparkSession.read.schema(found.schema).parquet(findings_path)
     sample = found.orderBy("row_id", "rule_pos").limit(show).collect()
-    if sample:
-        n = found.count()
-        lines = [f"Row {r.row_id}: {r.message}" + (f" [{r.offending}]" if r.offending else "")
-                 for r in sample]
-        raise ValidationError(f"{n} validation finding(s):\n" + "\n".join(lines))
+    lines = [f"Row {r.row_id}: {r.message}" + (f" [{r.offending}]" if r.offending else "")
+             for r in sample]
+    more = f"\n... {n - len(sample)} more" if n > len(sample) else ""
+    if findings_path is not None:
+        more += f"\nAll findings: {findings_path}"
+    error = ValidationError(f"{n} validation finding(s):\n" + "\n".join(lines) + more)
+    error.findings = found
+    raise error
 
 
 def observe_quality(flagged: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation]:

@@ -28,7 +28,7 @@ from ..operators.explode import explode_list
 from ..operators.lookup import insert_if_absent, lookup
 from ..operators.outcomes import run_summary, with_outcome
 from ..sinks import lake
-from ..sources.control import read_control, read_csv_text, with_row_number
+from ..sources.control import MALFORMED, read_control, read_csv_text, with_row_number
 
 # Validation rules in reporting order: the five checks of the original tool,
 # then two of ours (schema and source table must be present too).
@@ -45,14 +45,16 @@ CONTROL_RULES = (
     Q.Rule("source_empty", "icdsTableName", "not_blank", message="icdsTableName is empty"),
 )
 
-DEFAULT_TAGS = ("Ephemeral", "SLT")
-DEFAULT_ACCOUNT = "svc-ingest-{suffix}@lake-{suffix}-{env}.example"
 
+def control_rules() -> tuple[Q.Rule, ...]:
+    """First the row's shape (the number of fields of the header), then ``CONTROL_RULES``."""
+    malformed = Q.Rule("row_malformed", MALFORMED, "expr", message="wrong number of fields",
+                       predicate=F.col(MALFORMED).isNotNull())
+    return (malformed, *CONTROL_RULES)
 
-def control_findings(control: DataFrame, rules: Sequence[Q.Rule] = CONTROL_RULES) -> DataFrame:
-    """V1 over the control table: (row_id 1-based, rule, message, offending)."""
-    numbered = with_row_number(control, "row_id")
-    return Q.violations(numbered, rules, "row_id")
+
+DEFAULT_TAGS = ("Ephemeral", "SLT")
+DEFAULT_ACCOUNT = "svc-ingest-{suffix}@lake-{suffix}-{env}.example"
 
 
 def work_items(control: DataFrame, lake_root: str = "output") -> DataFrame:
@@ -115,14 +117,15 @@ def storage_mapping(export: DataFrame, by_schema: bool = True,
 
 
 def resolve_items(items: DataFrame, mapping: DataFrame, scheme: str = "gs://") -> DataFrame:
-    """J1 + J2 + C1: look every item up; misses become error outcomes."""
+    """J1 + J2 + C1: look every item up in a mapping with one row per key (as
+    ``storage_mapping`` gives it); misses become error outcomes."""
     m = mapping.withColumn("__o", F.lit(0))
     if "dlSchemaName" in mapping.columns:
         j = lookup(items, m, ["schema", "table_name"], ["dlSchemaName", "dlTableName"],
-                   order=["__o"], values=["bucket_id"], hit_col="_hit")
+                   order=["__o"], values=["bucket_id"], hit_col="_hit", right_is_unique=True)
     else:
         j = lookup(items, m, "table_name", "dlTableName", order=["__o"], values=["bucket_id"],
-                   hit_col="_hit")
+                   hit_col="_hit", right_is_unique=True)
     out = with_outcome(j, [
         (F.col("table_name").isNull(), "bad_name", F.lit("table name could not be derived")),
         (~F.col("_hit"), "not_found",
@@ -142,14 +145,17 @@ class ControlRun:
 
 def run(spark: SparkSession, control_path: str, mapping_export_path: str, env: str = "dev",
         request_log_path: str | None = None, dry_run: bool = False,
-        fail_on_item_error: bool = False, by_schema: bool = True) -> ControlRun:
+        fail_on_item_error: bool = False, by_schema: bool = True,
+        findings_path: str | None = None) -> ControlRun:
     """The whole control plane. Raises ``ValidationError`` when any control
-    row is invalid (nothing is written then). ``dry_run`` stops after
+    row is invalid; nothing is written then but, with ``findings_path``, all
+    findings (the exception carries them too). ``dry_run`` stops after
     validation."""
-    control = read_control(spark, control_path, schemas.CONTROL_REQUIRED)
+    control = read_control(spark, control_path, schemas.CONTROL_REQUIRED, keep_malformed=True)
     numbered = with_row_number(control, "row_id")
-    findings = Q.violations(numbered, CONTROL_RULES, "row_id")
-    Q.gate(numbered, CONTROL_RULES, "row_id")
+    rules = control_rules()
+    findings = Q.violations(numbered, rules, "row_id")
+    Q.gate(numbered, rules, "row_id", findings_path=findings_path)
     if dry_run:
         return ControlRun(findings)
     for opt in ("keyPreCombine", "keyPrimaryKey"):

@@ -11,13 +11,17 @@ loads can merge into it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ..sinks import lake
-from ..sinks.upsert import UpsertResult, create_table, suggest_num_buckets, upsert
-from ..session import ensure_checkpoint_dir
+from ..operators.outcomes import run_summary
+from ..sinks.upsert import (BUCKET_COL, META_COLS, UpsertResult, create_table, read_meta, snapshot, suggest_num_buckets,
+                            table_exists, upsert)
+from ..sources.tables import extract_raw
 
 LOAD_TS = "ds_load_ts"
 
@@ -31,8 +35,15 @@ def key_list(spec: str | Sequence[str]) -> list[str]:
     return keys
 
 
+UNKNOWN_BYTES = 1 << 60
+
+
 def _size_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """The planner's size estimate; fails where it has none (a JDBC source)."""
+    n = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if n >= UNKNOWN_BYTES:
+        raise ValueError("the source's size is unknown: num_buckets is required to create the table")
+    return n
 
 
 def load_item(spark: SparkSession, source: DataFrame, target_path: str, load_type: str,
@@ -43,7 +54,8 @@ def load_item(spark: SparkSession, source: DataFrame, target_path: str, load_typ
 
     A precombine column named ``ds_load_ts`` that the source lacks is the
     run's load timestamp: one literal for the whole run (K8). The bucket
-    count of a new table is sized from the source's size estimate.
+    count of a new table is ``num_buckets``, or sized from the source's size
+    if the planner knows it; an existing table keeps its own.
     """
     keys = key_list(primary_key)
     order = key_list(precombine)
@@ -53,12 +65,68 @@ def load_item(spark: SparkSession, source: DataFrame, target_path: str, load_typ
     if missing:
         raise ValueError(f"source lacks key/precombine column(s): {missing}")
     kind = (load_type or "").strip().upper()
-    n = num_buckets or suggest_num_buckets(_size_bytes(source))
+    if kind not in ("INC", "FULL"):
+        raise ValueError(f"unknown load type {load_type!r}; expected INC or FULL")
+    if num_buckets is None:
+        if table_exists(spark, target_path):  # fixed when the table was created; see rebucket
+            num_buckets = int(read_meta(spark, target_path)["num_buckets"])
+        else:
+            num_buckets = suggest_num_buckets(_size_bytes(source))
     if kind == "INC":
-        return upsert(spark, source, target_path, keys, order, run_id=run_id, num_buckets=n)
-    if kind == "FULL":
-        if lake.reads_path(source, target_path):
-            ensure_checkpoint_dir(spark)
-            source = source.checkpoint(eager=True)
-        return create_table(spark, source, target_path, keys, order, n, run_id)
-    raise ValueError(f"unknown load type {load_type!r}; expected INC or FULL")
+        return upsert(spark, source, target_path, keys, order, run_id=run_id, num_buckets=num_buckets)
+    return create_table(spark, source, target_path, keys, order, num_buckets, run_id)
+
+
+@dataclass
+class ItemRun:
+    outcomes: DataFrame  # one row per item: status, error_class, error, table, counts
+    summary: DataFrame
+
+
+_OUTCOME = ("table_name string, load_type string, lake_path string, status string, error_class string, "
+            "error string, rows_raw long, rows_written long, rows_quarantined long, catalog_table string")
+
+
+def run_items(spark: SparkSession, items: DataFrame, source_of: Callable[[Row], DataFrame], raw_root: str,
+              run_started: dt.datetime, run_id: str, lake_path_of: Callable[[Row], str] | None = None,
+              database: str | None = None, comments: dict[str, str] | None = None,
+              num_buckets: int | None = None) -> ItemRun:
+    """Load every resolved work item: raw extract, INC or FULL load, external table.
+
+    Per item (``items`` as ``flow.resolve_items`` gives it): the source
+    ``source_of(item)`` is landed in the raw zone, stamped with the run's one
+    load timestamp, in a folder of this run (a repeated run replaces it); the
+    landed rows, not the source, are applied to the lake table; an external
+    table is registered over it, with the commit columns and with column
+    comments (keys are marked). An item that fails, or that did not resolve,
+    is an outcome and does not stop the rest. The driver walks over the
+    items, which are jobs, not rows: the control table bounds them.
+    """
+    out = []
+    for item in items.collect():
+        row = {"table_name": item["table_name"], "load_type": item["load_type"], "lake_path": item["lake_path"],
+               "status": item["status"], "error_class": item["error_class"], "error": item["error"],
+               "rows_raw": None, "rows_written": None, "rows_quarantined": None, "catalog_table": None}
+        if item["status"] == "ok":
+            try:
+                path = (lake_path_of or (lambda i: i["lake_path"]))(item)
+                raw = f"{raw_root.rstrip('/')}/{item['schema']}/{item['table_name']}/run={run_id}"
+                extract = extract_raw(source_of(item), None, None, lake.load_ts(run_started))
+                obs = Observation("raw")
+                extract.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(raw)
+                landed = spark.read.schema(extract.schema).parquet(raw)
+                result = load_item(spark, landed, path, item["load_type"], item["primary_key"],
+                                   item["precombine"] or LOAD_TS, run_started, run_id, num_buckets)
+                name = f"{database}.{item['table_name']}" if database else item["table_name"]
+                keys = set(key_list(item["primary_key"]))
+                notes = {c: "commit column" for c in META_COLS} | dict(comments or {})
+                notes |= {k: (notes[k] + " - " if k in notes else "") + "PRIMARY KEY" for k in keys}
+                lake.register_external_table(spark, name, path, snapshot(spark, path), [BUCKET_COL], notes)
+                row |= {"lake_path": path, "rows_raw": int(obs.get["n"]), "catalog_table": name,
+                        "rows_written": int(result.metrics["rows_written"]),
+                        "rows_quarantined": int(result.metrics["rows_quarantined"])}
+            except Exception as e:  # an item's failure is its outcome
+                row |= {"status": "error", "error_class": "load_failed", "error": f"{type(e).__name__}: {e}"[:2000]}
+        out.append(tuple(row.values()))
+    outcomes = spark.createDataFrame(out, _OUTCOME)
+    return ItemRun(outcomes, run_summary(outcomes))

@@ -1,4 +1,4 @@
-"""Explicit schemas of the control-plane tables. Inference is never used.
+"""Column names of the control-plane tables. Inference is never used.
 
 CSV inputs with a header whose full column list we do not own (the storage
 portal's export) are read with every column as text (``inferSchema`` off) and
@@ -7,21 +7,6 @@ then projected by name, so no 21-column schema has to be declared here.
 
 from __future__ import annotations
 
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
-
-
-def strings(*names: str) -> StructType:
-    return StructType([StructField(n, StringType(), True) for n in names])
-
-
-# Control table: one row per source table to ingest. All text; comma lists
-# stay text until ``explode_list`` splits them.
-CONTROL = strings(
-    "icdsTableName", "BANNER_NAME", "dataSensitivity", "OP-Company code",
-    "dlSchemaName", "dlTableName", "tableLoadType", "keyPreCombine",
-    "keyPrimaryKey", "bucket_id",
-)
-
 # Columns the validation phase requires to be present.
 CONTROL_REQUIRED = (
     "icdsTableName", "BANNER_NAME", "dataSensitivity",
@@ -32,17 +17,5 @@ CONTROL_REQUIRED = (
 MAPPING_SOURCE_KEY = "tableName"
 MAPPING_SOURCE_VALUE = "bucket_name"
 
-# Storage mapping: table name -> storage id (ids stay text: "12e5" is not a number).
-MAPPING = strings("dlTableName", "bucket_id")
-
-# Storage request log: one row per requested table store.
-REQUEST = StructType(
-    [StructField(n, StringType(), True) for n in (
-        "bucketNameType", "databaseName", "tableName", "opCmpnyCd", "refreshMode",
-        "storage_uploader", "storage_viewer")]
-    + [StructField("isDevBigLake", BooleanType(), True)]
-    + [StructField(n, StringType(), True) for n in ("updateSoftDelete", "resourceBucketType")]
-)
-
 # Key of a storage request: one request per (schema, table).
 REQUEST_KEY = ("databaseName", "tableName")

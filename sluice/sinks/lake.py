@@ -3,19 +3,21 @@ registration (K5), load timestamp (K8).
 
 Overwriting a path that the DataFrame itself reads would delete the input
 before it is read (static overwrite deletes first). ``overwrite`` detects that
-from the plan's input files and first cuts the lineage with ``checkpoint()``
-into the shared checkpoint folder, so the write never reads what it replaces.
+from the folders of the plan's input files and first writes the rows to a
+staging folder in the shared root, so the write never reads what it replaces.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 
 def load_ts(run_started: dt.datetime) -> Column:
@@ -27,20 +29,24 @@ def load_ts(run_started: dt.datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
-def _qualify(spark: SparkSession, p: str) -> str:
-    jp = spark._jvm.org.apache.hadoop.fs.Path(p)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    return str(fs.makeQualified(jp).toUri().normalize().toString()).rstrip("/")
+def _plain(path: str) -> tuple[str, str]:
+    """(scheme and authority, normalised path) of a path text."""
+    u = urlsplit(path)
+    return f"{u.scheme}://{u.netloc}" if u.scheme else "", posixpath.normpath("/" + u.path.lstrip("/"))
 
 
 def reads_path(df: DataFrame, path: str) -> bool:
-    """True when any input file of ``df`` lies under ``path`` (both sides
-    qualified, so ``/x``, ``file:/x`` and ``file:///x`` compare equal)."""
-    spark = df.sparkSession
-    root = _qualify(spark, path)
-    for f in df.inputFiles():
-        q = _qualify(spark, f)
-        if q == root or q.startswith(root + "/"):
+    """True when an input file of ``df`` lies under ``path``.
+
+    Folder texts are compared, once per folder, without asking the file
+    system. A path without a scheme matches any scheme (a needless staging
+    write at worst).
+    """
+    scheme, root = _plain(path)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        other, here = _plain(unquote(folder))
+        if (here == root or here.startswith(root.rstrip("/") + "/")) and (
+                not scheme or not other or scheme == other):
             return True
     return False
 
@@ -49,13 +55,24 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
               fmt: str = "parquet", options: Mapping[str, str] | None = None) -> None:
     """K1 / K3: replace the data at ``path`` with ``df`` (``fmt="csv"`` with
     ``options={"header": "true"}`` gives a CSV table with a header)."""
+    staging = None
     if reads_path(df, path):
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+        staging = scratch_path(df.sparkSession, "_overwrite")
+        df.write.parquet(staging)
+        df = df.sparkSession.read.schema(df.schema).parquet(staging)
+    try:
+        w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(path)
+    finally:
+        if staging:
+            _remove(df.sparkSession, staging)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet",
@@ -101,7 +118,6 @@ def register_external_table(spark: SparkSession, name: str, path: str, schema_of
 
 def _partition_sql(spec: str) -> str:
     """``a=1/b=x%20y`` (as SHOW PARTITIONS prints it) -> ``a='1', b='x y'``."""
-    from urllib.parse import unquote
     parts = []
     for kv in spec.split("/"):
         k, v = kv.split("=", 1)

@@ -21,20 +21,27 @@ One upsert run:
    (target + batch shuffled once by bucket, newer row per key kept, one file
    per bucket) or the *broadcast* merge (no target row shuffled: broadcast
    semi/anti joins on the batch keys inside the target scan). Either way the
-   result is written back with dynamic partition overwrite; untouched
+   result replaces those bucket folders; untouched
    buckets keep their files byte for byte. A broadcast merge leaves a bucket
    with about (bucket size / split size) + 1 files; ``compact`` (or the
    automatic fallback to the shuffle merge) rewrites crowded buckets.
 
-Failure model: tasks only read old files; old bucket folders are replaced at
-job commit, so a lost executor just re-runs tasks. A crash inside the commit
-can leave some buckets new and some old; each bucket is self-consistent and
-the upsert is idempotent, so re-applying the same batch repairs the table.
+Rows with a NULL key are never dropped: every run writes them to a quarantine
+folder of the table (``quarantined`` reads them back) and counts them.
+
+Failure model: new bucket folders are first written completely below
+``_sluice_pending``; then a commit file is put beside them; only then are the
+old folders replaced, one by one, by renames. A crash before the commit file
+leaves the old table (the leftovers are removed by the next run). A crash
+after it leaves the complete new folders, and the next reader or writer
+finishes the renames (``recover``). The same path serves create, FULL and INC.
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -55,6 +62,9 @@ PARTITION_PATH = "_partition_path"
 FILE_NAME = "_file_name"
 META_COLS = (COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY, PARTITION_PATH)
 _META_FILE = "_sluice_table.json"
+_PENDING = "_sluice_pending"
+_QUARANTINE = "_sluice_quarantine"
+_SPLIT = "__sluice_split"
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
@@ -109,7 +119,7 @@ def with_meta(df: DataFrame, keys: Sequence[str], run_id: str) -> DataFrame:
 class UpsertResult:
     path: str
     run_id: str
-    touched_buckets: list[int]
+    touched_buckets: list[int] | None  # None: all (create, FULL)
     metrics: dict = field(default_factory=dict)
     quarantine: DataFrame | None = None
     strategy: str = "create"
@@ -148,14 +158,91 @@ def read_num_buckets(spark: SparkSession, path: str) -> int:
     return int(read_meta(spark, path)["num_buckets"])
 
 
-def _write_meta(spark: SparkSession, path: str, n: int, keys: Sequence[str],
-                schema: StructType) -> None:
-    fs, _ = _jvm_fs(spark, path)
-    text = json.dumps({"num_buckets": n, "keys": list(keys), "schema": schema.jsonValue()})
-    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"), True)
-    writer = spark._jvm.java.io.OutputStreamWriter(out, "UTF-8")
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or absent: written beside its place, then renamed."""
+    fs, p = _jvm_fs(spark, path)
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    writer = spark._jvm.java.io.OutputStreamWriter(fs.create(tmp, True), "UTF-8")
     writer.write(text)
     writer.close()
+    fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _jvm_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def _meta_text(n: int, keys: Sequence[str], schema: StructType, splits: int) -> str:
+    return json.dumps({"num_buckets": n, "keys": list(keys), "splits": splits, "schema": schema.jsonValue()})
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a committed write that was interrupted; discard an uncommitted one.
+
+    Every step may be repeated: a new folder is renamed into place after the
+    old one is deleted, and stays in the pending folder until then. A FULL
+    write first deletes all old folders, and only then starts to rename.
+    """
+    pending = f"{path}/{_PENDING}"
+    fs, p = _jvm_fs(spark, pending)
+    if not fs.exists(p):
+        return
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    text = _read_text(spark, f"{pending}/commit.json")
+    if text is not None:
+        commit = json.loads(text)
+
+        def folders(at: str) -> list[str]:  # one per bucket: a table property
+            here = hadoop_path(at)
+            names = [f.getPath().getName() for f in fs.listStatus(here)] if fs.exists(here) else []
+            return [x for x in names if x.startswith(f"{BUCKET_COL}=")]
+
+        if commit["full"]:
+            for name in folders(path):
+                fs.delete(hadoop_path(f"{path}/{name}"), True)
+            commit["full"] = False
+            _write_text(spark, f"{pending}/commit.json", json.dumps(commit))
+        for name in folders(f"{pending}/data"):
+            fs.delete(hadoop_path(f"{path}/{name}"), True)
+            if not fs.rename(hadoop_path(f"{pending}/data/{name}"), hadoop_path(f"{path}/{name}")):
+                raise RuntimeError(f"could not move {name} into {path}")
+        if commit["meta"]:
+            _write_text(spark, f"{path}/{_META_FILE}", commit["meta"])
+    fs.delete(p, True)
+
+
+def _publish(spark: SparkSession, path: str, rows: DataFrame, full: bool, meta: str | None) -> None:
+    """Replace bucket folders by those of ``rows``: written, committed, moved."""
+    pending = f"{path}/{_PENDING}"
+    rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{pending}/data")
+    _write_text(spark, f"{pending}/commit.json", json.dumps({"full": full, "meta": meta}))
+    recover(spark, path)
+
+
+def _write_quarantine(spark: SparkSession, rejected: DataFrame, path: str, run_id: str
+                      ) -> tuple[int, DataFrame | None]:
+    """Rows with a NULL key, kept below the table; a repeated run replaces its own."""
+    folder = f"{path}/{_QUARANTINE}/run_id={re.sub('[^A-Za-z0-9_.-]', '_', run_id)}"
+    obs = Observation("quarantine")
+    rejected.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    n = int(obs.get["n"])
+    if not n:
+        _drop_staging(spark, folder)
+        return 0, None
+    return n, spark.read.schema(rejected.schema).parquet(folder)
+
+
+def quarantined(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows that runs on this table rejected for a NULL key, with ``run_id``;
+    None when there are none."""
+    fs, p = _jvm_fs(spark, f"{path}/{_QUARANTINE}")
+    if not fs.exists(p) or not len(fs.listStatus(p)):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(f"{path}/{_QUARANTINE}")
 
 
 def _drop_staging(spark: SparkSession, staging: str | None) -> None:
@@ -166,6 +253,7 @@ def _drop_staging(spark: SparkSession, staging: str | None) -> None:
 
 def snapshot(spark: SparkSession, path: str, with_file_name: bool = False) -> DataFrame:
     """Snapshot scan of a target table (copy-on-write: the plain scan)."""
+    recover(spark, path)
     reader = spark.read.option("basePath", path)
     if table_exists(spark, path):
         reader = reader.schema(StructType.fromJson(read_meta(spark, path)["schema"]))
@@ -195,6 +283,13 @@ def _check_schema(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
                           for c in _business_columns(target)])
 
 
+def _stored_keys(meta: dict, keys: Sequence[str], path: str) -> list[str]:
+    """The table's own key order; the bucket hash depends on it."""
+    if sorted(keys) != sorted(meta["keys"]):
+        raise ValueError(f"{path} is keyed by {meta['keys']}, not by {list(keys)}")
+    return list(meta["keys"])
+
+
 def suggest_num_buckets(table_bytes: int, bucket_bytes: int = 512 << 20) -> int:
     """A bucket count for a table of ``table_bytes``: buckets of about
     ``bucket_bytes`` (one file each per write), rounded up to a power of two.
@@ -203,23 +298,39 @@ def suggest_num_buckets(table_bytes: int, bucket_bytes: int = 512 << 20) -> int:
     return 1 << (n - 1).bit_length()
 
 
+def _spread(df: DataFrame, keys: Sequence[str], splits: int) -> DataFrame:
+    """One exchange for a write by bucket, with ``splits`` tasks per bucket."""
+    if splits <= 1:
+        return df.repartition(F.col(BUCKET_COL))
+    return df.repartition(F.col(BUCKET_COL), F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(splits)))
+
+
 def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                  precombine: Sequence[str | Column], num_buckets: int,
-                 run_id: str | None = None, tiebreak: Sequence[str | Column] = ()) -> UpsertResult:
-    """First load of a bucketed target: the deduplicated batch becomes the table."""
+                 run_id: str | None = None, tiebreak: Sequence[str | Column] = (),
+                 splits: int = 1) -> UpsertResult:
+    """First or FULL load of a bucketed target: the deduplicated batch becomes
+    the table. ``df`` may read the table itself: the old files go only after
+    the new ones are complete. ``splits`` tasks write each bucket (fixed for
+    the table, like ``num_buckets``).
+
+    Two exchanges, on purpose: the first (by key) is preceded by a per-task
+    reduction to one row per key, so a key with a third of all rows costs one
+    row per map task; the second deals the survivors to their buckets.
+    """
     run_id = run_id or uuid.uuid4().hex[:16]
-    clean, quarantine = split_null_keys(df, keys)
+    recover(spark, path)
+    clean, rejected = split_null_keys(df, keys)
     latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
-    staged = with_meta(latest.withColumn(BUCKET_COL, bucket_of(keys, num_buckets)), keys, run_id)
-    obs = Observation("create")
-    staged = staged.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    (staged.repartition(F.col(BUCKET_COL))
-     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+    rows = with_meta(latest.withColumn(BUCKET_COL, bucket_of(keys, num_buckets)), keys, run_id)
     # Partition column last, as the partitioned reader returns it.
-    schema = StructType([f for f in staged.schema.fields if f.name != BUCKET_COL]
-                        + [f for f in staged.schema.fields if f.name == BUCKET_COL])
-    _write_meta(spark, path, num_buckets, keys, schema)
-    return UpsertResult(path, run_id, list(range(num_buckets)), dict(obs.get), quarantine)
+    schema = StructType([f for f in rows.schema.fields if f.name != BUCKET_COL]
+                        + [f for f in rows.schema.fields if f.name == BUCKET_COL])
+    n_rejected, quarantine = _write_quarantine(spark, rejected, path, run_id)
+    obs = Observation("create")
+    rows = rows.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    _publish(spark, path, _spread(rows, keys, splits), True, _meta_text(num_buckets, keys, schema, splits))
+    return UpsertResult(path, run_id, None, {**obs.get, "rows_quarantined": n_rejected}, quarantine)
 
 
 # Merge strategy bounds. The shuffle merge moves every row of the touched
@@ -232,6 +343,7 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
 MERGE_BROADCAST_ROWS = 1_000_000
 SHUFFLE_MAX_BYTES = 1 << 30
 MAX_FILES_PER_BUCKET = 16
+MAX_IN_LIST = 1_000  # literals in a plan
 
 
 @dataclass
@@ -258,20 +370,21 @@ def files_per_bucket(spark: SparkSession, path: str, buckets: Sequence[int]) ->
 
 
 def _shuffle_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                   precombine: Sequence[str | Column]) -> DataFrame:
+                   precombine: Sequence[str | Column], splits: int = 1) -> DataFrame:
     """Target rows of the touched buckets and batch rows, shuffled once by
-    bucket; newer row per key kept. Rewrites each touched bucket as one file
-    (compaction)."""
+    bucket (and, with ``splits``, by key hash within it); newer row per key
+    kept. Rewrites each touched bucket as ``splits`` files (compaction)."""
     both = existing.withColumn(SRC_COL, F.lit(0)).unionByName(incoming.withColumn(SRC_COL, F.lit(1)))
-    # Shuffle by bucket only: each bucket lands in one task, and the window's
-    # clustering (b, keys) is already satisfied, so no second exchange.
-    w = (Window.partitionBy(F.col(BUCKET_COL), *[F.col(k) for k in keys])
+    # Shuffled by (bucket, split) only: the window's clustering (bucket, split,
+    # keys) is already satisfied, so there is no second exchange.
+    both = both.withColumn(_SPLIT, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(max(1, splits))))
+    w = (Window.partitionBy(F.col(BUCKET_COL), F.col(_SPLIT), *[F.col(k) for k in keys])
          .orderBy(*[(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in precombine],
                   F.col(SRC_COL).desc()))
-    return (both.repartition(F.col(BUCKET_COL))
+    return (both.repartition(F.col(BUCKET_COL), F.col(_SPLIT))
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") == 1)
-            .drop("__rn", SRC_COL))
+            .drop("__rn", SRC_COL, _SPLIT))
 
 
 def _broadcast_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -315,7 +428,11 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     Jobs run here: the batch checkpoint (which also counts its rows) and
     the touched bucket ids (at most N ints).
     """
-    n = read_num_buckets(spark, path)
+    recover(spark, path)
+    meta = read_meta(spark, path)
+    n, keys, splits = int(meta["num_buckets"]), _stored_keys(meta, keys, path), int(meta.get("splits", 1))
+    if strategy not in ("auto", "shuffle", "broadcast"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
     target = snapshot(spark, path)
     batch = _check_schema(batch, target, keys)
     clean, quarantine = split_null_keys(batch, keys)
@@ -340,8 +457,12 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     # Bounded by n: the bucket ids, never the rows.
     touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
     incoming = with_meta(latest, keys, run_id)
-    # All buckets touched: no pruning to do, and no N-literal IN list to plan.
-    existing = target if len(touched) == n else target.filter(F.col(BUCKET_COL).isin(touched))
+    if len(touched) == n:
+        existing = target  # nothing to prune
+    elif len(touched) <= MAX_IN_LIST:
+        existing = target.filter(F.col(BUCKET_COL).isin(touched))
+    else:  # at most n ids: a broadcast side of bounded size, which prunes the scan at run time
+        existing = target.join(F.broadcast(latest.select(BUCKET_COL).distinct()), BUCKET_COL, "left_semi")
 
     if strategy == "auto":
         table_bytes = int(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -351,50 +472,52 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
                    and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket)
         strategy = "broadcast" if big_target and small_batch and not crowded else "shuffle"
     if strategy == "broadcast" and rows > broadcast_rows:
-        # Never broadcast past the counted bound, even when asked to.
-        strategy = "shuffle"
+        _drop_staging(spark, staged)
+        raise ValueError(f"a batch of {rows} keys is over the broadcast bound of {broadcast_rows}")
     if strategy == "broadcast":
         merged = _broadcast_merge(existing, incoming, keys, precombine)
-    elif strategy == "shuffle":
-        merged = _shuffle_merge(existing, incoming, keys, precombine)
     else:
-        raise ValueError(f"unknown merge strategy {strategy!r}")
+        merged = _shuffle_merge(existing, incoming, keys, precombine, splits)
     return UpsertPlan(merged, touched, quarantine, strategy, staged)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            precombine: Sequence[str | Column], run_id: str | None = None,
            tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None,
-           strategy: str = "auto", **plan_options) -> UpsertResult:
+           strategy: str = "auto", splits: int = 1, **plan_options) -> UpsertResult:
     """K4: apply ``batch`` to the bucketed table at ``path``.
 
     Creates the table when it does not exist (``num_buckets`` required then).
+    An existing table keeps its own keys, in its own order: a batch keyed by
+    other columns fails before anything is written.
     """
     run_id = run_id or uuid.uuid4().hex[:16]
+    recover(spark, path)
     if not table_exists(spark, path):
         fs, p = _jvm_fs(spark, path)
-        if fs.exists(p) and len(fs.listStatus(p)) > 0:
+        if fs.exists(p) and any(not f.getPath().getName().startswith("_sluice_") for f in fs.listStatus(p)):
             raise ValueError(f"{path} holds files but is not a bucketed upsert table; "
                              "refusing to overwrite it")
         if num_buckets is None:
             raise ValueError(f"no table at {path}; num_buckets is required to create it")
-        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak)
+        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak, splits)
 
     plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy,
                        **plan_options)
-    if plan.merged is None:
-        _drop_staging(spark, plan.staging)
-        return UpsertResult(path, run_id, [], {"rows_written": 0}, plan.quarantine, "none")
-    obs = Observation("upsert")
-    merged = plan.merged.observe(
-        obs, F.count(F.lit(1)).alias("rows_written"),
-        F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
-    # Committed: the frozen batch is no longer read by anything.
-    _drop_staging(spark, plan.staging)
-    return UpsertResult(path, run_id, plan.touched_buckets, dict(obs.get), plan.quarantine,
-                        plan.strategy)
+    try:
+        n_rejected, quarantine = _write_quarantine(spark, plan.quarantine, path, run_id)
+        if plan.merged is None:
+            return UpsertResult(path, run_id, [], {"rows_written": 0, "rows_quarantined": n_rejected},
+                                quarantine, "none")
+        obs = Observation("upsert")
+        merged = plan.merged.observe(
+            obs, F.count(F.lit(1)).alias("rows_written"),
+            F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
+        _publish(spark, path, merged, False, None)
+        return UpsertResult(path, run_id, plan.touched_buckets,
+                            {**obs.get, "rows_quarantined": n_rejected}, quarantine, plan.strategy)
+    finally:
+        _drop_staging(spark, plan.staging)  # the frozen batch
 
 
 def compact(spark: SparkSession, path: str, min_files: int = MAX_FILES_PER_BUCKET) -> list[int]:
@@ -408,9 +531,20 @@ def compact(spark: SparkSession, path: str, min_files: int = MAX_FILES_PER_BUCKE
     counts = files_per_bucket(spark, path, range(n))
     crowded = sorted(b for b, c in counts.items() if c >= min_files)
     if crowded:
+        meta = read_meta(spark, path)
         rows = snapshot(spark, path).filter(F.col(BUCKET_COL).isin(crowded))
-        (rows.repartition(F.col(BUCKET_COL))
-         .sortWithinPartitions(BUCKET_COL, *read_meta(spark, path)["keys"])
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET_COL).parquet(path))
+        rows = (_spread(rows, meta["keys"], int(meta.get("splits", 1)))
+                .sortWithinPartitions(BUCKET_COL, *meta["keys"]))
+        _publish(spark, path, rows, False, None)
     return crowded
+
+
+def rebucket(spark: SparkSession, path: str, num_buckets: int, splits: int = 1) -> None:
+    """Deal the table anew to ``num_buckets`` buckets (a table that has grown).
+    Rows keep their commit columns; only the partition path follows."""
+    recover(spark, path)
+    meta = read_meta(spark, path)
+    rows = (snapshot(spark, path).withColumn(BUCKET_COL, bucket_of(meta["keys"], num_buckets))
+            .withColumn(PARTITION_PATH, F.concat(F.lit(BUCKET_COL + "="), F.col(BUCKET_COL).cast("string"))))
+    _publish(spark, path, _spread(rows, meta["keys"], splits), True,
+             json.dumps({**meta, "num_buckets": num_buckets, "splits": splits}))

@@ -6,38 +6,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.fixed import NA_TOKENS
 from ..operators.quality import require_columns, require_rows
 
-# Upper bound on input partitions for which the per-partition offset table
-# is broadcast (one row per partition).
-MAX_OFFSET_ROWS = 1_000_000
+MALFORMED = "_malformed"
 
 
 def read_csv_text(spark: SparkSession, path: str, na_tokens: Sequence[str] = NA_TOKENS,
-                  multi_line: bool = False) -> DataFrame:
+                  multi_line: bool = False, keep_malformed: bool = False) -> DataFrame:
     """CSV with header, every column text (no inference), missing-value
     tokens (``NA``, ``None``, empty, ...) read as NULL. Whitespace-only text
     stays text. CRLF line ends and blank lines are handled by the reader.
 
     Files stay splittable (parallel read) unless ``multi_line`` is asked for,
     which is only needed when quoted fields contain line breaks.
+
+    A row whose number of fields is not the header's is never cut or padded in
+    silence: reading it fails, or, with ``keep_malformed``, the column
+    ``_malformed`` holds its text (NULL for good rows).
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("multiLine", multi_line).option("escape", '"').csv(path))
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("multiLine", multi_line).option("escape", '"'))
+    names = reader.csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, MALFORMED]])
+    df = (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+          .option("enforceSchema", True).option("columnPruning", False).schema(schema).csv(path))
     tokens = list(na_tokens)
-    return df.select(*[
+    # Spark refuses a scan of nothing but the malformed-row column, so it
+    # carries an (empty) part of the first column.
+    malformed = F.concat(F.col(MALFORMED), F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+    out = df.select(*[
         F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string"))
          .otherwise(F.col(f"`{c}`")).alias(c)
-        for c in df.columns])
+        for c in names], malformed.alias(MALFORMED))
+    if keep_malformed:
+        return out
+    bad = F.raise_error(F.concat(F.lit(f"row with a wrong number of fields in {path}: "), F.col(MALFORMED)))
+    return out.filter(F.when(F.col(MALFORMED).isNull(), True).otherwise(bad.cast("boolean"))).drop(MALFORMED)
 
 
-def read_control(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
+def read_control(spark: SparkSession, path: str, required: Sequence[str],
+                 keep_malformed: bool = False) -> DataFrame:
     """S1 + S2 + S3 for a control table."""
-    df = read_csv_text(spark, path)
+    df = read_csv_text(spark, path, keep_malformed=keep_malformed)
     require_columns(df, required)
     require_rows(df, path)
     return df
@@ -46,24 +62,30 @@ def read_control(spark: SparkSession, path: str, required: Sequence[str]) -> Dat
 def with_row_number(df: DataFrame, name: str = "row_num") -> DataFrame:
     """1-based row number in input order, computed distributed.
 
-    Each row gets (input partition, position in partition) right after the
-    scan; a tiny per-partition count table gives every partition its
-    starting offset (prefix sum over at most #partitions rows, broadcast),
-    so no global single-task window over the data is needed. The input
-    partitioning of a file scan is deterministic, so both passes agree.
+    Input order is the order of file paths, then of the place in the file
+    (a frame that is no file scan: the order of its partitions). Every row
+    gets its input split and its position there right after the scan; one
+    row per split (a listing the driver holds anyway) gives every split its
+    starting offset, so no global window over the data is needed. The planner
+    chooses the join.
 
     Apply it directly on a scan (optionally after narrow filters/projections),
     never on a shuffle output: rows inside a post-shuffle partition may come
     in a different order each time the partition is computed.
     """
-    tagged = df.select("*", F.spark_partition_id().alias("__pid"),
-                       F.monotonically_increasing_id().alias("__mid"))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    if df.rdd.getNumPartitions() <= MAX_OFFSET_ROWS:
-        offsets = F.broadcast(offsets)
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    return (tagged.join(offsets, "__pid")
-            .select(*[F.col(f"`{c}`") for c in df.columns],
-                    (F.col("__off") + local + F.lit(1)).alias(name)))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    mid = F.monotonically_increasing_id()
+    try:
+        if not df.inputFiles():
+            raise AnalysisException("no file scan")
+        tagged = df.select(*cols, F.col("_metadata.file_path").alias("__f"),
+                           F.col("_metadata.file_block_start").alias("__s"), mid.alias("__mid"))
+        tagged.schema  # noqa: B018 - resolves the hidden column
+    except AnalysisException:
+        tagged = df.select(*cols, F.lit("").alias("__f"), F.spark_partition_id().cast("long").alias("__s"),
+                           mid.alias("__mid"))
+    splits = tagged.groupBy("__f", "__s").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    before = Window.orderBy("__f", "__s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("__f", "__s", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return (tagged.join(offsets, ["__f", "__s"])
+            .select(*cols, (F.col("__off") + F.col("__mid") - F.col("__first") + F.lit(1)).alias(name)))

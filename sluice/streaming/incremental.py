@@ -2,8 +2,9 @@
 
 The raw zone is append-only (one extract per run, S5). A file-source stream
 with ``trigger(availableNow=True)`` picks up every raw file not processed yet,
-in bounded micro-batches, and ``foreachBatch`` applies the bucketed upsert
-(K4) to each. The stream checkpoint records which files were applied, so a
+in micro-batches (of at most ``max_files_per_trigger`` files, if given), and
+``foreachBatch`` applies the bucketed upsert (K4) to each; rows with a NULL key
+go to the table's quarantine folder. The stream checkpoint records which files were applied, so a
 restarted or retried run neither skips nor re-applies an extract (and a
 re-applied micro-batch is harmless anyway: the upsert is idempotent).
 

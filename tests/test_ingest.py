@@ -38,3 +38,34 @@ def test_bad_items(spark, tmp_dir):
         load_item(spark, df, f"{tmp_dir}/x", "INC", "clnt,site", "ds_load_ts", T0, num_buckets=2)
     with pytest.raises(ValueError, match="load type"):
         load_item(spark, df, f"{tmp_dir}/x", "DELTA", "clnt", "ds_load_ts", T0, num_buckets=2)
+
+
+def test_unknown_source_size_needs_a_bucket_count(spark, tmp_dir, monkeypatch):
+    from sluice.plans import ingest
+    monkeypatch.setattr(ingest, "UNKNOWN_BYTES", 0)
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(ValueError, match="num_buckets is required"):
+        load_item(spark, df, f"{tmp_dir}/x", "INC", "k", "ds_load_ts", T0)
+    load_item(spark, df, f"{tmp_dir}/x", "INC", "k", "ds_load_ts", T0, num_buckets=2)
+    load_item(spark, df, f"{tmp_dir}/x", "INC", "k", "ds_load_ts", T1)  # the table's own count
+
+
+def test_run_items_goes_on_after_a_failure(spark, tmp_dir):
+    from sluice.plans.ingest import run_items
+    items = spark.createDataFrame(
+        [("good", "s", "INC", "k", "ds_load_ts", f"{tmp_dir}/good", "ok", None, None),
+         ("bad", "s", "INC", "nokey", "ds_load_ts", f"{tmp_dir}/bad", "ok", None, None),
+         ("lost", "s", "INC", "k", "ds_load_ts", None, "error", "not_found", "no storage")],
+        "table_name string, schema string, load_type string, primary_key string, precombine string, "
+        "lake_path string, status string, error_class string, error string")
+    src = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    spark.sql("CREATE DATABASE IF NOT EXISTS run_items_test")
+    run = run_items(spark, items, lambda i: src, f"{tmp_dir}/raw", T0, "r1", database="run_items_test", num_buckets=2)
+    got = {r.table_name: r for r in run.outcomes.collect()}
+    assert (got["good"].status, got["good"].rows_raw, got["good"].rows_written, got["good"].rows_quarantined) == (
+        "ok", 2, 1, 1)
+    assert got["bad"].error_class == "load_failed" and got["lost"].error_class == "not_found"
+    desc = {r.col_name: r.comment for r in spark.sql("DESCRIBE TABLE run_items_test.good").collect()}
+    assert desc["k"] == "PRIMARY KEY" and desc["_record_key"] == "commit column"
+    assert spark.table("run_items_test.good").count() == 1
+    spark.sql("DROP DATABASE run_items_test CASCADE")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.lookup import has_at_most, insert_if_absent, lookup, lookup_misses
+from sluice.operators.lookup import insert_if_absent, lookup, lookup_misses
 from sluice.operators.quality import ValidationError
 from sluice.operators.setops import missing_columns, union_by_name
 from sluice.plans import flow
@@ -17,11 +17,8 @@ def test_lookup_first_match_and_broadcast_when_checked(spark):
     got = sorted((r.k, r.v, r.hit) for r in out.collect())
     assert got == [("a", "first", True), ("b", None, False), ("c", None, False)]
     assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-    big = lookup(left, right, "k", "k", order=["o"], values=["v"], broadcast_rows=2)
-    assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
     miss = lookup_misses(left, right, "k", "k")
     assert sorted(r.k for r in miss.collect()) == ["b", "c"]
-    assert has_at_most(right, 3) and not has_at_most(right, 2)
 
 
 def test_insert_if_absent_no_growth_on_rerun(spark):
@@ -124,15 +121,17 @@ def test_mapping_drops_failed_rows_when_asked(spark, tmp_dir):
     assert [r.bucket_id for r in ok] == ["id-good"]
 
 
-def test_small_left_against_big_right_never_shuffles_right(spark):
+def test_small_left_against_big_right_never_shuffles_right(spark, tmp_dir):
     big = spark.range(0, 50000).select(F.col("id").cast("string").alias("k"))
-    small = spark.createDataFrame([("5",), ("x",), ("y",)], "k string")
-    miss = lookup_misses(small, big, "k", "k", broadcast_rows=10)
+    # Tables whose size the planner knows; it chooses the broadcasts.
+    spark.createDataFrame([("5",), ("x",), ("y",)], "k string").write.parquet(f"{tmp_dir}/small")
+    spark.createDataFrame([("5", 1), ("z", 2), ("z", 3)], "k string, seq int").write.parquet(f"{tmp_dir}/incoming")
+    small = spark.read.parquet(f"{tmp_dir}/small")
+    miss = lookup_misses(small, big, "k", "k", few_left=True)
     assert sorted(r.k for r in miss.collect()) == ["x", "y"]
     plan = miss._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan and "SortMergeJoin" not in plan
-    incoming = spark.createDataFrame([("5", 1), ("z", 2), ("z", 3)], "k string, seq int")
-    new = insert_if_absent(big, incoming, ["k"], ["seq"])
+    new = insert_if_absent(big, spark.read.parquet(f"{tmp_dir}/incoming"), ["k"], ["seq"])
     assert [(r.k, r.seq) for r in new.collect()] == [("z", 2)]
     assert "SortMergeJoin" not in new._jdf.queryExecution().executedPlan().toString()
 
@@ -153,15 +152,58 @@ def test_cli(spark, tmp_dir, capsys):
 
 
 def test_shuffle_lookup_with_hot_key(spark):
-    # Neither side passes the broadcast bound: shuffle join; one key holds a
-    # third of the left rows (AQE may split its partition); results whole.
+    # One key holds a third of the left rows; with broadcasts off the join
+    # shuffles (AQE may split the partition); results whole.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     hot = spark.range(0, 20000).select(F.lit("h").alias("k"), F.col("id"))
     cold = spark.range(0, 40000).select(F.col("id").cast("string").alias("k"), F.col("id"))
     left = hot.unionByName(cold)
     right = spark.range(0, 40000).select(F.col("id").cast("string").alias("k"),
                                          F.lit(1).alias("o"), (F.col("id") * 2).alias("v"))
     right = right.unionByName(spark.createDataFrame([("h", 1, -1), ("h", 0, -2)], "k string, o int, v long"))
-    out = lookup(left, right, "k", "k", order=["o"], values=["v"], broadcast_rows=10, hit_col="hit")
+    out = lookup(left, right, "k", "k", order=["o"], values=["v"], hit_col="hit")
     assert out.count() == 60000
     assert out.filter("k = 'h'").select("v").distinct().collect()[0].v == -2
     assert out.filter("NOT hit").count() == 0
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_keys_are_not_inserted_again(spark):
+    existing = spark.createDataFrame([("s", None)], "db string, t string")
+    incoming = spark.createDataFrame([("s", None, 1), ("s", "x", 2), (None, None, 3)], "db string, t string, seq int")
+    new = insert_if_absent(existing, incoming, ["db", "t"], ["seq"])
+    assert sorted(r.seq for r in new.collect()) == [2, 3]
+
+
+def test_no_job_while_a_plan_is_built(spark):
+    items = spark.range(50).select(F.col("id").cast("string").alias("table_name"), F.lit("s").alias("schema"))
+    mapping = spark.range(50).select(F.col("id").cast("string").alias("dlTableName"), F.lit("s").alias("dlSchemaName"),
+                                     F.lit("b").alias("bucket_id"))
+    spark.sparkContext.setJobGroup("plan-only", "no job may run")
+    out = flow.resolve_items(items, mapping)
+    lookup_misses(items, mapping, "table_name", "dlTableName", few_left=True)
+    insert_if_absent(items, items.withColumn("o", F.lit(1)), ["table_name"], ["o"])
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    assert out.filter("status = 'ok'").count() == 50
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_fields_beyond_the_header_are_findings(spark, tmp_dir):
+    c = write_text(f"{tmp_dir}/c.csv", CONTROL.replace('"MDD,MAK,MSB",hs', "MDD,MAK,MSB,hs") + "SRCC,MDD\n")
+    m = write_text(f"{tmp_dir}/e.csv", EXPORT)
+    with pytest.raises(ValidationError) as e:
+        flow.run(spark, c, m, findings_path=f"{tmp_dir}/findings")
+    bad = {r.row_id for r in e.value.findings.filter("rule_id = 'row_malformed'").collect()}
+    assert bad == {2, 3}
+    assert spark.read.parquet(f"{tmp_dir}/findings").count() == e.value.findings.count()
+    from sluice.sources.control import read_csv_text
+    with pytest.raises(Exception, match="wrong number of fields"):
+        read_csv_text(spark, c).select("dlTableName").collect()
+
+
+def test_gate_reports_all_findings(spark):
+    from sluice.operators import quality as Q
+    df = spark.range(700).withColumn("v", F.lit(None).cast("string"))
+    with pytest.raises(ValidationError, match="700 validation") as e:
+        Q.gate(df, [Q.Rule("r", "v", "not_blank")], "id")
+    assert e.value.findings.count() == 700

@@ -85,3 +85,16 @@ def test_row_number_is_input_order_across_partitions(spark):
     out = with_row_number(df, "rn")
     assert out.filter("rn != id + 1").count() == 0
     assert out.count() == 10007
+
+
+def test_row_number_follows_files(spark, tmp_dir):
+    small = "".join(f"{i}\n" for i in range(5))
+    large = "".join(f"{i}\n" for i in range(5, 5005))
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    write_text(f"{tmp_dir}/in/a.csv", "n\n" + small)
+    write_text(f"{tmp_dir}/in/b.csv", "n\n" + large)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # b.csv in several splits, read before a.csv
+    out = with_row_number(read_csv_text(spark, f"{tmp_dir}/in"), "rn")
+    assert out.filter("rn != cast(n as int) + 1").count() == 0 and out.count() == 5005
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -11,6 +11,7 @@ sys.path.insert(0, ROOT + "/tools")
 from check_oracle import TABLES, digest  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from sluice.plans import registry  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

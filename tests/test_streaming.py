@@ -30,3 +30,12 @@ def test_stream_applies_each_extract_once(spark, tmp_dir):
     after = sorted(map(tuple, snapshot(spark, table).select("k", "v", "_commit_time").collect()))
     assert before == after
     assert snapshot(spark, table).filter(F.col("_commit_time").startswith("stream-")).count() == 15
+
+
+def test_stream_null_key_is_quarantined(spark, tmp_dir):
+    from sluice.sinks.upsert import quarantined
+    raw, table, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    lake.append(spark.createDataFrame([(1, 1, "a", 0), (None, 1, "lost?", 0)], SCHEMA).coalesce(1), raw)
+    upsert_stream(spark, raw, spark.read.parquet(raw).schema, table, ["k"], ["ts"], ckpt, num_buckets=2)
+    assert snapshot(spark, table).count() == 1
+    assert [r.v for r in quarantined(spark, table).collect()] == ["lost?"]

@@ -281,6 +281,100 @@ def test_broadcast_never_exceeds_bound(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
     batch = _df(spark, [(i, f"x{i % 3}", 30, "b") for i in range(10)])
-    p = plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast",
-                    broadcast_rows=5)
-    assert p.strategy == "shuffle"
+    with pytest.raises(ValueError, match="broadcast bound"):
+        plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast", broadcast_rows=5)
+
+
+def test_stored_keys_rule(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    upsert(spark, _df(spark, [(1, "x1", 99, "z")]), path, ["k2", "k1"], ["ts"])  # order does not matter
+    assert len(_state(spark, path)) == 40
+    with pytest.raises(ValueError, match="keyed by"):
+        upsert(spark, _df(spark, [(1, "x1", 99, "z")]), path, ["k1"], ["ts"])
+    assert len(_state(spark, path)) == 40
+
+
+def test_null_keys_are_quarantined_and_counted(spark, tmp_dir):
+    from sluice.sinks.upsert import quarantined
+    path = f"{tmp_dir}/t"
+    rows = [(None, "a", 1, "n1"), (1, None, 1, "n2"), (2, "b", 1, "ok")]
+    res = upsert(spark, _df(spark, rows), path, ["k1", "k2"], ["ts"], run_id="r1", num_buckets=2)
+    assert res.metrics["rows_quarantined"] == 2 and res.quarantine.count() == 2
+    for _ in range(2):  # a repeated run replaces its own rejected rows
+        upsert(spark, _df(spark, [(None, "c", 2, "n3")]), path, ["k1", "k2"], ["ts"], run_id="r2")
+    assert sorted(r.v for r in quarantined(spark, path).collect()) == ["n1", "n2", "n3"]
+    assert _state(spark, path) == [(2, "b", 1, "ok")]
+
+
+@pytest.mark.parametrize("at", ["before_commit", "after_commit", "between_renames"])
+def test_interrupted_publish(spark, tmp_dir, monkeypatch, at):
+    """A crash at any step leaves the old or the new table, never a mix or a loss."""
+    from sluice.sinks import upsert as U
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    old = _state(spark, path)
+    batch = _df(spark, [(i, f"x{i % 3}", 50, "new") for i in range(40)])
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    real = U.recover
+    calls = []
+
+    def dies(sp, p):
+        # upsert, plan_upsert and snapshot recover first; the last call is the publish.
+        import os
+        if os.path.exists(f"{p}/_sluice_pending/commit.json"):
+            calls.append(1)
+            if at == "between_renames":
+                import shutil
+                name = sorted(n for n in os.listdir(f"{p}/_sluice_pending/data") if n.startswith("b="))[0]
+                shutil.rmtree(f"{p}/{name}")  # the old folder is gone, the new one not yet in place
+            crash()
+        return real(sp, p)
+
+    if at == "before_commit":
+        monkeypatch.setattr(U, "_write_text", crash)
+    else:
+        monkeypatch.setattr(U, "recover", dies)
+    with pytest.raises(RuntimeError, match="crash"):
+        upsert(spark, batch, path, ["k1", "k2"], ["ts"], run_id="r2")
+    monkeypatch.undo()
+    got = _state(spark, path)
+    assert got == (old if at == "before_commit" else sorted((r[0], r[1], 50, "new") for r in BASE))
+    upsert(spark, batch, path, ["k1", "k2"], ["ts"], run_id="r2")
+    assert _state(spark, path) == sorted((r[0], r[1], 50, "new") for r in BASE)
+    assert not glob.glob(f"{path}/_sluice_pending*")
+
+
+def test_interrupted_create_is_repeated(spark, tmp_dir, monkeypatch):
+    from sluice.sinks import upsert as U
+    path = f"{tmp_dir}/t"
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(U, "_write_text", crash)
+    with pytest.raises(RuntimeError, match="crash"):
+        upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    monkeypatch.undo()
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    assert len(_state(spark, path)) == 40
+
+
+def test_rebucket_and_splits(spark, tmp_dir):
+    from sluice.sinks.upsert import files_per_bucket, read_num_buckets, rebucket
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=1)
+    before = _state(spark, path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with large partitions
+    rebucket(spark, path, 3, splits=4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert read_num_buckets(spark, path) == 3 and _state(spark, path) == before
+    assert max(files_per_bucket(spark, path, range(3)).values()) > 1  # several tasks per bucket
+    batch = _df(spark, [(i, f"x{i % 3}", 50, "new") for i in range(40)])
+    p = plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "r", strategy="shuffle")
+    assert p.merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    upsert(spark, batch, path, ["k1", "k2"], ["ts"])
+    assert [r[3] for r in _state(spark, path)] == ["new"] * 40
