@@ -155,3 +155,26 @@ def shingle_rows(texts: pa.Array, k: int, table: np.ndarray = LOWER_TABLE) -> It
 def signed(h: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's long."""
     return h.view(np.int64)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of equal keys of a stream whose rows are sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(b.num_rows - 1, bool)
+        for c in cols:
+            change |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(c[lo] for c in cols)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

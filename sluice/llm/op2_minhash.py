@@ -1,24 +1,28 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
-Distinct shingle sets are signed with ``BANDS * ROWS`` MinHash values. Equal
-bands propose pairs; a pair's signatures are then compared batch by batch and
+Distinct shingle sets are signed with ``VALUES`` MinHash values, the first
+``BANDS * ROWS`` of which form bands. Equal bands propose pairs; a pair's signatures are then compared batch by batch and
 it is dropped as soon as the posterior probability that its similarity
 reaches the threshold falls below ``miss`` (uniform prior: after m matches in
-n hashes, P(s >= t) = P(Binomial(n + 1, t) <= m)). Survivors are verified
-exactly on the full sets.
+n hashes, P(p >= t) = P(Binomial(n + 1, t) <= m)). Survivors are verified
+exactly on the full sets. Compared are the values' low bytes; unequal values
+agree there once in 256, which raises t to t + (1 - t) / 256.
 
 A bucket never emits all its pairs. Every document is compared with the
 bucket's hub, the member that shares the most buckets with the others (the
-centre of a group of copies, as its values are the modal ones), and only
-members that the links found so far leave in different components are compared
-with each other afterwards.
+centre of a group of copies, as its values are the modal ones). Only members
+that the links found so far leave in different components are compared with
+each other afterwards, inside tasks: a bucket is cut into blocks of at most
+``BLOCK`` members, each pair of blocks is one bounded unit of work, and only
+the pairs that survive all batches leave it.
 
-Whether a pair at the threshold shares no band: (1 - t**4)**32 < 6e-6.
+Chance that a pair at the threshold shares no band: (1 - 0.75**5)**40 < 2e-5.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from math import comb
 
 import numpy as np
@@ -28,68 +32,93 @@ from pyspark.sql import functions as F
 
 from sluice.llm._components import components
 from sluice.llm._stage import arrow_map, staged
-from sluice.llm._text import mix, shingle_rows, signed
+from sluice.llm._text import LOWER_TABLE, Words, mix, sequence_hash, shingle_rows, signed, sorted_groups, text_slices, windows
 
 SHINGLE = 5
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 5
+VALUES = 400
 PERCENT = 75  # similarity threshold, in hundredths
-BATCH = 16  # signature values compared between two prunings
-MISS = 1e-6
+BATCH = 40  # signature values compared between two prunings
+MISS = 1e-4
+BLOCK = 1024
+PAIRS_AT_ONCE = 1 << 15
 
 _rng = np.random.Generator(np.random.PCG64(7))
-_MUL = _rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_XOR = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_MUL = _rng.integers(0, 1 << 31, VALUES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _rng.integers(0, 1 << 32, VALUES, dtype=np.uint32)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash values (uint32) of a non-empty array of 64-bit shingle hashes."""
+def signatures(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """MinHash values (uint32), a row for each run of shingle hashes."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.empty(len(_MUL), np.uint32)
+    out = np.empty((len(_MUL), len(starts)), np.uint32)
     for j in range(len(_MUL)):
-        out[j] = ((low ^ _XOR[j]) * _MUL[j]).min()
-    return out
+        out[j] = np.minimum.reduceat((low ^ _XOR[j]) * _MUL[j], starts)
+    return np.ascontiguousarray(out.T)
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; the band's number is part of the key."""
-    h = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    """64-bit keys, one per row and band; the band's number is part of the key."""
+    h = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), (len(sig), 1))
+    parts = sig[:, :BANDS * ROWS].reshape(len(sig), BANDS, ROWS).astype(np.uint64)
     for r in range(ROWS):
-        h = mix(h + sig.reshape(BANDS, ROWS)[:, r].astype(np.uint64))
+        h = mix(h + parts[:, :, r])
     return h
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
-                        ("d2", pa.int64()), ("sig", pa.binary())])
+                        ("d2", pa.int64()), ("sig", pa.binary()), ("bands", pa.binary())])
     for b in batches:
-        n, d1, d2, sig = [], [], [], []
-        for _, s in shingle_rows(b.column("text"), SHINGLE):
-            n.append(len(s))
-            d1.append(int(signed(s.sum(keepdims=True))[0]) if len(s) else None)
-            d2.append(int(signed(mix(s).sum(keepdims=True))[0]) if len(s) else None)
-            sig.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-             pa.array(d2, pa.int64()), pa.array(sig, pa.binary())], schema=schema)
+        for lo, hi, buf, offs in text_slices(b.column("text")):
+            w = Words(buf, offs)
+            h = w.hashes(LOWER_TABLE)
+            s, at = windows(h, w.counts, SHINGLE)
+            cut = np.searchsorted(at, w.bounds)
+            sets = []
+            for r in range(hi - lo):
+                if w.counts[r] >= SHINGLE:
+                    sets.append(np.unique(s[cut[r]:cut[r + 1]]))
+                elif w.counts[r]:
+                    sets.append(np.array([sequence_hash(h[w.bounds[r]:w.bounds[r + 1]])]))
+                else:
+                    sets.append(np.zeros(0, np.uint64))
+            n = np.array([len(x) for x in sets])
+            full = np.flatnonzero(n)
+            d1, d2, sig, bands = ([None] * len(sets) for _ in range(4))
+            if len(full):
+                flat = np.concatenate([sets[r] for r in full])
+                starts = np.cumsum(n[full]) - n[full]
+                values = signatures(flat, starts)
+                sums = np.add.reduceat(flat, starts), np.add.reduceat(mix(flat), starts)
+                keys = band_keys(values)
+                for k, r in enumerate(full):
+                    d1[r], d2[r] = int(signed(sums[0])[k]), int(signed(sums[1])[k])
+                    sig[r] = values[k].astype(np.uint8).tobytes()
+                    bands[r] = keys[k].tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n, pa.int64()),
+                 pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.binary()),
+                 pa.array(bands, pa.binary())], schema=schema)
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int64())])
     for b in batches:
-        if not b.num_rows:
-            continue
-        sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
-        keys = np.concatenate([signed(band_keys(s)) for s in sig])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array(np.repeat(b.column("node").to_numpy(), BANDS)),
-             pa.array(np.repeat(b.column("size").to_numpy(), BANDS))], schema=schema)
+        if b.num_rows:
+            keys = np.frombuffer(b"".join(b.column("bands").to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), pa.array(np.repeat(b.column("node").to_numpy(), BANDS)),
+                 pa.array(np.repeat(b.column("size").to_numpy(), BANDS))], schema=schema)
 
 
+@cache
 def least_matches(n: int, threshold: float, miss: float) -> int:
     """Fewest matches among ``n`` hashes with which a pair may still reach the threshold."""
+    t = threshold + (1 - threshold) / 256
     total = 0.0
     for m in range(n + 1):
-        total += comb(n + 1, m) * threshold ** m * (1 - threshold) ** (n + 1 - m)
+        total += comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
         if total >= miss:
             return m
     return n
@@ -107,13 +136,49 @@ def surviving(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np
     return alive
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _across(percent: int, miss: float):
+    """Pairs of a bucket's two blocks that lie in different components and survive."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in sorted_groups(batches, ["key", "i", "j"]):
+            node, size, c, own = (g.column(k).to_numpy() for k in ("node", "size", "c", "own"))
+            sig, bands = _matrix(g.column("sig")), _matrix(g.column("bands")).view(np.int64)
+            key = g.column("key")[0].as_py()
+            same = g.column("i")[0].as_py() == g.column("j")[0].as_py()
+            left = np.arange(len(node)) if same else np.flatnonzero(own == g.column("i")[0].as_py())
+            right = left if same else np.flatnonzero(own == g.column("j")[0].as_py())
+            step = max(1, PAIRS_AT_ONCE // max(1, len(right)))
+            for lo in range(0, len(left), step):
+                x = left[lo:lo + step]
+                fit = (c[x][:, None] != c[right]) & (
+                    100 * np.minimum.outer(size[x], size[right]) >= percent * np.maximum.outer(size[x], size[right]))
+                if same:
+                    fit &= x[:, None] < right
+                p, q = np.nonzero(fit)
+                if len(p):
+                    p, q = x[p], right[q]
+                    ok = surviving(sig[p], sig[q], percent / 100, miss)
+                    p, q = p[ok], q[ok]
+                    # Of the buckets that two members share, only the first one's unit returns the pair.
+                    shared = bands[p] == bands[q]
+                    ok = bands[p, shared.argmax(axis=1)] == key
+                    p, q = node[p[ok]], node[q[ok]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], schema=schema)
+    return run
+
+
 def _prune(percent: int, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(b.num_rows, -1)
-                        for c in ("sig_a", "sig_b"))
-                yield b.select(["a", "b"]).take(pa.array(surviving(x, y, percent / 100, miss)))
+                ok = surviving(_matrix(b.column("sig_a")), _matrix(b.column("sig_b")), percent / 100, miss)
+                yield b.select(["a", "b"]).take(pa.array(ok))
     return run
 
 
@@ -131,16 +196,16 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, signed_sets: DataFrame, texts: DataFrame, percent: int, miss: float) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold."""
-    sigs = signed_sets.select("node", "sig")
-    near = staged(arrow_map(
+def _surviving_pairs(pairs: DataFrame, sigs: DataFrame, percent: int, miss: float) -> DataFrame:
+    return arrow_map(
         pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"),
-        _prune(percent, miss), "a long, b long"), "near")
-    needed = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    # A written copy of just the texts that occur in a pair.
-    texts = staged(texts.join(needed, "doc_id", "left_semi"), "texts")
+        _prune(percent, miss), "a long, b long")
+
+
+def _verified(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+    near = staged(near, "near")
     return staged(arrow_map(
         near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"),
@@ -160,40 +225,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their names cannot clash. An empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = staged(arrow_map(docs, _sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary"), "signed")
+    base = staged(arrow_map(docs, _sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary, bands binary"),
+                  "signed")
     # Equal sets are one node: the smallest id of the class.
     sets = staged(base.filter("d1 is not null and doc_id is not null").groupBy("n_shingles", "d1", "d2")
-                  .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "sets")
-    nodes = sets.select("node", F.col("n_shingles").alias("size"), "sig")
-    texts = docs.filter("doc_id is not null")
-    bands = arrow_map(nodes, _bands, "key long, node long, size long")
+                  .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
+                  "sets")
+    sigs = sets.select("node", "sig")
+    bands = arrow_map(sets.select("node", F.col("n_shingles").alias("size"), "bands"), _bands,
+                      "key long, node long, size long")
     shared = staged(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     rows = staged(bands.join(shared, "key"), "rows")  # only buckets that hold a pair
+    # The only shuffle of texts: of documents that share a bucket with another set.
+    # Neither side has a size bound: one plan at every size, no broadcast.
+    needed = rows.select(F.col("node").alias("doc_id")).distinct().hint("shuffle_hash")
+    texts = staged(docs.join(needed, "doc_id", "left_semi"), "texts")
     popular = rows.groupBy("node").agg(F.sum("n").alias("pop"))
     hubs = staged(rows.join(popular, "node").groupBy("key").agg(
-        F.max(F.struct("pop", (-F.col("node")).alias("minus"))).alias("hub"))
-        .select("key", (-F.col("hub.minus")).alias("hub")), "hubs")
-    sizes = F.expr(f"100 * least(size, size2) >= {int(percent)} * greatest(size, size2)")
-    first = staged(rows.join(hubs, "key").filter("node != hub")
-                   .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(),
-                   "first")
-    size_of = nodes.select("node", "size")
-    first_sized = (first.join(size_of.withColumnsRenamed({"node": "a"}), "a")
-                   .join(size_of.withColumnsRenamed({"node": "b", "size": "size2"}), "b")
-                   .filter(sizes).select("a", "b"))
-    links = _links(first_sized, nodes, texts, percent, miss)
-    found = components(links)
+        F.max(F.struct("pop", (-F.col("node")).alias("minus"), "size")).alias("hub"))
+        .select("key", (-F.col("hub.minus")).alias("hub"), F.col("hub.size").alias("hub_size")), "hubs")
+    first = staged(
+        rows.join(hubs, "key").filter("node != hub")
+        .filter(f"100 * least(size, hub_size) >= {int(percent)} * greatest(size, hub_size)")
+        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "first")
+    links = _verified(_surviving_pairs(first, sigs, percent, miss), texts, percent)
     # Buckets whose members are still in different components: compare those.
-    placed = rows.join(found, "node", "left").select(
-        "key", "node", "size", F.coalesce("component", "node").alias("c"))
-    mixed = staged(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                   .filter("lo != hi").select("key"), "mixed")
-    left = staged(placed.join(mixed, "key"), "left")
-    right = left.select("key", F.col("node").alias("node2"), F.col("size").alias("size2"), F.col("c").alias("c2"))
-    rest = (left.join(right, "key").filter("c < c2").filter(sizes)
-            .select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    placed = staged(rows.join(components(links), "node", "left").select(
+        "key", "node", "size", F.coalesce("component", "node").alias("c")), "placed")
+    mixed = staged(placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
+                   .filter("lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    units = (placed.join(mixed, "key").join(sets.select("node", "sig", "bands"), "node").withColumn("own", own).withColumn("other", other)
+             .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "node", "size", "c", "sig", "bands"))
+    units = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    rest = (arrow_map(units, _across(percent, miss), "a long, b long").distinct()
             .join(first, ["a", "b"], "left_anti"))
-    links = links.union(_links(rest, nodes, texts, percent, miss))
+    links = links.union(_verified(rest, texts, percent))
     # Classes of equal sets, then components of their nodes.
     of_node = components(links)
     classes = (sets.select("n_shingles", "d1", "d2", "node")
