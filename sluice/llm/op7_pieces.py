@@ -10,8 +10,10 @@ Characters without a piece become byte pieces, a mark that stands in the text
 itself too, so decoding returns the text exactly.
 
 The key of a chunk is one of ``variants`` keys, drawn by a hash of the seed,
-the document and the chunk's number. Equal chunks with equal keys are
-encoded once per worker; the memory for that is bounded.
+the document and the chunk's number. Equal chunks with equal keys are encoded
+once per worker, within bounded memory, and the agendas of all new chunks of a
+batch are worked off together: in each round every chunk takes the best
+candidate of its own agenda, so the order within a chunk is the same as alone.
 """
 
 from __future__ import annotations
@@ -36,9 +38,10 @@ DROPOUT = 0.1
 VARIANTS = 4
 SEED = 20240229
 MARK = "▁"
-CACHED_CHUNKS = 60_000  # per variant and worker
-CACHED_LENGTH = 40
-DOCS_AT_ONCE = 256
+CACHED_CHUNKS = 120_000  # per variant and worker
+LONG_CHUNK = 64  # longer ones are encoded alone and not kept
+DOCS_AT_ONCE = 128
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _M64 = (1 << 64) - 1
 
 
@@ -131,39 +134,177 @@ def encode_chunk(chunk: str, pieces: Pieces, key: int, dropout: float) -> list[i
     return out
 
 
+class Joins:
+    """Which pairs of pieces join to a piece, as a hash table of numpy arrays."""
+
+    def __init__(self, pieces: Pieces):
+        self.order = np.array(sorted(pieces.ids, key=pieces.ranks.get), object)
+        self.id_of_rank = np.array([pieces.ids[p] for p in self.order], np.int32)
+        ranks = pieces.ranks
+        self.char = np.full(0x110000, -1, np.int32)
+        for p, r in ranks.items():
+            if len(p) == 1:
+                self.char[ord(p)] = r
+        self.char[ord(" ")] = self.char[ord(MARK)]
+        pairs = [(ranks[p[:k]], ranks[p[k:]], r) for p, r in ranks.items() for k in range(1, len(p))
+                 if p[:k] in ranks and p[k:] in ranks]
+        a, b, r = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else [np.zeros(0, np.int64)] * 3
+        keys = (a << 32 | b).view(np.uint64)
+        self.bits = max(4, int(len(keys) * 4).bit_length())
+        self.keys = np.full((1 << self.bits) + 64, _NONE, np.uint64)
+        self.ranks = np.zeros(len(self.keys), np.int64)
+        self.probes = 0
+        left = np.arange(len(keys))
+        while len(left):  # linear probing, one step for all that have no place yet
+            slot = self._slot(keys[left]) + self.probes
+            free = self.keys[slot] == _NONE
+            _, first = np.unique(slot, return_index=True)
+            won = np.zeros(len(left), bool)
+            won[first] = True
+            won &= free
+            self.keys[slot[won]], self.ranks[slot[won]] = keys[left[won]], r[left[won]]
+            left = left[~won]
+            self.probes += 1
+            if self.probes >= 64 and len(left):
+                raise ValueError("the piece table is too dense")
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the piece that a pair joins to, or -1."""
+        keys = (a.astype(np.int64) << 32 | b).view(np.uint64)
+        out = np.full(len(keys), -1, np.int64)
+        open_ = np.flatnonzero((a >= 0) & (b >= 0))
+        slot = self._slot(keys[open_])
+        for step in range(self.probes):
+            there = self.keys[slot + step]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.ranks[slot[hit] + step]
+            go = ~hit & (there != _NONE)
+            open_, slot = open_[go], slot[go]
+            if not len(open_):
+                break
+        return out
+
+
+def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Joins, dropout: float) -> list[bytes]:
+    """Piece ids (int32 bytes) of chunks, each with its key; as ``encode_chunk``."""
+    text = "".join(chunks)
+    sym = joins.char[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    size = np.array([len(c) for c in chunks])
+    ends = np.cumsum(size)
+    starts = ends - size
+    n = len(sym)
+    place = np.arange(n) - np.repeat(starts, size)
+    key = np.repeat(keys, size)
+    nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+    nxt[ends - 1] = -1
+    prv[starts] = -1
+    limit = np.uint64(int(dropout * (1 << 32)))
+
+    def agenda(at: np.ndarray) -> np.ndarray:
+        """Rank and place of the candidates that start at ``at``; none if skipped."""
+        r = joins.find(sym[at], np.where(nxt[at] >= 0, sym[nxt[at]], -1))
+        out = np.where(r >= 0, (r.astype(np.uint64) << np.uint64(32)) | at.astype(np.uint64), _NONE)
+        if limit:
+            x = (key[at] ^ (place[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                 ^ (r.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
+            out[(x >> np.uint64(32)) < limit] = _NONE
+        return out
+
+    alive = np.ones(n, bool)
+    todo = agenda(np.arange(n))
+    while True:
+        best = np.minimum.reduceat(todo, starts)
+        best = best[best != _NONE]
+        if not len(best):
+            break
+        i = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        j = nxt[i]
+        sym[i] = (best >> np.uint64(32)).astype(np.int32)
+        alive[j] = False
+        todo[j] = _NONE
+        k = nxt[i] = nxt[j]
+        prv[k[k >= 0]] = i[k >= 0]
+        todo[i] = agenda(i)
+        before = prv[i]
+        before = before[before >= 0]
+        todo[before] = agenda(before)
+    ids = joins.id_of_rank[sym[alive]]
+    cut = np.concatenate([[0], np.cumsum(np.add.reduceat(alive, starts, dtype=np.int64))]) * 4
+    flat = ids.tobytes()
+    return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
 class Encoder:
     """Encodes texts, keeping a bounded number of encoded chunks."""
 
     def __init__(self, pieces: Pieces, dropout: float, variants: int, seed: int):
-        self.pieces, self.dropout = pieces, dropout
+        self.pieces, self.dropout, self.joins = pieces, dropout, Joins(pieces)
         self.variants = variants if dropout else 1
         self.seed = np.uint64(seed)
         self.keys = [int(x) for x in mix(np.arange(1, self.variants + 1, dtype=np.uint64) * self.seed)]
-        self.cache: list[dict[str, array]] = [{} for _ in range(self.variants)]
-
-    def encode(self, text: str, doc: int) -> array:
-        chunks = self.pieces.chunk.findall(" " + text) if text else []
-        out = array("i")
-        place = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        with np.errstate(over="ignore"):
-            base = np.uint64(doc & _M64) * np.uint64(0xC2B2AE3D27D4EB4F) + self.seed
-        variant = ((mix(place + base) >> np.uint64(40)) % np.uint64(self.variants)).tolist()
-        for c, v in zip(chunks, variant, strict=True):
-            known = self.cache[v]
-            ids = known.get(c)
-            if ids is None:
-                ids = array("i", encode_chunk(c, self.pieces, self.keys[v], self.dropout))
-                if len(c) <= CACHED_LENGTH:
-                    if len(known) >= CACHED_CHUNKS:
-                        known.clear()
-                    known[c] = ids
-            out.extend(ids)
+        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+
+    def _alone(self, chunk: str, variant: int) -> bytes:
+        return array("i", encode_chunk(chunk, self.pieces, self.keys[variant], self.dropout)).tobytes()
+
+    def _learn(self, new: list[tuple[str, int]]) -> None:
+        known = self.joins.char
+        plain = [(c, v) for c, v in new if c != MARK]
+        if plain:
+            codes = np.frombuffer("".join(c for c, _ in plain).encode("utf-32-le"), np.uint32)
+            size = np.array([len(c) for c, _ in plain])
+            odd = np.logical_or.reduceat(known[codes] < 0, np.cumsum(size) - size)  # needs byte pieces
+            batch = [x for x, o in zip(plain, odd.tolist(), strict=True) if not o]
+            if batch:
+                keys = np.array([self.keys[v] for _, v in batch], np.uint64)
+                done = encode_chunks([c for c, _ in batch], keys, self.pieces, self.joins, self.dropout)
+                for (c, v), ids in zip(batch, done, strict=True):
+                    self.cache[v][c] = ids
+        for c, v in new:
+            if c not in self.cache[v]:
+                self.cache[v][c] = self._alone(c, v)
+
+    def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
+        split = []
+        wanted: list[set[str]] = [set() for _ in range(self.variants)]
+        for text, doc in zip(texts, docs, strict=True):
+            chunks = self.pieces.chunk.findall(" " + text) if text else []
+            place = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            with np.errstate(over="ignore"):
+                base = np.uint64(doc & _M64) * np.uint64(0xC2B2AE3D27D4EB4F) + self.seed
+            variant = ((mix(place + base) >> np.uint64(40)) % np.uint64(self.variants)).tolist()
+            split.append((chunks, variant))
+            for c, v in zip(chunks, variant, strict=True):
+                wanted[v].add(c)
+        new = []
+        for v, known in enumerate(self.cache):
+            if len(known) + len(wanted[v]) > CACHED_CHUNKS:
+                known.clear()
+            new += [(c, v) for c in wanted[v] - known.keys() if len(c) <= LONG_CHUNK]
+        if new:
+            self._learn(new)
+        out = []
+        for chunks, variant in split:
+            parts = [self.cache[v].get(c) for c, v in zip(chunks, variant, strict=True)]
+            if None in parts:
+                parts = [self._alone(c, v) if p is None else p
+                         for p, c, v in zip(parts, chunks, variant, strict=True)]
+            out.append(np.frombuffer(b"".join(parts), np.int32))
         return out
 
+    def encode(self, text: str, doc: int) -> np.ndarray:
+        return self.encode_all([text], [doc])[0]
+
 
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text that ``ids`` encode."""
     byte_of, texts = pieces.byte_of, pieces.texts
+    ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
     if byte_of.keys().isdisjoint(ids):
         return "".join([texts[i] for i in ids]).replace(MARK, " ")[1:]
     out, run = [], bytearray()
@@ -191,14 +332,12 @@ def _encode(pieces: Pieces, dropout: float, variants: int, seed: int):
         for b in batches:
             for lo in range(0, b.num_rows, DOCS_AT_ONCE):
                 part = b.slice(lo, DOCS_AT_ONCE)
-                flat, ends, lossless = array("i"), [0], []
-                for t, doc in zip(part.column("text").to_pylist(), part.column("doc_id").to_pylist(), strict=True):
-                    ids = enc.encode(t or "", doc or 0)
-                    flat.extend(ids)
-                    ends.append(len(flat))
-                    lossless.append(decode_ids(ids, pieces) == (t or ""))
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                each = enc.encode_all(texts, [i or 0 for i in part.column("doc_id").to_pylist()])
+                lossless = [decode_ids(x, pieces) == t for x, t in zip(each, texts, strict=True)]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in each])])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                               pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+                                               pa.array(np.concatenate([np.zeros(0, np.int32), *each])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), ids, pa.array(np.diff(ends), pa.int64()), pa.array(lossless)],
                     names=["doc_id", "ids", "n_pieces", "lossless"])
