@@ -146,8 +146,12 @@ def test_pieces_match_the_library(small_docs):
             assert list(plain.encode(t, k)) == sp.encode(t)
         ids = dropped.encode(t, k)
         assert op7_pieces.decode_ids(ids, pieces) == t
-        assert ids == again.encode(t, k)
-        differs += ids != other.encode(t, k) and len(ids) >= len(plain.encode(t, k))
+        assert list(ids) == list(again.encode(t, k))
+        differs += list(ids) != list(other.encode(t, k)) and len(ids) >= len(plain.encode(t, k))
+        # A chunk's agenda gives the same pieces alone.
+        for c, v in zip(pieces.chunk.findall(" " + t)[:50], range(50)):
+            alone = op7_pieces.encode_chunk(c, pieces, dropped.keys[v % 4], 0.3)
+            assert list(np.frombuffer(dropped.cache[v % 4].get(c, dropped._alone(c, v % 4)), np.int32)) == alone
     assert differs > 50
 
 
@@ -250,10 +254,11 @@ def test_fuzzy_passages(spark):
         if i % 4 == 0:
             k = i // 4 % 3
             p = list(passages[k])
-            for _ in range(3):  # an edit, an insertion, a deletion
-                p[rng.randrange(len(p))] = "edited"
-            p.insert(rng.randrange(len(p)), "more")
-            del p[rng.randrange(len(p))]
+            # An edit, an insertion and a deletion, which leave a run of
+            # K + 2 * WINNOW words, as the operator asks for.
+            p[rng.randrange(80 - op10_chains.K - 2 * op10_chains.WINNOW)] = "edited"
+            p.insert(rng.randrange(50), "more")
+            del p[rng.randrange(50)]
             at = rng.randrange(len(body))
             body[at:at] = p
             planted[i] = (k, at, at + len(p))
@@ -272,19 +277,32 @@ def test_fuzzy_passages(spark):
 def test_chain_scores():
     """The Fenwick form against the quadratic one."""
     rng = random.Random(11)
-    c = op10_chains.GAP_COST
+    c, k = op10_chains.GAP_COST, op10_chains.K
     for _ in range(100):
         n = rng.randrange(1, 30)
         a = np.array(sorted(rng.randrange(200) for _ in range(n)))
         b = np.array([rng.randrange(200) for _ in range(n)])
+        size = np.array([rng.randrange(k, 30) for _ in range(n)])
+        ea, eb = a + size - k + 1, b + size - k + 1
         best = [0.0] * n
-        for i in sorted(range(n), key=lambda i: (a[i], -b[i])):
-            best[i] = op10_chains.K + max([0.0] + [
-                best[j] - c * (a[i] - a[j] + b[i] - b[j]) for j in range(n) if a[j] < a[i] and b[j] < b[i]])
-        top = op10_chains.chains(a, b)[0]
-        got = op10_chains.K * len(top) - c * (a[top[-1]] - a[top[0]] + b[top[-1]] - b[top[0]])
+        for i in range(n):
+            best[i] = size[i] + max([0.0] + [
+                best[j] - c * (a[i] - ea[j] + b[i] - eb[j]) for j in range(n) if ea[j] <= a[i] and eb[j] <= b[i]])
+        top = op10_chains.chains(a, b, size)[0]
+        got = size[top].sum() - c * sum(a[j] - ea[i] + b[j] - eb[i] for i, j in itertools.pairwise(top))
         assert abs(got - max(best)) < 1e-6
-        assert sorted(np.concatenate(op10_chains.chains(a, b)).tolist()) == list(range(n))
+        assert sorted(np.concatenate(op10_chains.chains(a, b, size)).tolist()) == list(range(n))
+
+
+def test_segments():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 2**62, 100).astype(np.uint64)
+    a, b, size = op10_chains.segments(x, np.concatenate([x[50:], x[:50]]))
+    assert (a.tolist(), b.tolist(), size.tolist()) == (
+        [0, 50], [50, 0], [50 + op10_chains.K - 1] * 2)
+    same = np.zeros(300, np.uint64)
+    a, b, size = op10_chains.segments(same, same[:100])
+    assert len(a) == 201 and size[0] == 100 + op10_chains.K - 1  # linear, not 300 * 100
 
 
 def test_extension_is_the_best_end():
