@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import random
 import re
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from sluice.llm import op5_packing, op7_pieces, op8_pii, op9_html, op10_chains
+from sluice.llm import op1_search, op5_packing, op7_pieces, op8_pii, op9_html, op10_chains
 from sluice.llm.op2_minhash import least_matches
 from sluice.llm.op3_resample import kth_largest
 from sluice.llm.queries import ORACLE, QUERIES
@@ -367,3 +368,35 @@ def test_pipeline(spark):
     for b in bins.values():
         assert sum(r.n_words for r in b) <= op5_packing.CAPACITY
         assert len({r.source for r in b}) == len(b) == len({r.cluster for r in b})
+
+
+def test_search_over_shards_equals_brute_force(spark):
+    """Many small shards (by words) give the ranking of one scan over all documents."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)] + [f"rare{i}" for i in range(400)]
+    texts = {i: " ".join(rng.choice(vocabulary[:60] if rng.random() < 0.7 else vocabulary)
+                         for _ in range(rng.choice([0, 1, 5, 40, 200]))) for i in range(300)}
+    texts[7] = texts[140]  # a tie
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    queries = docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    got = {(r.query_id, r.rank): (r.doc_id, r.score)
+           for r in op1_search.search(docs, queries, shard_words=2_000).collect()}
+    bags = {i: collections.Counter(t.lower().split()) for i, t in texts.items()}
+    df = collections.Counter(t for w in bags.values() for t in w)
+    n = sum(1 for w in bags.values() if w)
+    mean = sum(sum(w.values()) for w in bags.values()) / n
+    k1, b = op1_search.K1, op1_search.B
+    want = {}
+    for q in range(0, 300, 20):
+        found = []
+        for i, w in bags.items():
+            shared = bags[q].keys() & w.keys()
+            if shared:
+                norm = k1 * (1 - b + b * sum(w.values()) / mean)
+                s = sum(math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * w[t] * (k1 + 1) / (w[t] + norm)
+                        for t in shared)
+                found.append((-round(s, op1_search.DIGITS), i))
+        for rank, (s, i) in enumerate(sorted(found)[:op1_search.TOP], 1):
+            want[q, rank] = (i, -s)
+    assert got.keys() == want.keys()
+    assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 2e-6 for x in want)
