@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -275,6 +276,51 @@ def test_fuzzy_passages(spark):
         assert found[k] == {i for i in planted if planted[i][0] == k}
 
 
+def shared_passages(a, b, min_words=50, min_identity=80):
+    """``passages`` of two word lists."""
+    texts = [" ".join(x) for x in (a, b)]
+    rows = [r[1:] for r in op10_chains._row_runs(pa.array(texts))]
+    return op10_chains.passages(*rows[0], *rows[1], min_words, min_identity)
+
+
+@pytest.mark.parametrize("gap", [0, 10, 30, 55, 100, 300, 600])
+@pytest.mark.parametrize("first", [6, 12, 60])
+def test_every_passage_of_a_pair(gap, first):
+    """Two passages, or a stray match ahead of one, with unlike words between and around them."""
+    x, y = [f"x{i}" for i in range(first)], [f"y{i}" for i in range(60)]
+    docs = [[f"{d}{i}" for i in range(40)] + x + [f"{d}-{i}" for i in range(gap)] + y + [f"{d}_{i}" for i in range(40)]
+            for d in "ab"]
+    got = shared_passages(*docs)
+    covered = {i for s, e, _, _, _ in got for i in range(s, e)}
+    want = set(range(40 + first + gap, 100 + first + gap)) | (set(range(40, 40 + first)) if first >= 50 else set())
+    assert want <= covered
+    for s, e, t, u, n in got:
+        equal = sum(v == w for v, w in zip(docs[0][s:e], docs[1][t:u], strict=True))
+        assert n == equal and e - s >= 50 and 100 * n >= 80 * (e - s)
+
+
+def test_passages_of_many_pieces():
+    """Random passages with edits, in one order in both texts: each is found, whatever lies between."""
+    rng = random.Random(17)
+    for trial in range(40):
+        docs, want, k = [[], []], [], 0
+        for part in range(rng.randrange(2, 6)):
+            for d in (0, 1):
+                docs[d] += [f"u{trial}-{part}-{d}-{i}" for i in range(rng.randrange(150))]
+            p = [f"p{part}-{i}" for i in range(rng.choice([6, 9, 60, 90]))]
+            q = list(p)
+            for i in range(15, len(q), 15) if len(q) >= 60 else ():
+                q[i] = f"edit{k}"
+                k += 1
+            if len(p) >= 60:
+                want.append((len(docs[0]), len(docs[0]) + len(p)))
+            docs[0] += p
+            docs[1] += q
+        got = shared_passages(*docs)
+        for s, e in want:
+            assert any(min(e, g[1]) - max(s, g[0]) >= 50 for g in got), (trial, s, e, got)
+
+
 def test_chain_scores():
     """The Fenwick form against the quadratic one."""
     rng = random.Random(11)
