@@ -321,6 +321,53 @@ def test_passages_of_many_pieces():
             assert any(min(e, g[1]) - max(s, g[0]) >= 50 for g in got), (trial, s, e, got)
 
 
+@pytest.mark.parametrize("size,edits,least", [(60, 6, 0.98), (60, 9, 0.98), (60, 12, 0.9), (100, 15, 0.98),
+                                              (100, 20, 0.95), (60, "every 10th", 0.98), (60, "every 12th", 0.98)])
+def test_edited_passages_are_candidates(size, edits, least):
+    """Passages of 80 to 92 % equal words share a link key, wherever the edits fall."""
+    rng = random.Random(23)
+    met = 0
+    for trial in range(100):
+        p = [f"p{trial}-{rng.random()}" for _ in range(size)]
+        q = list(p)
+        for i in (rng.sample(range(size), edits) if isinstance(edits, int)
+                  else range(int(edits[6:8]) - 1, size, int(edits[6:8]))):
+            q[i] = f"e{rng.random()}"
+        texts = [" ".join([f"{d}{rng.random()}" for _ in range(50)] + x + [f"{d}{rng.random()}" for _ in range(50)])
+                 for d, x in (("a", p), ("b", q))]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["doc_id", "text"])
+        keys = collections.Counter(next(op10_chains._keys(iter([batch]))).column("key").to_pylist())
+        met += max(keys.values()) > 1
+    assert met >= least * 100
+
+
+def test_fuzzy_passages_with_edits_anywhere(spark):
+    """As test_fuzzy_passages, with the edits anywhere in the passage."""
+    rng = random.Random(9)
+    rows, planted = [], {}
+    for k in range(10):
+        p = [f"p{k}-{i}" for i in range(80)]
+        for i in (2 * k, 2 * k + 1):
+            q = list(p)
+            if i % 2:
+                for j in rng.sample(range(80), 4):
+                    q[j] = "edited"
+                q.insert(rng.randrange(80), "more")
+                del q[rng.randrange(80)]
+            body = [f"b{i}-{j}" for j in range(rng.randrange(20, 300))]
+            at = rng.randrange(len(body))
+            rows.append((i, " ".join(body[:at] + q + body[at:])))
+            planted[i] = (at, at + len(q))
+    got = op10_chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = set()
+    for r in got:
+        assert r.doc_id // 2 == r.other_doc_id // 2
+        s, e = planted[r.doc_id]
+        assert min(e, r.end_word) - max(s, r.start_word) >= 50
+        found.add(r.doc_id // 2)
+    assert found == set(range(10))
+
+
 def test_chain_scores():
     """The Fenwick form against the quadratic one."""
     rng = random.Random(11)
