@@ -6,11 +6,10 @@ than ``limit_percent`` of its host's documents and in at least ``min_docs`` is
 boilerplate and is removed. A document that keeps less than ``left_percent``
 of its words is depleted and rejected, as is one that fails the base rules.
 
-Copies must not make each other look like boilerplate, so documents count as
-different only if something else in them differs: a document is counted by
-the smallest hash among its *other* lines. Exact copies then count once, and
-near copies share that line mostly; a menu or licence line, which stands in
-unrelated documents, is counted in full.
+Copies must not make each other look like boilerplate, so the documents of a
+host that hold the same set of lines are one class, and classes are counted:
+those that hold the line, and those of the host. Documents that differ in any
+line are counted each.
 """
 
 from __future__ import annotations
@@ -99,22 +98,20 @@ def normalised_lines(text: bytes) -> list[tuple[int, int]]:
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     longs = pa.list_(pa.int64())
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("host", pa.string()), *[(c, pa.int64()) for c in _COUNTS],
-                        ("lines", longs), ("words", longs), ("others", longs)])
+                        ("lines", longs), ("words", longs), ("class", pa.int64())])
     for b in batches:
         for lo, hi, buf, offs in text_slices(b.column("text")):
-            lines, words, others = [], [], []
+            lines, words, classes = [], [], []
             for r in range(hi - lo):
                 ls = normalised_lines(buf[offs[r]:offs[r + 1]].tobytes())
-                least = sorted({h for h, _ in ls})[:2]
-                m1 = least[0] if least else 0
-                m2 = least[1] if len(least) > 1 else 0
                 lines.append([h - (1 << 63) for h, _ in ls])
                 words.append([k for _, k in ls])
-                others.append([(m2 if h == m1 else m1) - (1 << 63) for h, _ in ls])
+                alike = b"".join(h.to_bytes(8, "big") for h in sorted({h for h, _ in ls}))
+                classes.append(int.from_bytes(hashlib.md5(alike, usedforsecurity=False).digest()[:8], "big", signed=True))
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c).slice(lo, hi - lo) for c in ("doc_id", "h", "host")],
                  *[pa.array(c, pa.int64()) for c in base_counts(buf, offs)],
-                 pa.array(lines, longs), pa.array(words, longs), pa.array(others, longs)], schema=schema)
+                 pa.array(lines, longs), pa.array(words, longs), pa.array(classes, pa.int64())], schema=schema)
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -134,12 +131,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(host_col).cast("string").alias("host"),
                     F.col(text_col).alias("text")), _scan,
         "doc_id long, h long, host string, " + ", ".join(f"{c} long" for c in _COUNTS)
-        + ", lines array<long>, words array<long>, others array<long>"), "quality_scan")
+        + ", lines array<long>, words array<long>, class long"), "quality_scan")
     host = F.coalesce(F.col("host"), F.lit("\x00")).alias("host")
-    held = (scanned.select(host, F.explode(F.arrays_zip("lines", "others")).alias("x"))
-            .select("host", F.col("x.lines").alias("line"), F.col("x.others").alias("other")))
-    counted = (held.distinct().groupBy("host", "line").agg(F.count("*").alias("n")))
-    sizes = scanned.filter("size(lines) > 0").groupBy(host).agg(F.count("*").alias("docs"))
+    worded = scanned.filter("size(lines) > 0")
+    held = worded.select(host, "class", F.explode("lines").alias("line")).distinct()
+    counted = held.groupBy("host", "line").agg(F.count("*").alias("n"))
+    sizes = worded.select(host, "class").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     frequent = staged(
         counted.filter(F.col("n") >= min_docs).join(sizes, "host")
         .filter(F.col("n") * 100 > F.col("docs") * limit_percent).select("host", "line"), "frequent")

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from sluice.llm import op1_search, op5_packing, op7_pieces, op8_pii, op9_html, op10_chains
+from sluice.llm import op1_search, op5_packing, op6_quality, op7_pieces, op8_pii, op9_html, op10_chains
 from sluice.llm.op2_minhash import least_matches
 from sluice.llm.op3_resample import kth_largest
 from sluice.llm.queries import ORACLE, QUERIES
@@ -107,6 +107,32 @@ def test_resampling_keeps_clean_text(spark):
     assert sum(good) / len(good) > 0.9 and sum(junk) / len(junk) < 0.5
 
 
+def test_line_frequency_of_hosts_with_many_frame_lines(spark):
+    """Lines in all documents of a host go, however many there are; exact copies have one vote."""
+    rng = random.Random(31)
+    frame = [f"frame line {k} of the site with its menu" for k in range(60)]
+    rows = []
+    for i in range(200):
+        own = [f"own line {i}-{k} with a few words" for k in range(1 + i % 4)]
+        at = rng.randrange(61)
+        rows.append((i, "\n".join(frame[:at] + own + frame[at:]), "framed"))
+    article = "\n".join(f"article line {k} with words {k * 7} and {k * 11}" for k in range(10))
+    rows += [(1000 + i, article, "copies") for i in range(40)]
+    rows += [(2000 + i, "\n".join(f"body {i} line {k} with words {k * 3}" for k in range(10)), "copies") for i in range(60)]
+    got = {r.doc_id: r for r in op6_quality.quality(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    by_line = collections.defaultdict(set)
+    for i, t, host in rows:
+        for x in t.split("\n"):
+            by_line[host, x].add(t)
+    sizes = {h: len({t for _, t, k in rows if k == h}) for h in ("framed", "copies")}
+    for i, t, host in rows:
+        n = {x: len(by_line[host, x]) for x in t.split("\n")}
+        want = [k for k, x in enumerate(t.split("\n")) if n[x] >= 10 and 10 * n[x] > sizes[host]]
+        assert got[i].removed_lines == want
+        assert got[i].kept == (host == "copies")
+
+
 def naive_best_fit(sizes, sources, clusters, capacity):
     shared = collections.Counter(clusters)
     bins, out = [], []
