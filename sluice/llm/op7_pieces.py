@@ -9,11 +9,14 @@ make; otherwise the pair is joined and its new neighbours enter the agenda.
 Characters without a piece become byte pieces, a mark that stands in the text
 itself too, so decoding returns the text exactly.
 
-The key of a chunk is one of ``variants`` keys, drawn by a hash of the seed,
-the document and the chunk's number. Equal chunks with equal keys are encoded
-once per worker, within bounded memory, and the agendas of all new chunks of a
-batch are worked off together: in each round every chunk takes the best
-candidate of its own agenda, so the order within a chunk is the same as alone.
+Every occurrence of a chunk has a key of its own: a hash of the seed, the
+document and the chunk's number. What is kept, within bounded memory, are a
+chunk's courses: the candidates that its agenda takes when none is skipped,
+and what follows when one of them is. An occurrence hashes the candidates of
+its course; where the first one is skipped it goes over to the course that
+follows from there, so its pieces are those of its own agenda. New courses of
+a batch are worked off together: in each round every agenda takes its best
+candidate, so the order within a chunk is the same as alone.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +39,10 @@ from sluice.llm._text import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 20240229
 MARK = "▁"
 CACHED_CHUNKS = 120_000  # per variant and worker
+COURSES = 400_000  # kept per worker
 LONG_CHUNK = 64  # longer ones are encoded alone and not kept
 DOCS_AT_ONCE = 128
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -89,8 +93,10 @@ def _skipped(key: int, place: int, piece: int, limit: int) -> bool:
     return (x >> 32) < limit
 
 
-def encode_chunk(chunk: str, pieces: Pieces, key: int, dropout: float) -> list[int]:
-    """Piece ids of one chunk; ``chunk`` has spaces, not marks."""
+def encode_chunk(chunk: str, pieces: Pieces, key: int, dropout: float, barred: frozenset = frozenset(),
+                 taken: list | None = None) -> list[int]:
+    """Piece ids of one chunk; ``chunk`` has spaces, not marks. Candidates
+    (place, rank) in ``barred`` are skipped; ``taken`` gets those joined."""
     if chunk == MARK:
         return [pieces.byte_ids[x] for x in chunk.encode()]
     # The mark itself is safe as a stand-in: a chunk never holds one from the text.
@@ -109,8 +115,10 @@ def encode_chunk(chunk: str, pieces: Pieces, key: int, dropout: float) -> list[i
         a, b = parts[i], parts[j]
         if a is None or b is None or right[i] != j or len(a) + len(b) != size:
             continue  # one of the two has been joined meanwhile
-        if limit and _skipped(key, i, r, limit):
+        if (i, r) in barred or (limit and _skipped(key, i, r, limit)):
             continue
+        if taken is not None:
+            taken.append((i, r))
         parts[i], parts[j] = a + b, None
         k = right[i] = right[j]
         if k < n:
@@ -188,8 +196,18 @@ class Joins:
         return out
 
 
-def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Joins, dropout: float) -> list[bytes]:
-    """Piece ids (int32 bytes) of chunks, each with its key; as ``encode_chunk``."""
+def _code(chunk: np.ndarray, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """One number for a candidate of a batch; places are below ``LONG_CHUNK``."""
+    return (chunk * LONG_CHUNK + place) << 24 | rank
+
+
+def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Joins, dropout: float,
+                  barred: np.ndarray | None = None, taken: list | None = None) -> list[bytes]:
+    """Piece ids (int32 bytes) of chunks, each with its key; as ``encode_chunk``.
+
+    Candidates whose code (``_code``) is in the sorted ``barred`` are skipped;
+    ``taken`` gets the (chunks, places, ranks) joined in every round.
+    """
     text = "".join(chunks)
     sym = joins.char[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
     size = np.array([len(c) for c in chunks])
@@ -198,6 +216,7 @@ def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Jo
     n = len(sym)
     place = np.arange(n) - np.repeat(starts, size)
     key = np.repeat(keys, size)
+    of = np.repeat(np.arange(len(chunks)), size)
     nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
     nxt[ends - 1] = -1
     prv[starts] = -1
@@ -213,6 +232,9 @@ def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Jo
             x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
             out[(x >> np.uint64(32)) < limit] = _NONE
+        if barred is not None and len(barred):
+            code = _code(of[at], place[at], np.maximum(r, 0))
+            out[barred[np.minimum(np.searchsorted(barred, code), len(barred) - 1)] == code] = _NONE
         return out
 
     alive = np.ones(n, bool)
@@ -224,6 +246,8 @@ def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Jo
             break
         i = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
         j = nxt[i]
+        if taken is not None:
+            taken.append((of[i], place[i], (best >> np.uint64(32)).astype(np.int64)))
         sym[i] = (best >> np.uint64(32)).astype(np.int32)
         alive[j] = False
         todo[j] = _NONE
@@ -240,7 +264,8 @@ def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Jo
 
 
 class Encoder:
-    """Encodes texts, keeping a bounded number of encoded chunks."""
+    """Encodes texts with one of ``variants`` keys per chunk, drawn by a hash of
+    its place, keeping a bounded number of encoded chunks."""
 
     def __init__(self, pieces: Pieces, dropout: float, variants: int, seed: int):
         self.pieces, self.dropout, self.joins = pieces, dropout, Joins(pieces)
@@ -301,6 +326,161 @@ class Encoder:
         return self.encode_all([text], [doc])[0]
 
 
+def _ranges(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)
+
+
+class Sampler:
+    """Encodes texts with a key for every occurrence of a chunk, keeping a
+    bounded number of courses."""
+
+    def __init__(self, pieces: Pieces, dropout: float, seed: int):
+        self.pieces, self.joins = pieces, Joins(pieces)
+        self.dropout, self.limit, self.seed = dropout, np.uint64(int(dropout * (1 << 32))), np.uint64(seed)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.roots: dict[str, int] = {}  # chunk -> its course without a skip
+        self.turns: dict[int, int] = {}  # course << 8 | number of the candidate skipped -> course
+        self.chunk: list[str] = []
+        self.skip: list[tuple[int, int]] = []  # the course it follows from, and the skipped candidate's place in the flat arrays
+        self.n = 0
+        # Per course: its candidates and ids in the flat arrays.
+        self.cand_at, self.cand_n, self.id_at, self.id_n = (np.zeros(1 << 16, np.int64) for _ in range(4))
+        self.place, self.rank, self.ids = (np.zeros(1 << 18, np.int32) for _ in range(3))
+        self.mark = np.zeros(1 << 18, np.uint64)  # what ``_skipped`` mixes into the key
+        self.n_cand = self.n_id = 0
+
+    @staticmethod
+    def _grown(x: np.ndarray, n: int) -> np.ndarray:
+        return x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
+
+    def _barred(self, course: int, cand: int) -> frozenset:
+        """(place, rank) of a candidate and of those that its course has skipped before."""
+        out = []
+        while cand >= 0:
+            out.append((int(self.place[cand]), int(self.rank[cand])))
+            course, cand = self.skip[course]
+        return frozenset(out)
+
+    def _add(self, new: list[tuple[str, frozenset]], skip: list[tuple[int, int]]) -> None:
+        """Works off the courses of (chunk, skipped candidates)."""
+        codes = np.frombuffer("".join(c for c, _ in new).encode("utf-32-le"), np.uint32)
+        size = np.array([len(c) for c, _ in new])
+        odd = np.logical_or.reduceat(self.joins.char[codes] < 0, np.cumsum(size) - size)  # needs byte pieces
+        odd |= np.array([c == MARK for c, _ in new])
+        plain = np.flatnonzero(~odd)
+        rounds: list = []
+        ids: list = [b""] * len(new)
+        if len(plain):
+            barred = np.array(sorted(((k * LONG_CHUNK + i) << 24) | r for k, x in enumerate(plain.tolist())
+                                     for i, r in new[x][1]), np.int64)
+            done = encode_chunks([new[x][0] for x in plain], np.zeros(len(plain), np.uint64), self.pieces,
+                                 self.joins, 0.0, barred, rounds)
+            for x, b in zip(plain.tolist(), done, strict=True):
+                ids[x] = b
+            rounds = [(plain[c], i, r) for c, i, r in rounds]
+        for x in np.flatnonzero(odd).tolist():
+            taken: list = []
+            ids[x] = array("i", encode_chunk(*[new[x][0], self.pieces, 0, 0.0], new[x][1], taken)).tobytes()
+            if taken:
+                i, r = np.array(taken, np.int64).T
+                rounds.append((np.full(len(i), x), i, r))
+        none = np.zeros(0, np.int64)
+        of, i, r = (np.concatenate(x) for x in zip(*rounds, strict=True)) if rounds else (none, none, none)
+        order = np.argsort(of, kind="stable")
+        n, count = self.n + len(new), np.bincount(of, minlength=len(new))
+        lengths = np.array([len(b) // 4 for b in ids])
+        self.cand_at, self.cand_n, self.id_at, self.id_n = (
+            self._grown(x, n) for x in (self.cand_at, self.cand_n, self.id_at, self.id_n))
+        self.cand_n[self.n:n], self.cand_at[self.n:n] = count, self.n_cand + np.cumsum(count) - count
+        self.id_n[self.n:n], self.id_at[self.n:n] = lengths, self.n_id + np.cumsum(lengths) - lengths
+        m = self.n_cand + len(of)
+        self.place, self.rank, self.mark = (self._grown(x, m) for x in (self.place, self.rank, self.mark))
+        i, r = i[order], r[order]
+        self.place[self.n_cand:m], self.rank[self.n_cand:m] = i, r
+        self.mark[self.n_cand:m] = (i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                                    ^ r.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+        k = self.n_id + int(lengths.sum())
+        self.ids = self._grown(self.ids, k)
+        self.ids[self.n_id:k] = np.frombuffer(b"".join(ids), np.int32)
+        self.n, self.n_cand, self.n_id = n, m, k
+        self.chunk += [c for c, _ in new]
+        self.skip += skip
+
+    def _keys(self, n: int, doc: int) -> np.ndarray:
+        """The keys of a document's ``n`` chunks."""
+        place = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        with np.errstate(over="ignore"):
+            return mix(place + (np.uint64(doc & _M64) * np.uint64(0xC2B2AE3D27D4EB4F) + self.seed))
+
+    def _followed(self, course: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The course that every occurrence ends on."""
+        course = course.copy()
+        todo, at = np.arange(len(course)) if self.limit else np.zeros(0, np.int64), np.zeros(len(course), np.int64)
+        while len(todo):
+            c = course[todo]
+            size = self.cand_n[c] - at
+            some = size > 0
+            todo, c, at, size = todo[some], c[some], at[some], size[some]
+            if not len(todo):
+                break
+            cand = _ranges(self.cand_at[c] + at, size)
+            x = np.repeat(key[todo], size)
+            x ^= self.mark[cand]
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x ^= x >> np.uint64(29)
+            x *= np.uint64(0x9FB21C651E98DF25)
+            skip = np.flatnonzero((x >> np.uint64(32)) < self.limit)
+            row = np.repeat(np.arange(len(todo)), size)[skip]
+            row, first = np.unique(row, return_index=True)
+            f = (skip[first] - (np.cumsum(size) - size)[row]) + at[row]
+            todo, c, at = todo[row], c[row], f
+            turn, back = np.unique(c << 8 | f, return_inverse=True)
+            turns = turn.tolist()
+            fresh = [t for t in turns if t not in self.turns]
+            if fresh:
+                first_new = self.n
+                skips = [(t >> 8, int(self.cand_at[t >> 8]) + (t & 255)) for t in fresh]
+                self._add([(self.chunk[p], self._barred(p, q)) for p, q in skips], skips)
+                self.turns.update(zip(fresh, range(first_new, self.n), strict=True))
+            course[todo] = np.array([self.turns[t] for t in turns], np.int64)[back]
+        return course
+
+    def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
+        if self.n > COURSES:
+            self._clear()
+        split = [self.pieces.chunk.findall(" " + t) if t else [] for t in texts]
+        chunks = [c for x in split for c in x]
+        if not chunks:
+            return [np.zeros(0, np.int32) for _ in texts]
+        key = np.concatenate([self._keys(len(x), d) for x, d in zip(split, docs, strict=True)])
+        course = np.fromiter(map(self.roots.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unknown = np.flatnonzero(course < 0).tolist()
+        new = [c for c in {chunks[x] for x in unknown} if len(c) <= LONG_CHUNK]
+        if new:
+            first = self.n
+            self._add([(c, frozenset()) for c in new], [(-1, -1)] * len(new))
+            self.roots.update(zip(new, range(first, self.n), strict=True))
+            course[unknown] = [self.roots.get(chunks[x], -1) for x in unknown]
+        short = np.flatnonzero(course >= 0)
+        course[short] = self._followed(course[short], key[short])
+        size = np.where(course >= 0, self.id_n[course], 0)
+        alone = {x: np.array(encode_chunk(chunks[x], self.pieces, int(key[x]), self.dropout), np.int32)
+                 for x in np.flatnonzero(course < 0).tolist()}
+        for x, ids in alone.items():
+            size[x] = len(ids)
+        ends = np.cumsum(size)
+        flat = np.empty(int(ends[-1]), np.int32)
+        flat[_ranges((ends - size)[short], size[short])] = self.ids[_ranges(self.id_at[course[short]], size[short])]
+        for x, ids in alone.items():
+            flat[ends[x] - size[x]:ends[x]] = ids
+        cut = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
+        return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text that ``ids`` encode."""
     byte_of, texts = pieces.byte_of, pieces.texts
@@ -321,14 +501,16 @@ def decode_ids(ids, pieces: Pieces) -> str:
     return "".join(out)[1:]
 
 
-_encoders: dict[tuple, Encoder] = {}  # one per setting and worker process
+_encoders: dict[tuple, Encoder | Sampler] = {}  # one per setting and worker process
 
 
 def _encode(pieces: Pieces, dropout: float, variants: int, seed: int):
     setting = (pieces.name, dropout, variants, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoders.setdefault(setting, Encoder(pieces, dropout, variants, seed))
+        if setting not in _encoders:
+            _encoders[setting] = Encoder(pieces, dropout, variants, seed) if variants else Sampler(pieces, dropout, seed)
+        enc = _encoders[setting]
         for b in batches:
             for lo in range(0, b.num_rows, DOCS_AT_ONCE):
                 part = b.slice(lo, DOCS_AT_ONCE)
@@ -354,12 +536,13 @@ def _decode(pieces: Pieces):
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-           dropout: float = DROPOUT, variants: int = VARIANTS, seed: int = SEED) -> DataFrame:
+           dropout: float = DROPOUT, variants: int = 0, seed: int = SEED) -> DataFrame:
     """(doc_id, ids, n_pieces, lossless) for every row of ``docs``.
 
     The model file is read on the driver, at the path given, and travels to
     the tasks with the function. With ``dropout`` 0 the segmentation is the
-    model's own. A null or empty text has no pieces. Rows that repeat an id
+    model's own. Dropout is drawn for every occurrence of a chunk by itself; with
+    ``variants`` above 0 each occurrence has one of so many keys only. A null or empty text has no pieces. Rows that repeat an id
     and text are encoded alike; a row without an id uses key 0. ``lossless``
     says that decoding gives the text back (null as empty). Other columns are
     ignored. An empty table gives an empty result.

@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips, DuckDB and held-out labels."""
 
 import collections
+import inspect
 import itertools
 import math
 import random
@@ -183,6 +184,37 @@ def test_pieces_match_the_library(small_docs):
     assert differs > 50
 
 
+def test_dropout_is_drawn_per_occurrence(small_docs):
+    """Every occurrence has the pieces of its own agenda; those of a word vary as with keys drawn by themselves."""
+    pieces = op7_pieces.load_pieces()
+    texts = [t for _, t in small_docs][:20] + ["  lead", "\n", "a  b\n\n c", "ü😀 \x00 \x7f", "x" * 500, "▁ in ▁▁text", ""]
+    for dropout in (0.0, 0.1, 0.5):
+        sampler = op7_pieces.Sampler(pieces, dropout, 3)
+        for got, (k, t) in zip(sampler.encode_all(texts, list(range(len(texts)))), enumerate(texts), strict=True):
+            chunks = pieces.chunk.findall(" " + t) if t else []
+            keys = sampler._keys(len(chunks), k).tolist()
+            assert got.tolist() == [x for c, key in zip(chunks, keys, strict=True)
+                                    for x in op7_pieces.encode_chunk(c, pieces, key, dropout)]
+            assert op7_pieces.decode_ids(got, pieces) == t
+    word = " information"
+    text = (word * 5000)[1:]
+    (batch,) = op7_pieces._encode(pieces, 0.1, inspect.signature(op7_pieces.encode).parameters["variants"].default, 9)(iter([pa.RecordBatch.from_arrays(
+        [pa.array([5]), pa.array([text])], names=["doc_id", "text"])]))
+    ids = batch.column("ids")[0].as_py()
+    segmentations, at = collections.Counter(), 0
+    while at < len(ids):
+        end, spelt = at, ""
+        while len(spelt) < len(word):
+            spelt += pieces.texts[ids[end]]
+            end += 1
+        segmentations[tuple(ids[at:end])] += 1
+        at = end
+    assert sum(segmentations.values()) == 5000 and len(segmentations) > 8
+    rng = random.Random(2)
+    want = collections.Counter(tuple(op7_pieces.encode_chunk(word, pieces, rng.getrandbits(64), 0.1)) for _ in range(5000))
+    assert all(abs(segmentations[x] - n) < 150 for x, n in want.items())
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
