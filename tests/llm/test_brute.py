@@ -551,3 +551,26 @@ def test_search_over_shards_equals_brute_force(spark):
             want[q, rank] = (i, -s)
     assert got.keys() == want.keys()
     assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 2e-6 for x in want)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_queries_with_near_ties(seed):
+    """Queries of 10,000 distinct words; documents whose scores differ by less than single precision tells."""
+    rng = np.random.default_rng(seed)
+    n, terms = 400, 10_000
+    present = rng.random((n, terms)) < 0.97
+    present[1::2] = present[::2]  # pairs that differ in one word
+    present[np.arange(1, n, 2), rng.integers(0, terms, n // 2)] ^= True
+    doc, term = (x.astype(np.int32) for x in np.nonzero(present))
+    names = np.arange(1, terms + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.lexsort((names[term], doc))
+    doc, term = doc[order], term[order]
+    shard = op1_search.Shard(np.arange(n), doc, names[term], np.ones(len(doc), np.int32),
+                             present.sum(axis=1).astype(np.int64), float(terms))
+    # Weights between 5 and 5.0001: all scores lie close to each other, in the ten thousands.
+    weights = 5 + 1e-4 * rng.random(terms)
+    by_name = np.argsort(names)
+    (got,) = shard.search([(names[by_name], weights[by_name])], 10)
+    every = np.round(shard.exact(np.arange(n), np.arange(terms), weights[by_name]), op1_search.DIGITS)
+    want = np.lexsort((np.arange(n), -every))[:10]
+    assert got[1].tolist() == want.tolist() and got[2].tolist() == every[want].tolist()
