@@ -17,17 +17,10 @@ from sluice.llm._stage import staged
 from sluice.llm.op2_minhash import near_duplicates
 from sluice.llm.op4_lines import dedup_lines
 from sluice.llm.op5_packing import pack
-from sluice.llm.op6_quality import quality
+from sluice.llm.op6_quality import apply_rules
 from sluice.llm.op8_pii import mask_pii
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, hash of the text) is in ``rejected``."""
-    d = docs.alias("d")
-    same = (F.col("d.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.xxhash64("d.text") == F.col("r.h"))
-    return d.join(rejected.select("doc_id", "h").distinct().alias("r"), same, "left_anti")
-
-
 def _sized(docs: DataFrame) -> DataFrame:
     """``n_chars`` follows the changed text."""
     if "n_chars" not in docs.columns:
@@ -36,8 +29,9 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the base rules or the line-frequency rule reject."""
-    return _without(docs, quality(docs).filter("not kept"))
+    """Drops the documents that the base rules or the line-frequency rule reject,
+    and cuts frequent lines out of the others."""
+    return _sized(apply_rules(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             limit_percent: int = LIMIT_PERCENT, min_docs: int = MIN_DOCS,
             left_percent: int = LEFT_PERCENT) -> DataFrame:
     """Counts and verdict, one row per row of ``docs``:
-    doc_id, h (hash of the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    doc_id, h (hash of the text), host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_removed_words, base_failed, kept, removed_lines (indexes among the lines
     that hold a word).
 
@@ -156,7 +156,24 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             .withColumn("kept", ~F.col("base_failed")
                         & (100 * (F.col("n_words") - F.col("n_removed_words"))
                            >= left_percent * F.col("n_words")))
-            .select("doc_id", "h", *_COUNTS, "n_removed_words", "base_failed", "kept", "removed_lines"))
+            .select("doc_id", "h", "host", *_COUNTS, "n_removed_words", "base_failed", "kept", "removed_lines"))
+
+
+def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                **limits: int) -> DataFrame:
+    """``docs`` without the rejected rows; the frequent lines of the others are cut out of their texts."""
+    verdicts = (quality(docs, id_col, text_col, host_col, **limits).filter("not kept or size(removed_lines) > 0")
+                .select("doc_id", "h", "host", "kept", "removed_lines").distinct())
+    d, r = docs.alias("d"), verdicts.alias("r")
+    same = (F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("r.doc_id")) & (F.xxhash64(f"d.{text_col}") == F.col("r.h"))
+            & (F.coalesce(F.col(f"d.{host_col}").cast("string"), F.lit("\x00")) == F.col("r.host")))
+    lines = F.split(F.col(f"d.{text_col}"), "\n", -1)
+    worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
+    cut = F.transform(F.col("r.removed_lines"), lambda k: F.get(worded, k))
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(cut, i)), "\n")
+    text = F.when(F.size("r.removed_lines") > 0, left).otherwise(F.col(f"d.{text_col}")).alias(text_col)
+    return (d.join(r, same, "left").filter("r.kept is null or r.kept")
+            .select(*[text if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]))
 
 
 _PAT = r"[^\x20\x09-\x0D]+"

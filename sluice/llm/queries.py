@@ -54,7 +54,7 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op6_quality.quality(_table(spark, sf_dir, "documents")).drop("h", "removed_lines")
+    return op6_quality.quality(_table(spark, sf_dir, "documents")).drop("h", "host", "removed_lines")
 
 
 @query

@@ -574,3 +574,18 @@ def test_long_queries_with_near_ties(seed):
     every = np.round(shard.exact(np.arange(n), np.arange(terms), weights[by_name]), op1_search.DIGITS)
     want = np.lexsort((np.arange(n), -every))[:10]
     assert got[1].tolist() == want.tolist() and got[2].tolist() == every[want].tolist()
+
+
+def test_pipeline_cuts_frequent_lines(spark):
+    """Lines above the limits are cut out of the documents that stay; nothing else changes."""
+    menu = ["Home | News | About us", "All rights reserved"]
+    rows = [(i, "\n".join([menu[0], "", *[f"story {i} line {k} with some more words" for k in range(8)], "  ", menu[1]]),
+             "en", "s0" if i % 2 else None, 0) for i in range(60)]
+    rows += [(99, "too short", "en", "s0", 9), (98, None, "en", "s0", 0), (97, rows[0][1], "en", "alone", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.quality_rules(spark, docs, SF_SMALL).collect()}
+    assert set(got) == {*range(60), 97}
+    for i, text, *_ in rows[:60]:
+        want = "\n".join(x for x in text.split("\n") if x not in menu)
+        assert (got[i].text, got[i].n_chars) == (want, len(want))
+    assert got[97].text == rows[0][1]  # another host
