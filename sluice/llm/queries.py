@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import op1_search, op4_lines, op6_quality
+from sluice.llm import op1_search, op4_lines, op6_quality, op11_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_wand_search": op1_search.ORACLE, "op4_line_windows": op4_lines.ORACLE,
-                          "op6_line_frequency": op6_quality.ORACLE}
+                          "op6_line_frequency": op6_quality.ORACLE, "op11_part_enum": op11_variants.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,3 +79,8 @@ def op9_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.llm.op10_chains import fuzzy_passages
     return fuzzy_passages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_variants.spelling_variants(_table(spark, sf_dir, "documents"))
