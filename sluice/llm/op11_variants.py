@@ -21,6 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm._sql import CRC_TABLE_SQL, crc_sql
 from sluice.llm._stage import staged
 
 PARTS = 4
@@ -137,23 +138,8 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"))
 
 
-_CRC = """
-tab AS (SELECT list(c ORDER BY i) AS t FROM (
-  SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k:
-    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
-
-
-def crc_sql(text: str) -> str:
-    """DuckDB expression: unsigned crc32 of the UTF-8 bytes of ``text``; needs ``tab`` in scope."""
-    # The bytes come from the hexadecimal form of the blob.
-    byte = ("list_transform(range(octet_length(encode({0}))), lambda b: "
-            "('0x' || substr(hex(encode({0})), 2 * b + 1, 2))::BIGINT)").format(text)
-    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {byte}), "
-            "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)")
-
-
 ORACLE = f"""
-WITH RECURSIVE {_CRC.strip()},
+WITH RECURSIVE {CRC_TABLE_SQL.strip()},
 runs AS (SELECT doc_id, run, count(*) AS m FROM (
   SELECT doc_id, unnest(regexp_extract_all(
     translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{RUN}')) AS run FROM documents)

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import op1_search, op4_lines, op6_quality, op11_variants
+from sluice.llm import op1_search, op4_lines, op6_quality, op11_variants, op13_bitsliced
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_wand_search": op1_search.ORACLE, "op4_line_windows": op4_lines.ORACLE,
-                          "op6_line_frequency": op6_quality.ORACLE, "op11_part_enum": op11_variants.ORACLE}
+                          "op6_line_frequency": op6_quality.ORACLE, "op11_part_enum": op11_variants.ORACLE,
+                          "op13_bit_sliced": op13_bitsliced.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,3 +85,8 @@ def op10_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_bitsliced.importance_draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
