@@ -87,6 +87,12 @@ def op11_part_enum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_learned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sluice.llm.op12_cells import nearest
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_bitsliced.importance_draw(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
