@@ -15,10 +15,10 @@ from .operators.outcomes import counts, run_summary, with_outcome  # noqa: E402
 from .operators.quality import (Rule, ValidationError, flag, gate, split_valid,  # noqa: E402
                                 violations, write_split)
 from .sinks.lake import append, full_load, overwrite, publish_snapshot  # noqa: E402
-from .sinks.upsert import compact, merge_latest, snapshot, upsert  # noqa: E402
+from .sinks.upsert import merge_latest, snapshot, upsert  # noqa: E402
 
 __all__ = [
-    "Rule", "ValidationError", "append", "compact", "counts", "explode_list", "first_per_key",
+    "Rule", "ValidationError", "append", "counts", "explode_list", "first_per_key",
     "flag", "full_load", "gate", "insert_if_absent", "latest_per_key", "lookup", "lookup_misses",
     "merge_latest", "overwrite", "per_row_list", "publish_snapshot", "run_summary", "snapshot",
     "split_valid", "upsert", "violations", "with_outcome", "write_split", "zip_lists",

@@ -28,6 +28,7 @@ from ..operators.explode import explode_list
 from ..operators.lookup import insert_if_absent, lookup
 from ..operators.outcomes import run_summary, with_outcome
 from ..sinks import lake
+from ..sinks.files import exists
 from ..sources.control import MALFORMED, read_control, read_csv_text, with_row_number
 
 # Validation rules in reporting order: the five checks of the original tool,
@@ -67,7 +68,7 @@ def work_items(control: DataFrame, lake_root: str = "output") -> DataFrame:
         F.col("dlSchemaName").alias("schema"), F.col("dlTableName").alias("table"),
         F.upper("tableLoadType").alias("load_type"),
         F.col("keyPreCombine").alias("precombine"), F.col("keyPrimaryKey").alias("primary_key"),
-        *(["row_id"] if "row_id" in control.columns else []))
+        *[c for c in ("row_id", *schemas.EXTRACT_COLUMNS) if c in control.columns])
     items = explode_list(c, "BANNER_NAME", sep=",", value_col="banner", pos_col="pos")
     tname = N.table_name("banner", "table")
     return items.select(
@@ -164,11 +165,9 @@ def run(spark: SparkSession, control_path: str, mapping_export_path: str, env: s
     items = work_items(numbered)
     requests = storage_requests(items, env)
     if request_log_path is not None:
-        from ..sinks.upsert import _jvm_fs
-        fs, p = _jvm_fs(spark, request_log_path)
         key = list(schemas.REQUEST_KEY)
         req = requests.drop("pos")
-        if fs.exists(p):
+        if exists(spark, request_log_path):
             existing = spark.read.parquet(request_log_path)
             new = insert_if_absent(existing, req, key, ["row_id"]).drop("row_id")
         else:

@@ -19,3 +19,6 @@ MAPPING_SOURCE_VALUE = "bucket_name"
 
 # Key of a storage request: one request per (schema, table).
 REQUEST_KEY = ("databaseName", "tableName")
+
+# Optional control columns that say which slice of the source an item takes.
+EXTRACT_COLUMNS = ("extract_filter", "watermark")

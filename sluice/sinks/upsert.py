@@ -1,10 +1,10 @@
 """INC load: upsert by composite key, newest precombine value wins (K4, A3, K7).
 
-Table layout: Parquet partitioned by ``b = pmod(hash(keys), N)``, the hash
-bucket of the record key. ``N``, the keys and the table schema are fixed when
-the table is created and stored in ``_sluice_table.json`` in the table folder
-(hidden from Spark's readers by the leading underscore). Reads use the stored
-schema: no footer sampling, and an empty table reads as an empty frame.
+Table layout: Parquet folders ``sluice_version=<v>[/<p>=<value>]/b=<bucket>``,
+where ``b = pmod(hash(keys), N)`` and ``p`` are optional leading partition
+columns that never change for a key (a creation date, a region). Folders are
+immutable. ``_sluice_table.json`` says which version of each folder is the
+table, with the table's fixed properties (N, keys, leading columns, schema).
 
 One upsert run:
 
@@ -14,44 +14,45 @@ One upsert run:
    WindowGroupLimit: a hot key is cut to one row per map task before the
    shuffle) and frozen as Parquet in the shared checkpoint folder, so every
    later step sees the same rows.
-3. The touched buckets are the distinct ``b`` of the batch: at most ``N``
-   integers, so collecting them is bounded by a table property, not by data.
-4. Only those buckets of the target are read (partition pruning) and merged,
-   by one of two plans chosen by cost (``plan_upsert``): the *shuffle* merge
-   (target + batch shuffled once by bucket, newer row per key kept, one file
-   per bucket) or the *broadcast* merge (no target row shuffled: broadcast
-   semi/anti joins on the batch keys inside the target scan). Either way the
-   result replaces those bucket folders; untouched
-   buckets keep their files byte for byte. A broadcast merge leaves a bucket
-   with about (bucket size / split size) + 1 files; ``compact`` (or the
-   automatic fallback to the shuffle merge) rewrites crowded buckets.
+3. The target is semi joined with the batch's distinct (leading columns,
+   bucket): dynamic partition pruning reads only those folders. With a leading
+   column that follows the change feed, a daily batch touches a few days'
+   folders; by hash alone it touches most buckets.
+4. Touched folders and batch are merged by one of two plans (``plan_upsert``):
+   the *shuffle* merge (both shuffled once by folder, newer row per key kept)
+   or the *broadcast* merge (no target row shuffled: broadcast semi/anti joins
+   on the batch keys inside the target scan).
+5. The merged rows are written as a new version of the touched folders, and the
+   pointer file is replaced in one rename. Untouched folders keep their files.
 
 Rows with a NULL key are never dropped: every run writes them to a quarantine
 folder of the table (``quarantined`` reads them back) and counts them.
 
-Failure model: new bucket folders are first written completely below
-``_sluice_pending``; then a commit file is put beside them; only then are the
-old folders replaced, one by one, by renames. A crash before the commit file
-leaves the old table (the leftovers are removed by the next run). A crash
-after it leaves the complete new folders, and the next reader or writer
-finishes the renames (``recover``). The same path serves create, FULL and INC.
-One writer per table at a time.
+Failure model: nothing that a reader may hold is changed or deleted by a
+write. A crash before the switch leaves the old table and unreferenced folders;
+after it the new table is complete. Readers only read. A reader keeps the
+version it opened until ``drop_old_versions`` is called. One writer per table
+at a time; a writer that finds the pointer changed since it started fails
+instead of switching.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.dedup import latest_per_key
 from ..session import shared_root
+from .files import exists, file_system, hadoop_path, partition_folders, read_bytes, remove
+from .lake import register_external_table
 
 BUCKET_COL = "b"
 SRC_COL = "__sluice_src"
@@ -61,8 +62,8 @@ RECORD_KEY = "_record_key"
 PARTITION_PATH = "_partition_path"
 FILE_NAME = "_file_name"
 META_COLS = (COMMIT_TIME, COMMIT_SEQNO, RECORD_KEY, PARTITION_PATH)
+VERSION_COL = "sluice_version"
 _META_FILE = "_sluice_table.json"
-_PENDING = "_sluice_pending"
 _QUARANTINE = "_sluice_quarantine"
 _SPLIT = "__sluice_split"
 
@@ -82,11 +83,15 @@ def record_key(keys: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every key present, rows with a NULL key)."""
+def split_null_keys(df: DataFrame, keys: Sequence[str], partition_by: Sequence[str] = ()
+                    ) -> tuple[DataFrame, DataFrame]:
+    """(rows with every key present, rows with a NULL key). A partition column
+    must hold some text too: a folder can't tell an empty value from none."""
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
+    for c in partition_by:
+        any_null = any_null | F.col(c).isNull() | (F.col(c).cast("string") == "")
     return df.filter(~any_null), df.filter(any_null)
 
 
@@ -103,14 +108,17 @@ def merge_latest(base: DataFrame, batch: DataFrame, keys: Sequence[str],
     return latest_per_key(u, keys, order).drop(SRC_COL)
 
 
-def with_meta(df: DataFrame, keys: Sequence[str], run_id: str) -> DataFrame:
+def with_meta(df: DataFrame, keys: Sequence[str], run_id: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """K7/K8-style meta columns for rows written by this run."""
     rk = record_key(keys)
+    folders = []
+    for c in (*partition_by, BUCKET_COL):
+        folders += [F.lit(("/" if folders else "") + c + "="), F.coalesce(F.col(c).cast("string"), F.lit(""))]
     return df.select(
         F.lit(run_id).alias(COMMIT_TIME),
         F.concat(F.lit(run_id + "_"), F.hex(F.xxhash64(rk))).alias(COMMIT_SEQNO),
         rk.alias(RECORD_KEY),
-        F.concat(F.lit(BUCKET_COL + "="), F.col(BUCKET_COL).cast("string")).alias(PARTITION_PATH),
+        F.concat(*folders).alias(PARTITION_PATH),
         *[F.col(c) for c in df.columns],
     )
 
@@ -119,145 +127,131 @@ def with_meta(df: DataFrame, keys: Sequence[str], run_id: str) -> DataFrame:
 class UpsertResult:
     path: str
     run_id: str
-    touched_buckets: list[int] | None  # None: all (create, FULL)
+    touched: list[str] | None  # folder names; None: all (create, FULL)
     metrics: dict = field(default_factory=dict)
     quarantine: DataFrame | None = None
     strategy: str = "create"
 
-
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, p
+    @property
+    def touched_buckets(self) -> list[int] | None:
+        return None if self.touched is None else sorted({int(n.rsplit("=", 1)[1]) for n in self.touched})
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _jvm_fs(spark, path)
-    return fs.exists(p) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"))
+    return exists(spark, f"{path}/{_META_FILE}")
 
 
 def read_meta(spark: SparkSession, path: str) -> dict:
-    """The table's fixed properties: num_buckets, keys, schema (JSON)."""
-    jvm = spark._jvm
-    fs, _ = _jvm_fs(spark, path)
-    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{_META_FILE}"))
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-    finally:
-        reader.close()
-    return json.loads("\n".join(lines))
+    """The pointer: num_buckets, splits, keys, partition_by, schema (JSON),
+    version (of the last switch) and folders (name -> version)."""
+    return json.loads(read_bytes(spark, f"{path}/{_META_FILE}").decode())
 
 
 def read_num_buckets(spark: SparkSession, path: str) -> int:
     return int(read_meta(spark, path)["num_buckets"])
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, complete or absent: written beside its place, then renamed."""
-    fs, p = _jvm_fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
-    writer = spark._jvm.java.io.OutputStreamWriter(fs.create(tmp, True), "UTF-8")
-    writer.write(text)
-    writer.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+def _switch(spark: SparkSession, path: str, meta: dict) -> None:
+    """Make ``meta`` the table's pointer, by one rename that replaces the old file."""
+    fs, p = file_system(spark, f"{path}/{_META_FILE}")
+    name = f"{_META_FILE}.{meta['version']}.tmp"
+    tmp = hadoop_path(spark, f"{path}/{name}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps(meta).encode()))
+    out.close()
+    fs.delete(hadoop_path(spark, f"{path}/.{name}.crc"), False)  # a local file's checksum would be renamed apart
+    fs_api = spark._jvm.org.apache.hadoop.fs
+    how = spark.sparkContext._gateway.new_array(fs_api.Options.Rename, 1)
+    how[0] = fs_api.Options.Rename.OVERWRITE
+    fs_api.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(tmp), fs.makeQualified(p), how)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _jvm_fs(spark, path)
-    if not fs.exists(p):
-        return None
-    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+def _publish(spark: SparkSession, path: str, rows: DataFrame, meta: dict, base: str | None) -> list[str]:
+    """Write ``rows`` as a new version of their folders, then switch to it.
 
+    ``meta["folders"]`` are the folders that stay; ``base`` is the version the
+    rows were made from. Returns the names of the new folders.
+    """
+    version = uuid.uuid4().hex[:16]
+    columns = [*meta["partition_by"], BUCKET_COL]
+    rows.write.partitionBy(*columns).parquet(f"{path}/{VERSION_COL}={version}")
+    names = partition_folders(spark, f"{path}/{VERSION_COL}={version}", len(columns))
+    now = read_meta(spark, path)["version"] if table_exists(spark, path) else None
+    if now != base:
+        raise RuntimeError(f"{path} was changed by another writer; nothing of this run is in the table")
+    _switch(spark, path, {**meta, "version": version, "folders": {**meta["folders"], **dict.fromkeys(names, version)}})
+    return names
 
-def _meta_text(n: int, keys: Sequence[str], schema: StructType, splits: int) -> str:
-    return json.dumps({"num_buckets": n, "keys": list(keys), "splits": splits, "schema": schema.jsonValue()})
 
+def folder_paths(path: str, meta: dict) -> dict[str, str]:
+    """Folder name -> full path, for the table as ``meta`` has it."""
+    return {n: f"{path}/{VERSION_COL}={v}/{n}" for n, v in meta["folders"].items()}
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish a committed write that was interrupted; discard an uncommitted one.
 
-    Every step may be repeated: a new folder is renamed into place after the
-    old one is deleted, and stays in the pending folder until then. A FULL
-    write first deletes all old folders, and only then starts to rename.
-    """
-    pending = f"{path}/{_PENDING}"
-    fs, p = _jvm_fs(spark, pending)
-    if not fs.exists(p):
-        return
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    text = _read_text(spark, f"{pending}/commit.json")
-    if text is not None:
-        commit = json.loads(text)
-
-        def folders(at: str) -> list[str]:  # one per bucket: a table property
-            here = hadoop_path(at)
-            names = [f.getPath().getName() for f in fs.listStatus(here)] if fs.exists(here) else []
-            return [x for x in names if x.startswith(f"{BUCKET_COL}=")]
-
-        if commit["full"]:
-            for name in folders(path):
-                fs.delete(hadoop_path(f"{path}/{name}"), True)
-            commit["full"] = False
-            _write_text(spark, f"{pending}/commit.json", json.dumps(commit))
-        for name in folders(f"{pending}/data"):
-            fs.delete(hadoop_path(f"{path}/{name}"), True)
-            if not fs.rename(hadoop_path(f"{pending}/data/{name}"), hadoop_path(f"{path}/{name}")):
-                raise RuntimeError(f"could not move {name} into {path}")
-        if commit["meta"]:
-            _write_text(spark, f"{path}/{_META_FILE}", commit["meta"])
-    fs.delete(p, True)
-
-
-def _publish(spark: SparkSession, path: str, rows: DataFrame, full: bool, meta: str | None) -> None:
-    """Replace bucket folders by those of ``rows``: written, committed, moved."""
-    pending = f"{path}/{_PENDING}"
-    rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{pending}/data")
-    _write_text(spark, f"{pending}/commit.json", json.dumps({"full": full, "meta": meta}))
-    recover(spark, path)
+def register_table(spark: SparkSession, name: str, path: str, comments: Mapping[str, str] | None = None) -> None:
+    """K5 for the table at ``path``: the catalog's partitions follow the pointer."""
+    meta = read_meta(spark, path)
+    register_external_table(spark, name, path, _read_folders(spark, path, meta), [*meta["partition_by"], BUCKET_COL],
+                            comments, folders=folder_paths(path, meta))
+
+
+def drop_old_versions(spark: SparkSession, path: str, older_than_s: float) -> int:
+    """Delete folders that the table no longer uses and that were last written
+    more than ``older_than_s`` seconds ago (longer than any reader or writer
+    runs). Returns how many were deleted."""
+    meta = read_meta(spark, path)
+    fs, p = file_system(spark, path)
+    limit, n = (time.time() - older_than_s) * 1000, 0
+    for v in fs.listStatus(p):
+        if not v.getPath().getName().startswith(f"{VERSION_COL}="):
+            continue
+        version = v.getPath().getName().split("=", 1)[1]
+        for name in partition_folders(spark, v.getPath().toString(), len(meta["partition_by"]) + 1):
+            here = hadoop_path(spark, f"{v.getPath().toString()}/{name}")
+            if meta["folders"].get(name) != version and fs.getFileStatus(here).getModificationTime() < limit:
+                fs.delete(here, True)
+                n += 1
+    return n
 
 
 def _write_quarantine(spark: SparkSession, rejected: DataFrame, path: str, run_id: str
                       ) -> tuple[int, DataFrame | None]:
     """Rows with a NULL key, kept below the table; a repeated run replaces its own."""
-    folder = f"{path}/{_QUARANTINE}/run_id={re.sub('[^A-Za-z0-9_.-]', '_', run_id)}"
+    folder = f"{path}/{_QUARANTINE}/{re.sub('[^A-Za-z0-9_.-]', '_', run_id)}"
     obs = Observation("quarantine")
-    rejected.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    tagged = rejected.withColumn("run_id", F.lit(run_id))
+    tagged.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
     n = int(obs.get["n"])
     if not n:
-        _drop_staging(spark, folder)
+        remove(spark, folder)
         return 0, None
     return n, spark.read.schema(rejected.schema).parquet(folder)
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame | None:
-    """All rows that runs on this table rejected for a NULL key, with ``run_id``;
-    None when there are none."""
-    fs, p = _jvm_fs(spark, f"{path}/{_QUARANTINE}")
+    """All rows that runs on this table rejected for a NULL key, with ``run_id``
+    (text); None when there are none."""
+    fs, p = file_system(spark, f"{path}/{_QUARANTINE}")
     if not fs.exists(p) or not len(fs.listStatus(p)):
         return None
-    return spark.read.option("mergeSchema", True).parquet(f"{path}/{_QUARANTINE}")
+    return (spark.read.option("mergeSchema", True).option("recursiveFileLookup", True)
+            .parquet(f"{path}/{_QUARANTINE}"))
 
 
-def _drop_staging(spark: SparkSession, staging: str | None) -> None:
-    if staging:
-        fs, p = _jvm_fs(spark, staging)
-        fs.delete(p, True)
+def _read_folders(spark: SparkSession, path: str, meta: dict) -> DataFrame:
+    schema = StructType.fromJson(meta["schema"])
+    folders = list(folder_paths(path, meta).values())
+    if not folders:
+        return spark.createDataFrame([], schema)
+    with_version = StructType([*schema.fields, StructField(VERSION_COL, StringType())])
+    return spark.read.option("basePath", path).schema(with_version).parquet(*folders).select(*schema.names)
 
 
 def snapshot(spark: SparkSession, path: str, with_file_name: bool = False) -> DataFrame:
-    """Snapshot scan of a target table (copy-on-write: the plain scan)."""
-    recover(spark, path)
-    reader = spark.read.option("basePath", path)
-    if table_exists(spark, path):
-        reader = reader.schema(StructType.fromJson(read_meta(spark, path)["schema"]))
-    df = reader.parquet(path)
+    """The table as its pointer has it now. Reads only; later writes do not
+    change what this frame returns."""
+    df = _read_folders(spark, path, read_meta(spark, path))
     if with_file_name:
         df = df.withColumn(FILE_NAME, F.col("_metadata.file_name"))
     return df
@@ -298,90 +292,81 @@ def suggest_num_buckets(table_bytes: int, bucket_bytes: int = 512 << 20) -> int:
     return 1 << (n - 1).bit_length()
 
 
-def _spread(df: DataFrame, keys: Sequence[str], splits: int) -> DataFrame:
-    """One exchange for a write by bucket, with ``splits`` tasks per bucket."""
+def _spread(df: DataFrame, keys: Sequence[str], splits: int, partition_by: Sequence[str] = ()) -> DataFrame:
+    """One exchange for a write by folder, with ``splits`` tasks per folder."""
+    folder = [F.col(c) for c in (*partition_by, BUCKET_COL)]
     if splits <= 1:
-        return df.repartition(F.col(BUCKET_COL))
-    return df.repartition(F.col(BUCKET_COL), F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(splits)))
+        return df.repartition(*folder)
+    return df.repartition(*folder, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(splits)))
 
 
 def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
                  precombine: Sequence[str | Column], num_buckets: int,
                  run_id: str | None = None, tiebreak: Sequence[str | Column] = (),
-                 splits: int = 1) -> UpsertResult:
+                 splits: int = 1, partition_by: Sequence[str] = ()) -> UpsertResult:
     """First or FULL load of a bucketed target: the deduplicated batch becomes
-    the table. ``df`` may read the table itself: the old files go only after
-    the new ones are complete. ``splits`` tasks write each bucket (fixed for
-    the table, like ``num_buckets``).
+    the table. ``df`` may read the table itself: its files stay. ``splits``
+    tasks write each folder (fixed for the table, like ``num_buckets``).
+    ``partition_by`` are leading columns that never change for a key; keys are
+    unique within their values, as in any partitioned table. A table that has
+    grown is dealt anew by a FULL load of its snapshot with another
+    ``num_buckets``.
 
     Two exchanges, on purpose: the first (by key) is preceded by a per-task
     reduction to one row per key, so a key with a third of all rows costs one
-    row per map task; the second deals the survivors to their buckets.
+    row per map task; the second deals the survivors to their folders.
     """
     run_id = run_id or uuid.uuid4().hex[:16]
-    recover(spark, path)
-    clean, rejected = split_null_keys(df, keys)
-    latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
-    rows = with_meta(latest.withColumn(BUCKET_COL, bucket_of(keys, num_buckets)), keys, run_id)
-    # Partition column last, as the partitioned reader returns it.
-    schema = StructType([f for f in rows.schema.fields if f.name != BUCKET_COL]
-                        + [f for f in rows.schema.fields if f.name == BUCKET_COL])
+    base = read_meta(spark, path)["version"] if table_exists(spark, path) else None
+    lead = list(partition_by)
+    clean, rejected = split_null_keys(df, keys, lead)
+    latest = latest_per_key(clean, [*lead, *[k for k in keys if k not in lead]], list(precombine) + list(tiebreak))
+    rows = with_meta(latest.withColumn(BUCKET_COL, bucket_of(keys, num_buckets)), keys, run_id, lead)
+    # Partition columns last, as the partitioned reader returns them.
+    last = [*lead, BUCKET_COL]
+    schema = StructType([f for f in rows.schema.fields if f.name not in last] + [rows.schema[c] for c in last])
     n_rejected, quarantine = _write_quarantine(spark, rejected, path, run_id)
     obs = Observation("create")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    _publish(spark, path, _spread(rows, keys, splits), True, _meta_text(num_buckets, keys, schema, splits))
+    meta = {"num_buckets": num_buckets, "splits": splits, "keys": list(keys), "partition_by": lead,
+            "schema": schema.jsonValue(), "folders": {}}
+    _publish(spark, path, _spread(rows, keys, splits, lead), meta, base)
     return UpsertResult(path, run_id, None, {**obs.get, "rows_quarantined": n_rejected}, quarantine)
 
 
 # Merge strategy bounds. The shuffle merge moves every row of the touched
-# buckets through one exchange: cheap while that data is small, the
+# folders through one exchange: cheap while that data is small, the
 # bottleneck when it is large. So: touched data up to SHUFFLE_MAX_BYTES ->
-# shuffle merge (one stage, compacts); larger touched data and a batch of at
-# most MERGE_BROADCAST_ROWS rows -> broadcast merge (target never shuffled);
-# a touched bucket with MAX_FILES_PER_BUCKET files or more -> shuffle merge
-# (compaction).
-MERGE_BROADCAST_ROWS = 1_000_000
+# shuffle merge; larger touched data and batch keys of at most
+# MERGE_BROADCAST_BYTES, measured -> broadcast merge (target never shuffled).
+MERGE_BROADCAST_BYTES = 256 << 20
+ROW_OVERHEAD = 64  # bytes of a hash relation's row besides its values
 SHUFFLE_MAX_BYTES = 1 << 30
-MAX_FILES_PER_BUCKET = 16
-MAX_IN_LIST = 1_000  # literals in a plan
 
 
 @dataclass
 class UpsertPlan:
     merged: DataFrame | None
-    touched_buckets: list[int]
     quarantine: DataFrame
+    meta: dict
     strategy: str = "none"
     staging: str | None = None
 
 
-def files_per_bucket(spark: SparkSession, path: str, buckets: Sequence[int]) -> dict[int, int]:
-    """Data files per bucket (from the file listing the driver holds anyway)."""
-    want = set(buckets)
-    counts = {b: 0 for b in want}
-    for f in snapshot(spark, path).inputFiles():
-        for part in f.split("/"):
-            if part.startswith(BUCKET_COL + "="):
-                b = int(part.split("=", 1)[1])
-                if b in want:
-                    counts[b] += 1
-                break
-    return counts
-
-
 def _shuffle_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                   precombine: Sequence[str | Column], splits: int = 1) -> DataFrame:
-    """Target rows of the touched buckets and batch rows, shuffled once by
-    bucket (and, with ``splits``, by key hash within it); newer row per key
-    kept. Rewrites each touched bucket as ``splits`` files (compaction)."""
+                   precombine: Sequence[str | Column], splits: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Target rows of the touched folders and batch rows, shuffled once by
+    folder (and, with ``splits``, by key hash within it); newer row per key
+    kept. Rewrites each touched folder as ``splits`` files."""
     both = existing.withColumn(SRC_COL, F.lit(0)).unionByName(incoming.withColumn(SRC_COL, F.lit(1)))
-    # Shuffled by (bucket, split) only: the window's clustering (bucket, split,
+    # Shuffled by (folder, split) only: the window's clustering (folder, split,
     # keys) is already satisfied, so there is no second exchange.
     both = both.withColumn(_SPLIT, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(max(1, splits))))
-    w = (Window.partitionBy(F.col(BUCKET_COL), F.col(_SPLIT), *[F.col(k) for k in keys])
+    folder = [F.col(c) for c in (*partition_by, BUCKET_COL)]
+    w = (Window.partitionBy(*folder, F.col(_SPLIT), *[F.col(k) for k in keys if k not in partition_by])
          .orderBy(*[(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in precombine],
                   F.col(SRC_COL).desc()))
-    return (both.repartition(F.col(BUCKET_COL), F.col(_SPLIT))
+    return (both.repartition(*folder, F.col(_SPLIT))
             .withColumn("__rn", F.row_number().over(w))
             .filter(F.col("__rn") == 1)
             .drop("__rn", SRC_COL, _SPLIT))
@@ -413,94 +398,96 @@ def _broadcast_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
 def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                 precombine: Sequence[str | Column], run_id: str,
                 tiebreak: Sequence[str | Column] = (), strategy: str = "auto",
-                broadcast_rows: int = MERGE_BROADCAST_ROWS,
-                shuffle_max_bytes: int = SHUFFLE_MAX_BYTES,
-                max_files_per_bucket: int = MAX_FILES_PER_BUCKET) -> UpsertPlan:
-    """Build (without writing) the merged rows of the touched buckets.
-
-    ``strategy``: ``"shuffle"`` (bucket-wise window merge, compacts),
-    ``"broadcast"`` (no target shuffle; batch must be small) or ``"auto"``
-    (broadcast when the touched buckets hold more than ``shuffle_max_bytes``,
-    the batch has at most ``broadcast_rows`` rows — a counted bound — and no
-    touched bucket has ``max_files_per_bucket`` files; shuffle otherwise).
-    Touched bytes are estimated from the table size in the file listing the
-    driver already holds: hash buckets are uniform, so size x touched / N.
-    Jobs run here: the batch checkpoint (which also counts its rows) and
-    the touched bucket ids (at most N ints).
+                broadcast_bytes: int = MERGE_BROADCAST_BYTES,
+                shuffle_max_bytes: int = SHUFFLE_MAX_BYTES) -> UpsertPlan:
+    """Build (without writing) the merged rows of the touched folders.
+
+    ``strategy``: ``"shuffle"`` (window merge per folder), ``"broadcast"`` (no
+    target shuffle; the batch's keys must be small) or ``"auto"``: broadcast
+    when the touched folders hold more than ``shuffle_max_bytes`` and the
+    batch's keys and ordering values at most ``broadcast_bytes`` (measured while the
+    batch is frozen); shuffle otherwise. Touched bytes are estimated from the
+    table size in the file listing the driver already holds, times the share
+    of touched folders. Jobs run here: the batch's write (which also counts
+    and measures it) and the list of its folders.
     """
-    recover(spark, path)
     meta = read_meta(spark, path)
-    n, keys, splits = int(meta["num_buckets"]), _stored_keys(meta, keys, path), int(meta.get("splits", 1))
+    n, keys, splits = int(meta["num_buckets"]), _stored_keys(meta, keys, path), int(meta["splits"])
+    lead = list(meta["partition_by"])
     if strategy not in ("auto", "shuffle", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    target = snapshot(spark, path)
+    target = _read_folders(spark, path, meta)
     batch = _check_schema(batch, target, keys)
-    clean, quarantine = split_null_keys(batch, keys)
+    identity = [*lead, *[k for k in keys if k not in lead]]
+    clean, quarantine = split_null_keys(batch, keys, lead)
 
     # Newest row per key inside the batch (pre-reduced before the shuffle),
     # then frozen as a Parquet table in the shared checkpoint folder (the
-    # cluster's spark.checkpoint.dir): the row count, the touched buckets and
-    # the merge all see the same rows even if the source changes between jobs
-    # (a re-read that put a row into an untouched bucket would make dynamic
-    # overwrite replace that bucket). Parquet, not RDD checkpoint(): columnar
+    # cluster's spark.checkpoint.dir): its size, the touched folders and the
+    # merge all see the same rows even if the source changes between jobs (a
+    # re-read that put a row into an untouched folder would replace that
+    # folder by this row alone). Parquet, not RDD checkpoint(): columnar
     # write, vectorised read-back.
-    latest = latest_per_key(clean, keys, list(precombine) + list(tiebreak))
+    latest = latest_per_key(clean, identity, list(precombine) + list(tiebreak))
     latest = latest.withColumn(BUCKET_COL, bucket_of(keys, n))
     obs = Observation("batch")
+    held = [F.octet_length(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in identity]
+    held += [F.octet_length(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")))
+             for c in precombine]
+    width = sum(held[1:], held[0]) + F.lit(ROW_OVERHEAD + 8 * len(held))
     staged = f"{shared_root(spark)}/_sluice_staging/{run_id}-{uuid.uuid4().hex[:12]}"
-    latest.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
-    latest = spark.read.schema(latest.schema).parquet(staged)
-    rows = int(obs.get["rows"])
-    if rows == 0:
-        return UpsertPlan(None, [], quarantine, staging=staged)
-
-    # Bounded by n: the bucket ids, never the rows.
-    touched = sorted(r[0] for r in latest.select(BUCKET_COL).distinct().collect())
-    incoming = with_meta(latest, keys, run_id)
-    if len(touched) == n:
-        existing = target  # nothing to prune
-    elif len(touched) <= MAX_IN_LIST:
-        existing = target.filter(F.col(BUCKET_COL).isin(touched))
-    else:  # at most n ids: a broadcast side of bounded size, which prunes the scan at run time
-        existing = target.join(F.broadcast(latest.select(BUCKET_COL).distinct()), BUCKET_COL, "left_semi")
-
+    (latest.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+     .write.parquet(f"{staged}/rows"))
+    latest = spark.read.schema(latest.schema).parquet(f"{staged}/rows")
+    if int(obs.get["rows"]) == 0:
+        return UpsertPlan(None, quarantine, meta, staging=staged)
+    key_bytes = int(obs.get["bytes"])
+
+    # One row per folder that the batch touches. The comparison makes the side
+    # count as selective, so the planner prunes the scan by it at run time.
+    folder = [*lead, BUCKET_COL]
+    seen = Observation("folders")
+    touched = latest.select(*folder).distinct().coalesce(1)
+    touched.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{staged}/folders")
+    touched = spark.read.schema(touched.schema).parquet(f"{staged}/folders").filter(F.col(BUCKET_COL) >= 0)
+    incoming = with_meta(latest, keys, run_id, lead)
+    existing = target.join(F.broadcast(touched), folder, "left_semi").select(*target.columns)
+
+    if strategy == "broadcast" and key_bytes > broadcast_bytes:
+        remove(spark, staged)
+        raise ValueError(f"batch keys of {key_bytes} bytes are over the broadcast bound of {broadcast_bytes}")
     if strategy == "auto":
         table_bytes = int(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-        big_target = table_bytes * len(touched) // n > shuffle_max_bytes
-        small_batch = rows <= broadcast_rows
-        crowded = (big_target and small_batch
-                   and max(files_per_bucket(spark, path, touched).values()) >= max_files_per_bucket)
-        strategy = "broadcast" if big_target and small_batch and not crowded else "shuffle"
-    if strategy == "broadcast" and rows > broadcast_rows:
-        _drop_staging(spark, staged)
-        raise ValueError(f"a batch of {rows} keys is over the broadcast bound of {broadcast_rows}")
+        touched_bytes = table_bytes * min(int(seen.get["n"]), len(meta["folders"])) // max(1, len(meta["folders"]))
+        strategy = "broadcast" if touched_bytes > shuffle_max_bytes and key_bytes <= broadcast_bytes else "shuffle"
     if strategy == "broadcast":
-        merged = _broadcast_merge(existing, incoming, keys, precombine)
+        merged = _broadcast_merge(existing, incoming, identity, precombine)
     else:
-        merged = _shuffle_merge(existing, incoming, keys, precombine, splits)
-    return UpsertPlan(merged, touched, quarantine, strategy, staged)
+        merged = _shuffle_merge(existing, incoming, keys, precombine, splits, lead)
+    return UpsertPlan(merged, quarantine, meta, strategy, staged)
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
            precombine: Sequence[str | Column], run_id: str | None = None,
            tiebreak: Sequence[str | Column] = (), num_buckets: int | None = None,
-           strategy: str = "auto", splits: int = 1, **plan_options) -> UpsertResult:
+           strategy: str = "auto", splits: int = 1, partition_by: Sequence[str] = (), **plan_options) -> UpsertResult:
     """K4: apply ``batch`` to the bucketed table at ``path``.
 
-    Creates the table when it does not exist (``num_buckets`` required then).
-    An existing table keeps its own keys, in its own order: a batch keyed by
-    other columns fails before anything is written.
+    Creates the table when it does not exist (``num_buckets`` required then;
+    ``splits`` and ``partition_by`` are fixed then too). An existing table
+    keeps its own keys, in its own order: a batch keyed by other columns fails
+    before anything is written.
     """
     run_id = run_id or uuid.uuid4().hex[:16]
-    recover(spark, path)
     if not table_exists(spark, path):
-        fs, p = _jvm_fs(spark, path)
-        if fs.exists(p) and any(not f.getPath().getName().startswith("_sluice_") for f in fs.listStatus(p)):
+        fs, p = file_system(spark, path)
+        own = ("_sluice_", f"{VERSION_COL}=")
+        if fs.exists(p) and any(not f.getPath().getName().startswith(own) for f in fs.listStatus(p)):
             raise ValueError(f"{path} holds files but is not a bucketed upsert table; "
                              "refusing to overwrite it")
         if num_buckets is None:
             raise ValueError(f"no table at {path}; num_buckets is required to create it")
-        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak, splits)
+        return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak, splits, partition_by)
 
     plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy,
                        **plan_options)
@@ -513,38 +500,9 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         merged = plan.merged.observe(
             obs, F.count(F.lit(1)).alias("rows_written"),
             F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
-        _publish(spark, path, merged, False, None)
-        return UpsertResult(path, run_id, plan.touched_buckets,
-                            {**obs.get, "rows_quarantined": n_rejected}, quarantine, plan.strategy)
+        touched = _publish(spark, path, merged, plan.meta, plan.meta["version"])
+        return UpsertResult(path, run_id, touched, {**obs.get, "rows_quarantined": n_rejected}, quarantine,
+                            plan.strategy)
     finally:
-        _drop_staging(spark, plan.staging)  # the frozen batch
-
-
-def compact(spark: SparkSession, path: str, min_files: int = MAX_FILES_PER_BUCKET) -> list[int]:
-    """Rewrite every bucket holding ``min_files`` files or more as one file.
-
-    Rows are unchanged: the crowded buckets are read (partition pruning),
-    shuffled by bucket and written back with dynamic partition overwrite, so
-    other buckets keep their files. Returns the compacted bucket ids.
-    """
-    n = read_num_buckets(spark, path)
-    counts = files_per_bucket(spark, path, range(n))
-    crowded = sorted(b for b, c in counts.items() if c >= min_files)
-    if crowded:
-        meta = read_meta(spark, path)
-        rows = snapshot(spark, path).filter(F.col(BUCKET_COL).isin(crowded))
-        rows = (_spread(rows, meta["keys"], int(meta.get("splits", 1)))
-                .sortWithinPartitions(BUCKET_COL, *meta["keys"]))
-        _publish(spark, path, rows, False, None)
-    return crowded
-
-
-def rebucket(spark: SparkSession, path: str, num_buckets: int, splits: int = 1) -> None:
-    """Deal the table anew to ``num_buckets`` buckets (a table that has grown).
-    Rows keep their commit columns; only the partition path follows."""
-    recover(spark, path)
-    meta = read_meta(spark, path)
-    rows = (snapshot(spark, path).withColumn(BUCKET_COL, bucket_of(meta["keys"], num_buckets))
-            .withColumn(PARTITION_PATH, F.concat(F.lit(BUCKET_COL + "="), F.col(BUCKET_COL).cast("string"))))
-    _publish(spark, path, _spread(rows, meta["keys"], splits), True,
-             json.dumps({**meta, "num_buckets": num_buckets, "splits": splits}))
+        if plan.staging:
+            remove(spark, plan.staging)  # the frozen batch

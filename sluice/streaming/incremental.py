@@ -8,17 +8,23 @@ go to the table's quarantine folder. The stream checkpoint records which files w
 restarted or retried run neither skips nor re-applies an extract (and a
 re-applied micro-batch is harmless anyway: the upsert is idempotent).
 
+A run is named by the stream's own id (kept in its checkpoint) and the batch
+number, so streams into one table, or one started over, never replace each other's
+quarantined rows.
+
 Make the result independent of micro-batch order by putting the load
 sequence into the precombine ordering (e.g. ``["ds_load_ts", "load_seq"]``).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..sinks.files import read_bytes
 from ..sinks.upsert import upsert
 
 
@@ -33,7 +39,8 @@ def upsert_stream(spark: SparkSession, raw_path: str, schema: StructType, target
     src = reader.parquet(raw_path)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        upsert(spark, batch, target_path, keys, precombine, run_id=f"stream-{epoch_id:08d}",
+        stream = json.loads(read_bytes(spark, f"{checkpoint}/metadata").decode())["id"]
+        upsert(spark, batch, target_path, keys, precombine, run_id=f"stream-{stream}-{epoch_id:08d}",
                num_buckets=num_buckets)
 
     q = (src.writeStream.foreachBatch(apply)

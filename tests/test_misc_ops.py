@@ -84,3 +84,83 @@ def test_publish_snapshot_partitioned_no_stale_partitions(spark, tmp_dir):
     publish_snapshot(spark, v2, "sluice_pub_p", f"{tmp_dir}/pp", "0002", partition_by=["p"])
     assert sorted(map(tuple, spark.table("sluice_pub_p").collect())) == [(3, "a"), (4, "c d")]
     spark.sql("DROP TABLE sluice_pub_p")
+
+
+def test_reader_in_a_loop_never_misses_the_table(spark, tmp_dir):
+    """K5 follows INC and FULL loads in place: the table is always there, complete."""
+    import threading
+
+    from sluice.sinks.upsert import create_table, register_table, upsert
+    path, name = f"{tmp_dir}/t", "sluice_loop_t"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = [(i, 0, "a") for i in range(50)]
+    upsert(spark, spark.createDataFrame(rows, "k int, ts int, v string"), path, ["k"], ["ts"], num_buckets=4)
+    register_table(spark, name, path, {"k": "key"})
+    counts, errors, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                counts.append(spark.table(name).count())
+            except Exception as e:
+                errors.append(e)
+
+    t = threading.Thread(target=read)
+    t.start()
+    for n in range(1, 4):
+        upsert(spark, spark.createDataFrame([(i, n, f"n{n}") for i in range(0, 50, 7)], "k int, ts int, v string"),
+               path, ["k"], ["ts"])
+        register_table(spark, name, path, {"k": "key"})
+    create_table(spark, spark.createDataFrame([(i, 9, "full") for i in range(50)], "k int, ts int, v string"), path,
+                 ["k"], ["ts"], 4)
+    register_table(spark, name, path, {"k": "the key"})
+    stop.set()
+    t.join()
+    assert not errors and counts and set(counts) == {50}
+    assert {r.v for r in spark.table(name).collect()} == {"full"}
+    assert {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}["k"] == "the key"
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_external_table_adds_and_drops_only_what_changed(spark, tmp_dir):
+    path, name = f"{tmp_dir}/ext2", "sluice_ext2"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.createDataFrame([(1, "a"), (2, "b c"), (3, None)], "id int, part string")
+    lake.overwrite(df, path, partition_by=["part"])
+    lake.register_external_table(spark, name, path, df, ["part"])
+    assert spark.table(name).count() == 3 and spark.table(name).filter("part is null").count() == 1
+    df2 = spark.createDataFrame([(1, "a", 0.5), (4, "d", 1.5)], "id int, part string, w double")
+    lake.overwrite(df2, path, partition_by=["part"])
+    lake.register_external_table(spark, name, path, df2, ["part"])
+    assert sorted((r.id, r.part, r.w) for r in spark.table(name).collect()) == [(1, "a", 0.5), (4, "d", 1.5)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_failed_self_overwrite_keeps_the_rows(spark, tmp_dir, monkeypatch):
+    import glob
+
+    import pytest
+    path = f"{tmp_dir}/self"
+    lake.overwrite(spark.range(5).toDF("id"), path)
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    def lost(self, p):
+        import shutil
+        shutil.rmtree(path)  # the old data is gone, and then the write fails
+        raise RuntimeError("lost executor")
+
+    monkeypatch.setattr(DataFrameWriter, "save", lost)
+    with pytest.raises(RuntimeError, match="lost executor") as e:
+        lake.overwrite(spark.read.parquet(path), path)
+    monkeypatch.undo()
+    staged = e.value.__notes__[0].split(" in ")[-1]
+    assert sorted(r.id for r in spark.read.parquet(staged).collect()) == [0, 1, 2, 3, 4]
+    assert not glob.glob(f"{path}/*")
+
+
+def test_append_run_is_exactly_once(spark, tmp_dir):
+    path = f"{tmp_dir}/log"
+    for run, n in (("r1", 3), ("r2", 4), ("r1", 3)):
+        lake.append_run(spark.range(n).toDF("id"), path, run)
+    got = spark.read.parquet(path).groupBy("run_id").count().collect()
+    assert sorted((r.run_id, r["count"]) for r in got) == [("r1", 3), ("r2", 4)]

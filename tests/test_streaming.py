@@ -39,3 +39,14 @@ def test_stream_null_key_is_quarantined(spark, tmp_dir):
     upsert_stream(spark, raw, spark.read.parquet(raw).schema, table, ["k"], ["ts"], ckpt, num_buckets=2)
     assert snapshot(spark, table).count() == 1
     assert [r.v for r in quarantined(spark, table).collect()] == ["lost?"]
+
+
+def test_two_streams_keep_each_others_quarantine(spark, tmp_dir):
+    from sluice.sinks.upsert import quarantined
+    table = f"{tmp_dir}/table"
+    for name in ("a", "b"):
+        raw = f"{tmp_dir}/raw_{name}"
+        lake.append(spark.createDataFrame([(1, 1, "x", 0), (None, 1, name, 0)], SCHEMA).coalesce(1), raw)
+        upsert_stream(spark, raw, spark.read.parquet(raw).schema, table, ["k"], ["ts"], f"{tmp_dir}/ckpt_{name}",
+                      num_buckets=2)
+    assert sorted(r.v for r in quarantined(spark, table).collect()) == ["a", "b"]

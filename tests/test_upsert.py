@@ -18,10 +18,10 @@ def _state(spark, path):
     return sorted((r.k1, r.k2, r.ts, r.v) for r in snapshot(spark, path).collect())
 
 
-def _files(path):
+def _files(spark, path):
     out = {}
-    for f in glob.glob(f"{path}/{BUCKET_COL}=*/*.parquet"):
-        st = os.stat(f)
+    for f in snapshot(spark, path).inputFiles():
+        st = os.stat(f.replace("file://", ""))
         out[f] = (st.st_size, st.st_mtime_ns)
     return out
 
@@ -73,9 +73,9 @@ def test_reapply_is_idempotent_and_order_free(spark, tmp_dir):
 def test_untouched_buckets_keep_their_files(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=16)
-    before = _files(path)
+    before = _files(spark, path)
     res = upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"])
-    after = _files(path)
+    after = _files(spark, path)
     assert len(res.touched_buckets) == 1
     touched = f"{BUCKET_COL}={res.touched_buckets[0]}/"
     unchanged = {f: v for f, v in before.items() if touched not in f}
@@ -89,8 +89,8 @@ def test_plan_reads_only_touched_buckets_and_shuffles_once_by_bucket(spark, tmp_
     p = plan_upsert(spark, _df(spark, [(7, "x1", 50, "hot")]), path, ["k1", "k2"], ["ts"], "r9",
                     strategy="shuffle")
     plan = p.merged._jdf.queryExecution().executedPlan().toString()
-    assert f"PartitionFilters: [isnotnull({BUCKET_COL}" in plan
-    assert "REPARTITION_BY_COL" in plan
+    assert "dynamicpruning" in plan
+    assert plan.count("REPARTITION_BY_COL") == 1
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 
 
@@ -104,19 +104,17 @@ def test_small_batch_merges_without_shuffling_target(spark, tmp_dir):
     assert p.strategy == "broadcast"
     plan = p.merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
-    # The only exchanges shuffle the batch (its dedup), never the target scan.
-    assert "REPARTITION_BY_COL" not in plan
-    assert plan.count("Exchange hashpartitioning") == plan.count("WindowGroupLimit") // 2
+    assert "REPARTITION_BY_COL" not in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_schema_mismatch_fails_before_write(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
-    before = _files(path)
+    before = _files(spark, path)
     bad = spark.createDataFrame([(1, "x1", 11, "v", 3)], SCHEMA + ", extra int")
     with pytest.raises(ValueError, match="extra"):
         upsert(spark, bad, path, ["k1", "k2"], ["ts"])
-    assert _files(path) == before
+    assert _files(spark, path) == before
 
 
 def test_key_types_cast_to_target(spark, tmp_dir):
@@ -216,23 +214,6 @@ def test_merge_strategies_agree(spark, tmp_dir):
         assert results[0] == results[1]
 
 
-def test_crowded_buckets_fall_back_to_compacting_merge(spark, tmp_dir):
-    from sluice.sinks.upsert import files_per_bucket
-    path = f"{tmp_dir}/t"
-    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=2)
-    for i in range(3):
-        upsert(spark, _df(spark, [(i, f"x{i % 3}", 20 + i, "u")]), path, ["k1", "k2"], ["ts"],
-               strategy="broadcast")
-    before = files_per_bucket(spark, path, [0, 1])
-    assert max(before.values()) >= 2
-    p = plan_upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], "r",
-                    max_files_per_bucket=2, shuffle_max_bytes=0)
-    assert p.strategy == "shuffle"
-    res = upsert(spark, _df(spark, [(1, "x1", 50, "z")]), path, ["k1", "k2"], ["ts"], strategy="shuffle")
-    after = files_per_bucket(spark, path, res.touched_buckets)
-    assert all(v == 1 for v in after.values())
-
-
 def test_batch_is_frozen_once_and_staging_removed(spark, tmp_dir):
     from sluice.session import shared_root
     path = f"{tmp_dir}/t"
@@ -257,32 +238,12 @@ def test_meta_columns_and_file_name(spark, tmp_dir):
     assert r1[FILE_NAME].endswith(".parquet")
 
 
-def test_compact_rewrites_only_crowded_buckets(spark, tmp_dir):
-    from sluice.sinks.upsert import compact, files_per_bucket
-    path = f"{tmp_dir}/t"
-    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
-    for i in range(3):
-        upsert(spark, _df(spark, [(0, "x0", 20 + i, f"u{i}")]), path, ["k1", "k2"], ["ts"],
-               strategy="broadcast")
-    before = _state(spark, path)
-    counts = files_per_bucket(spark, path, range(4))
-    # A broadcast merge writes the kept rows and the winners as separate files.
-    crowded = [b for b, c in counts.items() if c >= 2]
-    assert crowded
-    assert compact(spark, path, min_files=2) == sorted(crowded)
-    after = files_per_bucket(spark, path, range(4))
-    assert all(after[b] == 1 for b in crowded)
-    assert all(after[b] == counts[b] for b in counts if b not in crowded)
-    assert _state(spark, path) == before
-    assert compact(spark, path, min_files=2) == []
-
-
 def test_broadcast_never_exceeds_bound(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
     batch = _df(spark, [(i, f"x{i % 3}", 30, "b") for i in range(10)])
     with pytest.raises(ValueError, match="broadcast bound"):
-        plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast", broadcast_rows=5)
+        plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast", broadcast_bytes=500)
 
 
 def test_stored_keys_rule(spark, tmp_dir):
@@ -307,74 +268,150 @@ def test_null_keys_are_quarantined_and_counted(spark, tmp_dir):
     assert _state(spark, path) == [(2, "b", 1, "ok")]
 
 
-@pytest.mark.parametrize("at", ["before_commit", "after_commit", "between_renames"])
-def test_interrupted_publish(spark, tmp_dir, monkeypatch, at):
-    """A crash at any step leaves the old or the new table, never a mix or a loss."""
+class Crash(Exception):
+    pass
+
+
+def _crash(*_):
+    raise Crash
+
+
+NEW = [(i, f"x{i % 3}", 50, "new") for i in range(40)]
+
+
+@pytest.mark.parametrize("kind", ["INC", "FULL"])
+@pytest.mark.parametrize("step", ["partition_folders", "_switch", "rename"])
+def test_interrupted_publish(spark, tmp_dir, monkeypatch, kind, step):
+    """A crash at any step of the switch leaves the old table whole; the repeated run gives the new one."""
     from sluice.sinks import upsert as U
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
     old = _state(spark, path)
-    batch = _df(spark, [(i, f"x{i % 3}", 50, "new") for i in range(40)])
 
-    def crash(*_):
-        raise RuntimeError("crash")
+    def run():
+        if kind == "INC":
+            return upsert(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"], run_id="r2")
+        return U.create_table(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"], 2, "r2")
+
+    if step == "rename":  # the new pointer is written beside the old one, and nothing more
+        real = U.json.dumps
+        monkeypatch.setattr(U.json, "dumps", lambda m, **k: _crash() if "version" in m else real(m, **k))
+    else:
+        monkeypatch.setattr(U, step, _crash)
+    with pytest.raises(Crash):
+        run()
+    monkeypatch.undo()
+    assert _state(spark, path) == old
+    run()
+    assert _state(spark, path) == sorted(NEW)
+
+
+@pytest.mark.parametrize("kind", ["INC", "FULL"])
+def test_reader_during_a_write(spark, tmp_dir, monkeypatch, kind):
+    """A reader between the data write and the switch sees the old table, harms
+    nothing, and what it opened stays readable afterwards."""
+    from sluice.sinks import upsert as U
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    old, seen, held = _state(spark, path), [], []
+    real = U._switch
+
+    def read_then_switch(sp, p, meta):
+        seen.append(_state(spark, path))
+        held.append(snapshot(spark, path))
+        real(sp, p, meta)
+
+    monkeypatch.setattr(U, "_switch", read_then_switch)
+    if kind == "INC":
+        res = upsert(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"])
+    else:
+        res = U.create_table(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"], 4)
+    assert res.metrics["rows_written"] == 40 and seen == [old]
+    assert _state(spark, path) == sorted(NEW)
+    assert sorted((r.k1, r.k2, r.ts, r.v) for r in held[0].collect()) == old
+
 
-    real = U.recover
+def test_second_writer_fails(spark, tmp_dir, monkeypatch):
+    from sluice.sinks import upsert as U
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    real = U.partition_folders
     calls = []
 
-    def dies(sp, p):
-        # upsert, plan_upsert and snapshot recover first; the last call is the publish.
-        import os
-        if os.path.exists(f"{p}/_sluice_pending/commit.json"):
+    def other_run_meanwhile(*a):
+        if not calls:
             calls.append(1)
-            if at == "between_renames":
-                import shutil
-                name = sorted(n for n in os.listdir(f"{p}/_sluice_pending/data") if n.startswith("b="))[0]
-                shutil.rmtree(f"{p}/{name}")  # the old folder is gone, the new one not yet in place
-            crash()
-        return real(sp, p)
-
-    if at == "before_commit":
-        monkeypatch.setattr(U, "_write_text", crash)
-    else:
-        monkeypatch.setattr(U, "recover", dies)
-    with pytest.raises(RuntimeError, match="crash"):
-        upsert(spark, batch, path, ["k1", "k2"], ["ts"], run_id="r2")
+            upsert(spark, _df(spark, [(900, "o", 1, "other")]), path, ["k1", "k2"], ["ts"])
+        return real(*a)
+
+    monkeypatch.setattr(U, "partition_folders", other_run_meanwhile)
+    with pytest.raises(RuntimeError, match="another writer"):
+        upsert(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"])
     monkeypatch.undo()
-    got = _state(spark, path)
-    assert got == (old if at == "before_commit" else sorted((r[0], r[1], 50, "new") for r in BASE))
-    upsert(spark, batch, path, ["k1", "k2"], ["ts"], run_id="r2")
-    assert _state(spark, path) == sorted((r[0], r[1], 50, "new") for r in BASE)
-    assert not glob.glob(f"{path}/_sluice_pending*")
+    assert _state(spark, path) == sorted([*BASE, (900, "o", 1, "other")])
 
 
 def test_interrupted_create_is_repeated(spark, tmp_dir, monkeypatch):
     from sluice.sinks import upsert as U
     path = f"{tmp_dir}/t"
-
-    def crash(*_):
-        raise RuntimeError("crash")
-
-    monkeypatch.setattr(U, "_write_text", crash)
-    with pytest.raises(RuntimeError, match="crash"):
+    monkeypatch.setattr(U, "_switch", _crash)
+    with pytest.raises(Crash):
         upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
     monkeypatch.undo()
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
     assert len(_state(spark, path)) == 40
 
 
-def test_rebucket_and_splits(spark, tmp_dir):
-    from sluice.sinks.upsert import files_per_bucket, read_num_buckets, rebucket
+def test_old_versions_go_only_when_unused(spark, tmp_dir):
+    from sluice.sinks.upsert import drop_old_versions
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
+    res = upsert(spark, _df(spark, [(1, "x1", 99, "z")]), path, ["k1", "k2"], ["ts"])
+    before = _state(spark, path)
+    assert drop_old_versions(spark, path, 3600) == 0
+    assert drop_old_versions(spark, path, -3600) == len(res.touched)
+    assert _state(spark, path) == before
+
+
+def test_full_load_deals_anew_and_splits(spark, tmp_dir):
+    from sluice.sinks.upsert import create_table, read_num_buckets
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=1)
     before = _state(spark, path)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as with large partitions
-    rebucket(spark, path, 3, splits=4)
+    create_table(spark, snapshot(spark, path).select("k1", "k2", "ts", "v"), path, ["k1", "k2"], ["ts"], 3, splits=4)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert read_num_buckets(spark, path) == 3 and _state(spark, path) == before
-    assert max(files_per_bucket(spark, path, range(3)).values()) > 1  # several tasks per bucket
-    batch = _df(spark, [(i, f"x{i % 3}", 50, "new") for i in range(40)])
-    p = plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "r", strategy="shuffle")
-    assert p.merged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
-    upsert(spark, batch, path, ["k1", "k2"], ["ts"])
+    assert len(snapshot(spark, path).inputFiles()) > 3  # several tasks per bucket
+    upsert(spark, _df(spark, NEW), path, ["k1", "k2"], ["ts"])
     assert [r[3] for r in _state(spark, path)] == ["new"] * 40
+
+
+def test_leading_partition_column_prunes_by_the_feed(spark, tmp_dir):
+    """Two levels: the days of the batch, then their buckets; other days are neither read nor written."""
+    path = f"{tmp_dir}/t"
+    rows = [(i, f"d{i // 50:02d}", 10, f"base{i}") for i in range(1000)]
+    upsert(spark, _df(spark, rows), path, ["k1"], ["ts"], num_buckets=4, partition_by=["k2"], run_id="r1")
+    before = _files(spark, path)
+    batch = [(i, "d19", 20, "new") for i in range(990, 1010)]
+    p = plan_upsert(spark, _df(spark, batch), path, ["k1"], ["ts"], "r", strategy="shuffle")
+    assert "dynamicpruning" in p.merged._jdf.queryExecution().executedPlan().toString()
+    for strategy in ("shuffle", "broadcast"):
+        res = upsert(spark, _df(spark, batch), path, ["k1"], ["ts"], run_id="r2", strategy=strategy)
+        assert res.touched and all(n.startswith("k2=d19/b=") for n in res.touched)
+        assert len(res.touched) <= 4 < 0.2 * 80
+        got = {r.k1: r for r in snapshot(spark, path).collect()}
+        assert len(got) == 1010 and got[995].v == "new" and got[989].v == "base989"
+        assert got[995]._partition_path == f"k2=d19/b={got[995].b}"
+    after = _files(spark, path)
+    assert all(after[f] == before[f] for f in before if "k2=d19" not in f)
+    res = upsert(spark, _df(spark, [(1, None, 1, "no day"), (2, "", 1, "no day")]), path, ["k1"], ["ts"], run_id="r3")
+    assert res.metrics["rows_quarantined"] == 2 and snapshot(spark, path).count() == 1010
+
+
+def test_quarantine_keeps_run_ids_as_text(spark, tmp_dir):
+    from sluice.sinks.upsert import quarantined
+    path = f"{tmp_dir}/t"
+    upsert(spark, _df(spark, [(None, "a", 1, "n1"), (2, "b", 1, "ok")]), path, ["k1", "k2"], ["ts"], run_id="0001",
+           num_buckets=2)
+    assert [r.run_id for r in quarantined(spark, path).collect()] == ["0001"]
