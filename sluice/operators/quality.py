@@ -104,6 +104,26 @@ def findings(rules: Sequence[Rule]) -> Column:
     return F.when(any_bad, found).otherwise(F.filter(F.array(*items[:1]), lambda x: F.lit(False)))
 
 
+def elements_not_in(df: DataFrame, row_id: str, column: str, reference: DataFrame, ref_column: str,
+                    sep: str = ",") -> DataFrame:
+    """F3 against a table: (row_id, offending) for the rows whose list ``column``
+    has an element, stripped, that is not in ``reference.ref_column``.
+
+    The same findings as a rule of kind ``each_in`` with the table's values as
+    ``allowed``: offenders in list order, repeats kept, a NULL list reported as
+    one missing element. ``row_id`` must be unique. Elements are anti joined,
+    so the reference may be of any size and a frequent element is a skewed
+    partition that Spark can split; only rows with an offender are grouped again.
+    """
+    elements = df.select(_c(row_id).alias("row_id"),
+                         F.posexplode_outer(split_strip(_c(column), sep)).alias("pos", "element"))
+    known = reference.select(_c(ref_column).cast("string").alias("element")).dropna().distinct()
+    bad = elements.join(known, "element", "left_anti")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("pos", "element"))), lambda x: x["element"])
+    return (bad.groupBy("row_id").agg(in_order.alias("e"))
+            .select("row_id", F.array_join("e", ", ", "NULL").alias("offending")))
+
+
 def flag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """V3 (step 1): add the findings array once."""
     return df.withColumn(FINDINGS, findings(rules))

@@ -152,7 +152,7 @@ def run(spark: SparkSession, control_path: str, mapping_export_path: str, env: s
     row is invalid; nothing is written then but, with ``findings_path``, all
     findings (the exception carries them too). ``dry_run`` stops after
     validation."""
-    control = read_control(spark, control_path, schemas.CONTROL_REQUIRED, keep_malformed=True)
+    control = read_control(spark, control_path, schemas.CONTROL_REQUIRED, keep_malformed=True, keep_place=True)
     numbered = with_row_number(control, "row_id")
     rules = control_rules()
     findings = Q.violations(numbered, rules, "row_id")
@@ -173,7 +173,7 @@ def run(spark: SparkSession, control_path: str, mapping_export_path: str, env: s
         else:
             new = first_per_key(req, key, ["row_id"]).drop("row_id")
         lake.append(new, request_log_path)
-    mapping = storage_mapping(read_csv_text(spark, mapping_export_path), by_schema=by_schema)
+    mapping = storage_mapping(read_csv_text(spark, mapping_export_path, keep_place=True), by_schema=by_schema)
     resolved = resolve_items(items, mapping)
     summary = run_summary(resolved)
     if fail_on_item_error and not resolved.filter(F.col("status") != "ok").isEmpty():

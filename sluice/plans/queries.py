@@ -470,33 +470,21 @@ def insert_if_absent_q(spark: SparkSession, sf: str) -> DataFrame:
 # End-to-end control flow: items -> names -> storage lookup -> outcomes
 # ---------------------------------------------------------------------------
 
-def _part_control(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Control rows = parts of size <= 40 (the name's words are the banner
-    list, the type is the table); the storage mapping = parts of size > 40
-    (first word + type as the mixed-case table name, an id per part)."""
+def control_items(spark: SparkSession, sf: str) -> DataFrame:
+    """The flow's own fan-out, naming, mapping and lookup. Control rows = parts
+    of size <= 40 (the name's words are the banner list, the type is the
+    table); the portal export = parts of size > 40 (first word + type as the
+    mixed-case table name, an id per part), first row of a name winning."""
+    from . import flow
     p = table(spark, sf, "part")
-    control = p.filter(F.col("p_size") <= 40).select(
-        "p_partkey", F.col("p_name").alias("banners"), F.col("p_type").alias("tbl"))
-    mapping = p.filter(F.col("p_size") > 40).select(
+    control = part_control_table(spark, sf).join(p.filter(F.col("p_size") <= 40).select("p_partkey"),
+                                                 F.col("row_id") == F.col("p_partkey"), "left_semi")
+    export = p.filter(F.col("p_size") > 40).select(
         F.concat(F.upper(F.split("p_name", " ")[0]), F.lit("_"), F.col("p_type")).alias("tableName"),
-        F.concat(F.lit("bkt"), F.col("p_partkey").cast("string")).alias("bucket_name"),
-        F.col("p_partkey").alias("seq"))
-    return control, mapping
-
-
-def control_items(spark: SparkSession, sf: str) -> DataFrame:
-    control, mapping = _part_control(spark, sf)
-    items = explode_list(control, "banners", sep=" ", value_col="banner", pos_col="pos")
-    items = items.withColumn("table_name", N.table_name("banner", "tbl"))
-    m = mapping.select(F.lower("tableName").alias("dlTableName"), "bucket_name", "seq")
-    j = lookup(items, m, "table_name", "dlTableName", order=["seq"], values=["bucket_name"],
-               hit_col="_hit")
-    return with_outcome(j, [
-        (F.col("table_name").isNull(), "bad_name", F.lit("table name could not be derived")),
-        (~F.col("_hit"), "not_found",
-         F.concat(F.lit("Table '"), F.col("table_name"), F.lit("' not found in mapping"))),
-    ]).select("p_partkey", "pos", "banner", "table_name",
-              F.col("bucket_name").alias("bucket_id"), "status", "error_class", "error")
+        F.concat(F.lit("bkt"), F.col("p_partkey").cast("string")).alias("bucket_name"))
+    items = flow.resolve_items(flow.work_items(control), flow.storage_mapping(export, by_schema=False))
+    return items.select(F.col("row_id").alias("p_partkey"), "pos", "banner", "table_name", "bucket_id", "status",
+                        "error_class", "error")
 
 
 _CONTROL_ITEMS_SQL = """

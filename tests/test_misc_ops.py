@@ -164,3 +164,13 @@ def test_append_run_is_exactly_once(spark, tmp_dir):
         lake.append_run(spark.range(n).toDF("id"), path, run)
     got = spark.read.parquet(path).groupBy("run_id").count().collect()
     assert sorted((r.run_id, r["count"]) for r in got) == [("r1", 3), ("r2", 4)]
+
+
+def test_sorted_positions(spark):
+    from sluice.operators.topk import sorted_positions
+    df = spark.range(5000).select(((F.col("id") * 7919) % 1000).cast("int").alias("a"), F.col("id").alias("b"))
+    rows = sorted_positions(df, [F.col("a").desc(), F.col("b")]).collect()
+    want = sorted(((r.a, r.b) for r in df.collect()), key=lambda x: (-x[0], x[1]))
+    assert [(r.a, r.b) for r in sorted(rows, key=lambda r: r.position)] == want
+    assert sorted(r.position for r in rows) == list(range(1, 5001))
+    assert sorted_positions(df.limit(0), ["a"]).count() == 0

@@ -98,3 +98,14 @@ def test_row_number_follows_files(spark, tmp_dir):
     out = with_row_number(read_csv_text(spark, f"{tmp_dir}/in"), "rn")
     assert out.filter("rn != cast(n as int) + 1").count() == 0 and out.count() == 5005
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_elements_against_a_table_equal_the_literal_rule(spark):
+    from sluice.operators import quality as Q
+    rows = [(1, "MAK, MDD"), (2, "MAK,xx , yy,xx"), (3, None), (4, ""), (5, "MDD,"), (6, "mak"), (7, "\tMDD ")]
+    df = spark.createDataFrame(rows, "id int, list string")
+    ref = spark.createDataFrame([("MAK",), ("MDD",), (None,), ("MAK",)], "v string")
+    got = {r.row_id: r.offending for r in Q.elements_not_in(df, "id", "list", ref, "v").collect()}
+    literal = Q.violations(df, [Q.Rule("f3", "list", "each_in", allowed=("MAK", "MDD"))], "id")
+    assert got == {r.row_id: r.offending for r in literal.collect()}
+    assert got[2] == "xx, yy, xx" and got[3] == "NULL" and 1 not in got and 7 not in got
