@@ -27,7 +27,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm._components import components
@@ -67,7 +67,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()),
                         ("d2", pa.int64()), ("sig", pa.binary()), ("bands", pa.binary())])
     for b in batches:
         for lo, hi, buf, offs in text_slices(b.column("text")):
@@ -97,7 +97,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sig[r] = values[k].astype(np.uint8).tobytes()
                     bands[r] = keys[k].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n, pa.int64()),
+                [b.column("doc_id").slice(lo, hi - lo), b.column("h").slice(lo, hi - lo), pa.array(n, pa.int64()),
                  pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(sig, pa.binary()),
                  pa.array(bands, pa.binary())], schema=schema)
 
@@ -207,39 +207,41 @@ def _verified(near: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     near = staged(near, "near")
     return staged(arrow_map(
-        near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"),
+        near.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"),
         _verify(percent), "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """(doc_id, h, n_shingles, group, component_id) for every row of ``docs``: its
+    text's hash, its group of near duplicates (a number of this run) and the
+    group's smallest id.
 
-    Documents are linked when 100 * |A and B| >= percent * |A or B| of their
-    5-word shingle sets (A-Z lower-cased); ``component_id`` is the smallest id
-    reachable and ``kept`` says that the document is its component's smallest.
-    A text that is null or has no word has no shingles and is linked with
-    nothing. Rows that repeat an id count as one document; a row without an id
-    keeps null as its component and is kept. Other columns are ignored, so
-    their names cannot clash. An empty table gives an empty result.
+    Rows are linked when 100 * |A and B| >= percent * |A or B| of their 5-word
+    shingle sets (A-Z lower-cased). Every row is linked by its own text, also
+    one that repeats an id. A text that is null or has no word has no shingles,
+    a null group and itself as component; so has a row without an id, with a
+    null component. Other columns are ignored, so their names cannot clash. An
+    empty table gives an empty result.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    base = staged(arrow_map(docs, _sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary, bands binary"),
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"),
+                       F.col(f"`{text_col}`").alias("text"))
+    base = staged(arrow_map(docs, _sign, "doc_id long, h long, n_shingles long, d1 long, d2 long, sig binary, bands binary"),
                   "signed")
-    # Equal sets are one node: the smallest id of the class.
+    # Equal sets are one node, shown by the row with the smallest id.
     sets = staged(base.filter("d1 is not null and doc_id is not null").groupBy("n_shingles", "d1", "d2")
-                  .agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
-                  "sets")
+                  .agg(F.min(F.struct("doc_id", "h")).alias("shown"), F.first("sig").alias("sig"),
+                       F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "sets")
     sigs = sets.select("node", "sig")
     bands = arrow_map(sets.select("node", F.col("n_shingles").alias("size"), "bands"), _bands,
                       "key long, node long, size long")
     shared = staged(bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     rows = staged(bands.join(shared, "key"), "rows")  # only buckets that hold a pair
-    # The only shuffle of texts: of documents that share a bucket with another set.
-    # Neither side has a size bound: one plan at every size, no broadcast.
-    needed = rows.select(F.col("node").alias("doc_id")).distinct().hint("shuffle_hash")
-    texts = staged(docs.join(needed, "doc_id", "left_semi"), "texts")
+    # The only shuffle of texts: of rows that share a bucket with another set, one
+    # per set. Neither side has a size bound: one plan at every size, no broadcast.
+    needed = (rows.select("node").distinct().join(sets.select("node", "shown.*"), "node").hint("shuffle_hash"))
+    texts = staged(docs.join(needed, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("node", "text"), "texts")
     popular = rows.groupBy("node").agg(F.sum("n").alias("pop"))
     hubs = staged(rows.join(popular, "node").groupBy("key").agg(
         F.max(F.struct("pop", (-F.col("node")).alias("minus"), "size")).alias("hub"))
@@ -263,13 +265,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = (arrow_map(units, _across(percent, miss), "a long, b long").distinct()
             .join(first, ["a", "b"], "left_anti"))
     links = links.union(_verified(rest, texts, percent))
-    # Classes of equal sets, then components of their nodes.
-    of_node = components(links)
-    classes = (sets.select("n_shingles", "d1", "d2", "node")
-               .join(of_node, "node", "left")
-               .select("n_shingles", "d1", "d2", F.coalesce("component", "node").alias("component_id")))
-    return (base.select("doc_id", "n_shingles", "d1", "d2")
+    # Classes of equal sets, then components of their nodes and their smallest id.
+    grouped = staged(sets.select("n_shingles", "d1", "d2", "node", F.col("shown.doc_id").alias("least"))
+                     .join(components(links), "node", "left")
+                     .select("n_shingles", "d1", "d2", "least", F.coalesce("component", "node").alias("group")), "grouped")
+    smallest = grouped.groupBy("group").agg(F.min("least").alias("smallest"))
+    classes = grouped.drop("least").join(smallest, "group")
+    return (base.select("doc_id", "h", "n_shingles", "d1", "d2")
             .join(classes, ["n_shingles", "d1", "d2"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+            .select("doc_id", "h", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("group")).alias("group"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+
+    ``component_id`` is the smallest id reachable over the links of
+    ``duplicate_groups`` and ``kept`` says that the row has that id. A row
+    without an id keeps null as its component and is kept.
+    """
+    return (duplicate_groups(docs, id_col, text_col, percent, miss)
+            .select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the smallest
+    id, then of the smallest text hash; of rows equal in both, the first by the
+    other columns. Rows without an id, or whose text has no word, all stay.
+    """
+    groups = duplicate_groups(docs, id_col, text_col, percent, miss).filter("group is not null").select("doc_id", "h", "group")
+    best = groups.groupBy("group").agg(F.min(F.struct("doc_id", "h")).alias("best"), F.count(F.lit(1)).alias("n"))
+    best = staged(best.filter("n > 1").select("group", F.col("best.doc_id").alias("b_id"), F.col("best.h").alias("b_h")), "best")
+    places = groups.join(best, "group").groupBy("doc_id", "h", "b_id", "b_h").agg(F.count(F.lit(1)).alias("n"))
+    is_best = (F.col("doc_id") == F.col("b_id")) & (F.col("h") == F.col("b_h"))
+    # Written, so that the planner knows its size and moves no text where it is small.
+    places = staged(places.filter(~is_best | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), is_best.alias("p_best")), "places")
+    here = ((F.col(f"`{id_col}`").cast("long") == F.col("p_id")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("p_h")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    clear = docs.join(places, here, "left_anti").select(*columns)
+    twins = docs.join(places.filter("p_best"), here)
+    rest = [c for f, c in zip(docs.schema.fields, columns, strict=True) if f.name != text_col and f.dataType.typeName() != "map"]
+    first = F.row_number().over(Window.partitionBy("p_id", "p_h").orderBy(*rest))
+    return clear.unionByName(twins.withColumn("p_place", first).filter("p_place = 1").select(*columns))

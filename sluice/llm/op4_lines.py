@@ -64,20 +64,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     of the two added ones is replaced.
     """
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
+    text = F.col(f"`{text_col}`")
+    # The text travels as its lines: they are split once, below the join, and
+    # joined again give exactly the text.
     packed = docs.select(
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]).alias("rest"),
-        F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"),
-        F.col(f"`{text_col}`").alias("text"))
-    cut = repeated_lines(packed.filter("doc_id is not null and text is not null").select("doc_id", "h", "text"))
-    lines = F.split("text", "\n", -1)
-    all_lines = F.sequence(F.lit(0), F.size(lines) - 1)
-    left = F.transform(F.array_except(all_lines, F.col("removed")), lambda i: F.get(lines, i))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep) if c != text_col],
+                 F.lit(0).alias("none")).alias("rest"),
+        F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("h"), F.split(text, "\n", -1).alias("lines"))
+    cut = repeated_lines(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("h"),
+                                     text.alias("text")).filter("doc_id is not null and text is not null"))
+    all_lines = F.sequence(F.lit(0), F.size("lines") - 1)
+    left = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(
+        F.transform(F.array_except(all_lines, F.col("removed")), lambda i: F.get("lines", i)))
     return (packed.join(cut, ["doc_id", "h"], "left")
-            .withColumn("clean", text)
+            .withColumn("clean", F.array_join(left, "\n"))
             .select(*[(F.col("clean") if c == text_col else F.col(f"rest.c{i}")).alias(c)
                       for i, c in enumerate(keep)],
-                    F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+                    F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
                     F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed_lines")))
 
 

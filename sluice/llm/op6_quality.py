@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,34 +85,38 @@ def base_counts(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return [w.counts, chars, symbols, dup, repeat]
 
 
-def normalised_lines(text: bytes) -> list[tuple[int, int]]:
-    """(hash, number of words) of every line with a word."""
+def normalised_lines(text: bytes) -> list[tuple[int, int, int]]:
+    """(hash, number of words, index in the text) of every line with a word."""
     out = []
-    for line in text.lower().split(b"\n"):
+    for i, line in enumerate(text.lower().split(b"\n")):
         words = line.split()
         if words:
             out.append((int.from_bytes(hashlib.md5(b" ".join(words), usedforsecurity=False).digest()[:8], "big"),
-                        len(words)))
+                        len(words), i))
     return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    longs = pa.list_(pa.int64())
+    lists = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64()), ("at", pa.int32())]))
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("host", pa.string()), *[(c, pa.int64()) for c in _COUNTS],
-                        ("lines", longs), ("words", longs), ("class", pa.int64())])
+                        ("lines", lists), ("class", pa.int64())])
     for b in batches:
         for lo, hi, buf, offs in text_slices(b.column("text")):
-            lines, words, classes = [], [], []
+            lines, ends, classes = [], [0], []
             for r in range(hi - lo):
                 ls = normalised_lines(buf[offs[r]:offs[r + 1]].tobytes())
-                lines.append([h - (1 << 63) for h, _ in ls])
-                words.append([k for _, k in ls])
-                alike = b"".join(h.to_bytes(8, "big") for h in sorted({h for h, _ in ls}))
+                lines += ls
+                ends.append(len(lines))
+                alike = b"".join(h.to_bytes(8, "big") for h in sorted({h for h, _, _ in ls}))
                 classes.append(int.from_bytes(hashlib.md5(alike, usedforsecurity=False).digest()[:8], "big", signed=True))
+            flat = pa.StructArray.from_arrays(
+                [pa.array([h - (1 << 63) for h, _, _ in lines], pa.int64()), pa.array([k for _, k, _ in lines], pa.int64()),
+                 pa.array([i for _, _, i in lines], pa.int32())], fields=list(lists.value_type))
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c).slice(lo, hi - lo) for c in ("doc_id", "h", "host")],
                  *[pa.array(c, pa.int64()) for c in base_counts(buf, offs)],
-                 pa.array(lines, longs), pa.array(words, longs), pa.array(classes, pa.int64())], schema=schema)
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat).cast(lists), pa.array(classes, pa.int64())],
+                schema=schema)
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -119,8 +124,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             left_percent: int = LEFT_PERCENT) -> DataFrame:
     """Counts and verdict, one row per row of ``docs``:
     doc_id, h (hash of the text), host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_removed_words, base_failed, kept, removed_lines (indexes among the lines
-    that hold a word).
+    n_removed_words, base_failed, kept, removed_lines (indexes among the
+    ``\\n``-split lines).
 
     A null or empty text has no words and fails the base rules. Rows without
     a host form one host of their own. Rows that repeat an id are judged
@@ -128,29 +133,26 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     clash; an empty table gives an empty result.
     """
     scanned = staged(arrow_map(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(host_col).cast("string").alias("host"),
-                    F.col(text_col).alias("text")), _scan,
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
+                    F.coalesce(F.col(host_col).cast("string"), F.lit("\x00")).alias("host"), F.col(text_col).alias("text")), _scan,
         "doc_id long, h long, host string, " + ", ".join(f"{c} long" for c in _COUNTS)
-        + ", lines array<long>, words array<long>, class long"), "quality_scan")
-    host = F.coalesce(F.col("host"), F.lit("\x00")).alias("host")
+        + ", lines array<struct<line:long,words:long,at:int>>, class long")
+        .withColumn("row", F.monotonically_increasing_id()), "quality_scan")
     worded = scanned.filter("size(lines) > 0")
-    held = worded.select(host, "class", F.explode("lines").alias("line")).distinct()
+    held = worded.select("host", "class", F.explode("lines.line").alias("line")).distinct()
     counted = held.groupBy("host", "line").agg(F.count("*").alias("n"))
-    sizes = worded.select(host, "class").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    sizes = worded.select("host", "class").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    # Written, so that its size is known: the planner broadcasts a small table
+    # of frequent lines, and joins a large one by (host, line), splitting skewed parts.
     frequent = staged(
         counted.filter(F.col("n") >= min_docs).join(sizes, "host")
         .filter(F.col("n") * 100 > F.col("docs") * limit_percent).select("host", "line"), "frequent")
-    # At most 100 / limit_percent lines of average length fit into a host's
-    # documents for each of its lines: the frequent lines of one host are few,
-    # however many documents it has.
-    per_host = frequent.groupBy("host").agg(F.collect_set("line").alias("frequent"))
-    hit = F.filter(F.sequence(F.lit(0), F.size("lines") - 1),
-                   lambda i: F.array_contains(F.col("frequent"), F.get("lines", i)))
-    removed = F.when((F.size("lines") > 0) & F.col("frequent").isNotNull(), hit).otherwise(
-        F.array().cast("array<int>"))
-    lost = F.aggregate("removed_lines", F.lit(0).cast("long"), lambda a, i: a + F.get("words", i))
-    return (scanned.withColumn("host", host).join(per_host, "host", "left")
-            .withColumn("removed_lines", removed).withColumn("n_removed_words", lost)
+    found = (worded.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
+             .join(frequent, ["host", "line"]).groupBy("row")
+             .agg(F.array_sort(F.collect_list("at")).alias("removed_lines"), F.sum("words").alias("lost")))
+    return (scanned.drop("lines", "class").join(found, "row", "left")
+            .withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
+            .withColumn("n_removed_words", F.coalesce("lost", F.lit(0)).cast("long"))
             .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
             .withColumn("kept", ~F.col("base_failed")
@@ -162,18 +164,35 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                 **limits: int) -> DataFrame:
     """``docs`` without the rejected rows; the frequent lines of the others are cut out of their texts."""
-    verdicts = (quality(docs, id_col, text_col, host_col, **limits).filter("not kept or size(removed_lines) > 0")
-                .select("doc_id", "h", "host", "kept", "removed_lines").distinct())
-    d, r = docs.alias("d"), verdicts.alias("r")
-    same = (F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("r.doc_id")) & (F.xxhash64(f"d.{text_col}") == F.col("r.h"))
-            & (F.coalesce(F.col(f"d.{host_col}").cast("string"), F.lit("\x00")) == F.col("r.host")))
-    lines = F.split(F.col(f"d.{text_col}"), "\n", -1)
-    worded = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
-    cut = F.transform(F.col("r.removed_lines"), lambda k: F.get(worded, k))
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(cut, i)), "\n")
-    text = F.when(F.size("r.removed_lines") > 0, left).otherwise(F.col(f"d.{text_col}")).alias(text_col)
-    return (d.join(r, same, "left").filter("r.kept is null or r.kept")
-            .select(*[text if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]))
+    # Written, so that the planner knows its size and moves no text where it is small.
+    verdicts = staged(quality(docs, id_col, text_col, host_col, **limits).filter("not kept or size(removed_lines) > 0")
+                      .select("doc_id", "h", "host", "kept", "removed_lines").distinct(), "verdicts")
+    d = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
+                    F.col(f"`{id_col}`").cast("long").alias("k_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("k_h"),
+                    F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("\x00")).alias("k_host"))
+    joined = d.join(verdicts, F.col("k_id").eqNullSafe(F.col("doc_id")) & (F.col("k_h") == F.col("h"))
+                    & (F.col("k_host") == F.col("host")), "left").filter("kept is null or kept")
+    at = docs.columns.index(text_col)
+    cut = arrow_map(joined.select(*[f"c{i}" for i in range(len(docs.columns))], "removed_lines"), _cut(f"c{at}"),
+                    ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)))
+    return cut.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _cut(text: str):
+    """Texts without their removed lines, in one pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            removed = b.column("removed_lines")
+            k = b.schema.get_field_index(text)
+            sizes = pc.fill_null(pc.list_value_length(removed), 0).to_numpy(zero_copy_only=False)
+            if sizes.any():
+                texts = b.column(text).to_pylist()
+                for r in np.flatnonzero(sizes):
+                    gone = set(removed[r].as_py())
+                    texts[r] = "\n".join(x for i, x in enumerate(texts[r].split("\n")) if i not in gone)
+                b = b.set_column(k, text, pa.array(texts, b.schema.field(k).type))
+            yield b.drop_columns(["removed_lines"])
+    return run
 
 
 _PAT = r"[^\x20\x09-\x0D]+"
@@ -187,11 +206,9 @@ l1 AS (SELECT doc_id, host, l, i, regexp_extract_all(
        FROM l0 WHERE regexp_matches(l, '{_PAT}')),
 ln AS (SELECT doc_id, host, i, left(md5(array_to_string(ws, ' ')), 16) AS h, len(ws) AS k,
               row_number() OVER (PARTITION BY doc_id, l ORDER BY i) AS seen FROM l1),
-least2 AS (SELECT doc_id, list_sort(list_distinct(list(h)))[1] AS m1, list_sort(list_distinct(list(h)))[2] AS m2
-           FROM ln GROUP BY doc_id),
-held AS (SELECT DISTINCT host, h, CASE WHEN h = m1 THEN coalesce(m2, '') ELSE m1 END AS other
-         FROM ln JOIN least2 USING (doc_id)),
-sizes AS (SELECT host, count(DISTINCT doc_id) AS docs FROM ln GROUP BY host),
+cls AS (SELECT doc_id, array_to_string(list_sort(list_distinct(list(h))), '') AS cls FROM ln GROUP BY doc_id),
+held AS (SELECT DISTINCT host, h, cls FROM ln JOIN cls USING (doc_id)),
+sizes AS (SELECT host, count(DISTINCT cls) AS docs FROM held GROUP BY host),
 frequent AS (SELECT host, h FROM (SELECT host, h, count(*) AS n FROM held GROUP BY host, h) JOIN sizes USING (host)
              WHERE n >= {MIN_DOCS} AND n * 100 > docs * {LIMIT_PERCENT}),
 per_line AS (SELECT doc_id, sum(CASE WHEN seen > 1 THEN 1 ELSE 0 END) AS dup,

@@ -56,7 +56,7 @@ def small_docs():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages"):
+    for t in ("documents", "labels", "pages", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
