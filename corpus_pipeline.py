@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm._stage import staged
-from sluice.llm.op2_minhash import near_duplicates
+from sluice.llm.op2_minhash import one_of_each_group
 from sluice.llm.op4_lines import dedup_lines
 from sluice.llm.op5_packing import pack
 from sluice.llm.op6_quality import apply_rules
@@ -40,9 +40,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the smallest id."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one document of each group of near duplicates, the one with the
+    smallest id. Every row is a document of its own, also one that repeats an
+    id; of rows equal in id and text one stays."""
+    return one_of_each_group(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
