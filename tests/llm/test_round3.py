@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import op3_resample, op4_lines, op6_quality, op11_variants, op12_cells, op13_bitsliced
+from sluice.llm import op3_resample, op4_lines, op6_quality, op9_html, op11_variants, op12_cells, op13_bitsliced
 from sluice.llm._text import text_slices
 from sluice.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -78,6 +78,7 @@ def test_variants_equal_brute_force(spark):
                 w = rng.choice([w[:k] + w[k + 1:], w[:k] + rng.choice("abcde") + w[k:], w[:k] + "z" + w[k + 1:], w.upper()])
             ws.append(w)
         docs.append((d if d % 9 else None, rng.choice([" ", "-1-", "\n"]).join(ws)))
+    docs += [(600 + i, "gggggga " * 6 + "ggggggab " * 40 + "ggggggabc " * 250) for i in range(2)]
     docs += [(500, None), (501, ""), (502, "x" * 100_000 + " " + "kurz "), (503, "1 2 3 _"), docs[1], docs[1]]
     df = spark.createDataFrame([row(*d) for d in docs], SCHEMA)
     want = brute_variants(docs)
@@ -126,8 +127,8 @@ def test_nearest_edges(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(150)]
     rows += [(1000 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(300)]  # copies: a query among them, too
-    rows += [(5000, None), (None, [1.0, 0, 0, 0]), (5100, [0.0] * 4), (5200, [1.0, float("nan"), 0, 0]),
-             (5300, [1.0, None, 0, 0]), (5400, [float("inf"), 0.0, 0, 0]), (5500, []), rows[3], rows[0]]
+    rows += [(5000, None), (None, [1.0, 0.0, 0.0, 0.0]), (5100, [0.0] * 4), (5200, [1.0, float("nan"), 0.0, 0.0]),
+             (5300, [1.0, None, 0.0, 0.0]), (5400, [float("inf"), 0.0, 0.0, 0.0]), (5500, []), rows[3], rows[0]]
     schema = "vec_id long, embedding array<double>, label int, v string, h string, cell string, rank string"
     df = spark.createDataFrame([(*r, 1, "x", "x", "x", "x") for r in rows], schema)
     want = brute_nearest([*dict.fromkeys((i, tuple(v) if v is not None else None) for i, v in rows)])
@@ -332,3 +333,36 @@ def test_pipeline_loses_no_text(spark):
     assert len(go([(5, x + " tail", "m"), (5, x, "k"), (6, y, "o"), (6, y, "o")])) == 2
     assert go([(7, None, "e"), (8, "", "e"), (8, "", "e")]) == [(7, None, "e"), (8, "", "e"), (8, "", "e")]
     assert len(go([(None, x, "n"), (None, x, "n"), (1, x, "a")])) == 3
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ('<ul><li class="nav-item">Home<li>Other</ul><article><p>Text</p></article>', ["Text"]),
+    ('<table><tr><td class="sidebar">Menu<td><article>Text</article></table>', ["Text"]),
+    ('<nav><a href="/">Home</a><article><h1>Title</h1>Text</article>', ["Title", "Text"]),
+    ('<article><section id="share"><p>Share prices fell.</p></section>Text</article>', ["Share prices fell.", "Text"]),
+    ('<article><div class="related-work">Others found the same.</div>Text</article>', ["Others found the same.", "Text"]),
+    ('<form id="page"><article><p>Text</article></form>', ["Text"]),
+    ('<div><div class="sidebar"><p>Side</div><p>One<p>Two</div><footer>f', ["One", "Two"]),
+    ('<header><nav>Menu</header><main><p>Text<aside>Note</aside> more</main>', ["Text", "more"]),
+    ('<article>Text<div class="share-buttons">Tweet</div><section id="comments"><article class="c">No</article></section></article>',
+     ["Text"]),
+    ('<article>Text<div class="ad">Buy<p>now</div><p>Rest</article><aside><article>Teaser</article></aside>', ["Text", "Rest"]),
+    ('<body><p class="cookie">Cookies</p><dl><dt class="menu">m<dd>Text</dl></body>after', ["Text", "after"]),
+    ('<p>a <b>bold</i> c</b><div>d</span>e</div></nav>f', ["a bold c", "de", "f"]), ('a <button>no</button>b', ["a b"]),
+    ('<select><option>x<option>y</select><p>Text', ["Text"]),
+    ("", []), ("<", ["<"]), ("<article></article><p>out", []),
+])
+def test_left_out_elements_end(page, want):
+    assert op9_html.page_lines(page)[0] == want
+
+
+def test_pages_without_end_tags(spark):
+    """The given pages, with the end tags that HTML lets one leave out taken away, give the same text."""
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()
+    optional = re.compile(r"</(?:p|li|td|tr|dd|dt|option|body|html)>")
+    n = 0
+    for r in pages:
+        bare = optional.sub("", r.html)
+        n += bare != r.html
+        assert op9_html.page_lines(bare) == op9_html.page_lines(r.html)
+    assert n > 10
