@@ -138,6 +138,8 @@ def run_items(spark: SparkSession, items: DataFrame, source_of: Callable[[Row],
     comments (keys are marked). An item that fails, or that did not resolve,
     is an outcome and does not stop the rest.
 
+    ``database`` may hold ``{schema}``, which stands for the item's schema.
+
     ``max_parallel`` items run at a time, each in its own scheduler pool (fair
     shares where the session's scheduler is FAIR) and job group. Each outcome is written to
     ``log_path`` (by default ``_outcomes`` below ``raw_root``) when its item ends.
@@ -186,7 +188,8 @@ def run_items(spark: SparkSession, items: DataFrame, source_of: Callable[[Row],
         landed = spark.read.schema(extract.schema).parquet(raw)
         result = load_item(spark, landed, path, item["load_type"], item["primary_key"],
                            item["precombine"] or LOAD_TS, run_started, run_id, num_buckets)
-        catalog_table = f"{database}.{item['table_name']}" if database else item["table_name"]
+        catalog_table = (f"{database.format(schema=item['schema'])}.{item['table_name']}" if database
+                         else item["table_name"])
         keys = set(key_list(item["primary_key"]))
         notes = {c: "commit column" for c in META_COLS} | dict(comments or {})
         notes |= {k: (notes[k] + " - " if k in notes else "") + "PRIMARY KEY" for k in keys}

@@ -207,3 +207,24 @@ def test_gate_reports_all_findings(spark):
     with pytest.raises(ValidationError, match="700 validation") as e:
         Q.gate(df, [Q.Rule("r", "v", "not_blank")], "id")
     assert e.value.findings.count() == 700
+
+
+def test_cli_loads_the_items(spark, tmp_dir, capsys):
+    from sluice.__main__ import main
+    src = f"{tmp_dir}/source"
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k1 int, k2 string, v string").write.parquet(f"{src}/SRCA.parquet")
+    spark.createDataFrame([(3, "c", "z")], "k1 int, k2 string, v string").write.parquet(f"{src}/SRCB.parquet")
+    c = write_text(f"{tmp_dir}/control.csv", CONTROL)
+    m = write_text(f"{tmp_dir}/export.csv", EXPORT)
+    args = ["-i", c, "-m", m, "--load-from", src, "--raw-root", f"{tmp_dir}/raw", "--lake-root", f"{tmp_dir}/lake",
+            "--run-id", "night1", "--buckets", "2"]
+    assert main([*args, "--allow-item-errors"], spark=spark) == 0
+    assert main(args, spark=spark) == 1  # two items are not in the mapping
+    out = capsys.readouterr()
+    assert "load run night1" in out.out and "not_found" in out.err
+    assert sorted(r.v for r in spark.table("dl_zone_one.mak_item_doc").collect()) == ["x", "y"]
+    assert [r.v for r in spark.table("dl_zone_two.mdd_item_doc").collect()] == ["z"]
+    with pytest.raises(SystemExit):
+        main(["-i", c, "-m", m, "--load-from", src], spark=spark)
+    for d in ("dl_zone_one", "dl_zone_two"):
+        spark.sql(f"DROP DATABASE {d} CASCADE")
