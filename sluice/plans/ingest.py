@@ -180,8 +180,10 @@ def run_items(spark: SparkSession, items: DataFrame, source_of: Callable[[Row],
     def _load_one(name: str, item: Row, mark: str | None) -> dict:
         path = (lake_path_of or (lambda i: i["lake_path"]))(item)
         raw = f"{raw_root.rstrip('/')}/{name}/run={run_id}"
-        extract = extract_raw(item_extract(spark, source_of(item), item, mark), None, None, lake.load_ts(run_started))
-        column = item.asDict().get("watermark")
+        # A FULL load replaces the table, so it takes the whole slice every time.
+        column = item.asDict().get("watermark") if item["load_type"] == "INC" else None
+        extract = extract_raw(item_extract(spark, source_of(item), item, mark if column else None), None, None,
+                              lake.load_ts(run_started))
         top = F.max(F.col(f"`{column}`") if column else F.lit(None)).cast("string")
         obs = Observation(f"raw {name}")
         (extract.observe(obs, F.count(F.lit(1)).alias("n"), top.alias("top")).write.mode("overwrite").parquet(raw))

@@ -315,3 +315,45 @@ def blank_keys(spark: SparkSession, sf: str) -> DataFrame:
         (~usable, "no_key", F.lit("no lookup key")),
         (~F.col("_hit"), "not_found", F.lit("key not found")),
     ]).select("o_orderkey", "c_mktsegment", "status", "error_class")
+
+
+@query("zipped_lists", ("J4", "X1"), sql="""
+WITH l AS (SELECT p_partkey, string_split(p_name, ' ') AS a, string_split(p_brand || '#' || p_type, '#') AS b FROM part),
+n AS (SELECT *, greatest(len(a), len(b)) AS n FROM l)
+SELECT p_partkey, CAST(i AS INTEGER) AS pos, a[i + 1] AS word, b[i + 1] AS mark FROM n, range(0, 3) r(i) WHERE i < n
+""")
+def zipped_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Two lists per row joined by position; the shorter one is filled with NULL."""
+    from ..operators.explode import zip_lists
+    p = table(spark, sf, "part").select(
+        "p_partkey", F.split("p_name", " ").alias("word"),
+        F.split(F.concat("p_brand", F.lit("#"), "p_type"), "#").alias("mark"))
+    z = p.select("p_partkey", F.posexplode(zip_lists("word", "mark")).alias("pos", "z"))
+    return z.select("p_partkey", "pos", F.col("z.word").alias("word"), F.col("z.mark").alias("mark"))
+
+
+@query("guarded_sources", ("S2", "S3", "U2"), sql="""
+SELECT 'orders' AS source, 'ok' AS status, '' AS missing, (SELECT count(*) FROM orders) AS "rows"
+UNION ALL SELECT 'customer', 'missing_columns', 'o_custkey,o_orderkey', (SELECT count(*) FROM customer)
+UNION ALL SELECT 'late_orders', 'empty', '', 0
+""")
+def guarded_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources checked before they are used: one is good, one lacks required
+    columns, one has no row. Each is an outcome."""
+    from ..operators.setops import missing_columns
+    o = table(spark, sf, "orders")
+    sources = {"orders": o, "customer": table(spark, sf, "customer"),
+               "late_orders": o.filter(F.col("o_orderdate") > ts_ntz("2999-01-01"))}
+    required = ["o_orderkey", "o_custkey"]
+    out = []
+    for name, df in sources.items():
+        status = "ok"
+        try:
+            Q.require_columns(df, required)
+            status = "empty"
+            Q.require_rows(df, name)
+            status = "ok"
+        except Q.ValidationError:
+            status = "missing_columns" if status == "ok" else status
+        out.append((name, status, ",".join(sorted(missing_columns(df, required))), df.count()))
+    return spark.createDataFrame(out, "source string, status string, missing string, rows long")

@@ -138,6 +138,11 @@ def test_extract_per_item_and_high_water(spark, tmp_dir):
                         database="extract_test", num_buckets=2)
         return {r.table_name: (r.rows_raw, r.high_water) for r in run.outcomes.collect()}
 
+    full = items.filter("banner = 'mdd'").withColumn("load_type", F.lit("FULL")).withColumn("table_name", F.lit("mdd_full"))
+    for run_id in ("f1", "f2"):  # a FULL load takes the whole slice every time
+        run = run_items(spark, full, lambda i: spark.read.parquet(src), f"{tmp_dir}/raw", T0, run_id,
+                        database="extract_test", num_buckets=2, lake_path_of=lambda i: f"{tmp_dir}/full")
+        assert [(r.rows_raw, r.high_water) for r in run.outcomes.collect()] == [(10, None)]
     assert go("r1", T0) == {"mak_t": (10, "18"), "mdd_t": (10, "19")}
     more = [(0, "mak", 20, "changed"), (100, "mak", 22, "new")]
     spark.createDataFrame(more, "k int, unit string, seq int, v string").write.mode("append").parquet(src)
