@@ -32,7 +32,8 @@ HELD_OUT = 8  # every 8th of them only measures recall
 CELL_ROWS = 1_000  # distinct vectors a cell should hold ...
 MAX_CELLS = 256  # ... with at most so many cells
 RECALL = 0.93  # of the held-out vectors' neighbours, in the visited cells
-BLOCK_ROWS = 8_192
+BLOCK_BYTES = 32 << 20  # of a block's vectors; a query is copied once per block it visits
+AT_ONCE = 1 << 22  # distances held at a time
 GRAPH = 10
 SLACK = 1.05  # a cell's size over the mean, in the graph cut
 HIDDEN = 128
@@ -219,8 +220,9 @@ def _search(d: int):
         q_all = _matrix(queries.column("v").combine_chunks(), d)
         need = queries.column("need").to_numpy()
         named = queries.select(["h", "sub", "need"]).to_batches()[0]
-        for lo in range(0, len(q_all), 512):
-            q = q_all[lo:lo + 512]
+        step = max(1, min(512, AT_ONCE // n))
+        for lo in range(0, len(q_all), step):
+            q = q_all[lo:lo + step]
             with np.errstate(over="ignore", invalid="ignore"):
                 own = (q * q).sum(axis=1)
                 near = norms - 2 * (q @ x.T) + own[:, None]
@@ -292,7 +294,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     index = staged(arrow_map(distinct, _route(net, d, 1, ["h", "v", "ids"]),
                              "h long, v array<double>, ids array<long>, cell int"), "index")
     # One row per cell.
-    blocks = (index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("blocks")))
+    block_rows = max(1, BLOCK_BYTES // (8 * d))
+    blocks = (index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("blocks")))
     blocks = F.broadcast(staged(blocks, "cells"))
     rows_of = ["cell", "block", "is_query", "h", "sub", "need", "v", "ids"]
     index = index.join(blocks, "cell").select(
