@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import op3_resample, op4_lines, op6_quality, op9_html, op11_variants, op12_cells, op13_bitsliced
+from sluice.llm import op3_resample, op4_lines, op6_quality, op8_pii, op9_html, op11_variants, op12_cells, op13_bitsliced
 from sluice.llm._text import text_slices
 from sluice.llm.queries import QUERIES
 from tests.conftest import SF_SMALL
@@ -152,7 +152,8 @@ def test_nearest_edges(spark):
 def test_recall_of_learned_cells(spark, monkeypatch):
     monkeypatch.setattr(op12_cells, "CELL_ROWS", 100)
     monkeypatch.setattr(op12_cells, "SAMPLE", 1500)
-    monkeypatch.setattr(op12_cells, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(op12_cells, "BLOCK_BYTES", 64 * 8 * 16)
+    monkeypatch.setattr(op12_cells, "AT_ONCE", 1000)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16)) * 2
     x = centres[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 16))
@@ -366,3 +367,64 @@ def test_pages_without_end_tags(spark):
         n += bare != r.html
         assert op9_html.page_lines(bare) == op9_html.page_lines(r.html)
     assert n > 10
+
+
+def test_expectation_maximisation_equals_item_by_item():
+    """Reliabilities and probabilities from every single item, by plain arrays."""
+    rng = np.random.default_rng(12)
+    truth = rng.random(3000) < 0.2
+    votes = np.zeros((3000, op8_pii.N_VOTERS), int)
+    for k in range(op8_pii.N_VOTERS):
+        casts, right = rng.random(3000) < 0.5 + 0.05 * k, rng.random(3000) < 0.7 + 0.04 * k
+        votes[:, k] = np.where(casts, np.where(right == truth, 1, -1), 0)
+    code = ((votes + 1) * 3 ** np.arange(op8_pii.N_VOTERS)).sum(axis=1)
+    got = op8_pii.expectation_maximisation(dict(collections.Counter(code.tolist())))
+    s = votes.sum(axis=1)
+    p = np.where(s > 0, 0.9, np.where(s < 0, 0.1, 0.5))
+    for _ in range(60):
+        share = (1 + p.sum()) / (2 + len(p))
+        z = np.full(len(p), math.log(share / (1 - share)))
+        for k in range(op8_pii.N_VOTERS):
+            for v in (-1, 0, 1):
+                here = votes[:, k] == v
+                yes, no = (1 + p[here].sum()) / (3 + p.sum()), (1 + (1 - p)[here].sum()) / (3 + (1 - p).sum())
+                z[here] += math.log(yes / no)
+        new = 1 / (1 + np.exp(-z))
+        done = np.abs(new - p).max() < 1e-9
+        p = new
+        if done:
+            break
+    assert np.allclose([got[c] for c in code.tolist()], p, atol=1e-6)
+    assert ((p > 0.5) == truth).mean() > 0.95
+
+
+def test_learned_spans_equal_brute_force(spark):
+    """The whole learned part on a small table: votes, EM, soft counts, classifier, decisions."""
+    docs = duckdb.connect().execute("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    found = {i: list(op8_pii.candidates(t or "", op8_pii.base_spans(t or ""))) for i, t in docs}
+    prob = op8_pii.expectation_maximisation(dict(collections.Counter(c[2] for f in found.values() for c in f)))
+    pos, every = collections.Counter(), collections.Counter()
+    for f in found.values():
+        for _, _, pattern, features in f:
+            for x in (-1, *features):
+                pos[x] += prob[pattern]
+                every[x] += 1
+    total, rest = pos[-1] + 1, every[-1] - pos[-1] + 1
+    weight = {x: math.log((pos[x] + 1) / (total + 16)) - math.log((every[x] - pos[x] + 1) / (rest + 16)) for x in every}
+    want = {i: sorted((s, e) for s, e, _, fs in f if math.log(total / rest) + sum(weight[x] for x in fs) > 0)
+            for i, f in found.items()}
+    got = {r.doc_id: [(x.s, x.e) for x in r.span_list if x.kind == "secret"] for r in op8_pii.find_pii(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    assert got == want and sum(map(len, want.values())) > 10
+
+
+def test_a_contained_passage_with_another_partner_stays(spark):
+    """Documents 1 and 2 share 120 words, 2 and 3 the middle 60 of them: every document has a row."""
+    from sluice.llm.op10_chains import fuzzy_passages
+    rng = random.Random(21)
+    fresh = lambda n: [f"v{rng.randrange(10 ** 9)}" for _ in range(n)]
+    long = fresh(120)
+    rows = [(1, fresh(30) + long + fresh(30)), (2, fresh(40) + long + fresh(20)), (3, fresh(25) + long[30:90] + fresh(25))]
+    df = spark.createDataFrame([row(i, " ".join(w)) for i, w in rows], SCHEMA)
+    got = fuzzy_passages(df).collect()
+    assert {r.doc_id for r in got} | {r.other_doc_id for r in got} == {1, 2, 3}
