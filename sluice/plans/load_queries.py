@@ -62,7 +62,7 @@ def upsert_by_month(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "orders_by_month")
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate",
                                           F.date_format("o_orderdate", "yyyy-MM").alias("o_month"))
-    upsert(spark, o.withColumn("seq", F.lit(0)), path, ["o_orderkey"], ["seq"], run_id="r1", num_buckets=4,
+    upsert(spark, o.withColumn("seq", F.lit(0)), path, ["o_orderkey"], ["seq"], run_id="r1", num_buckets=2,
            partition_by=["o_month"])
     last = o.agg(F.max("o_orderdate")).first()[0] - dt.timedelta(days=20)
     feed = (o.filter(F.col("o_orderdate") >= ts_ntz(last.isoformat(sep=" ")))
