@@ -42,6 +42,7 @@ import json
 import re
 import time
 import uuid
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -143,7 +144,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def read_meta(spark: SparkSession, path: str) -> dict:
     """The pointer: num_buckets, splits, keys, partition_by, schema (JSON),
-    version (of the last switch) and folders (name -> version)."""
+    version (of the last switch), folders (name -> version) and sizes (version
+    -> folders written)."""
     return json.loads(read_bytes(spark, f"{path}/{_META_FILE}").decode())
 
 
@@ -180,7 +182,10 @@ def _publish(spark: SparkSession, path: str, rows: DataFrame, meta: dict, base:
     now = read_meta(spark, path)["version"] if table_exists(spark, path) else None
     if now != base:
         raise RuntimeError(f"{path} was changed by another writer; nothing of this run is in the table")
-    _switch(spark, path, {**meta, "version": version, "folders": {**meta["folders"], **dict.fromkeys(names, version)}})
+    folders = {**meta["folders"], **dict.fromkeys(names, version)}
+    sizes = {**meta.get("sizes", {}), version: len(names)}
+    _switch(spark, path, {**meta, "version": version, "folders": folders,
+                          "sizes": {v: sizes[v] for v in dict.fromkeys(folders.values())}})
     return names
 
 
@@ -241,9 +246,13 @@ def quarantined(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _read_folders(spark: SparkSession, path: str, meta: dict) -> DataFrame:
     schema = StructType.fromJson(meta["schema"])
-    folders = list(folder_paths(path, meta).values())
-    if not folders:
+    if not meta["folders"]:
         return spark.createDataFrame([], schema)
+    # A version all of whose folders are the table is read by its one root.
+    held = Counter(meta["folders"].values())
+    whole = [v for v, n in held.items() if n == meta["sizes"][v]]
+    folders = [f"{path}/{VERSION_COL}={v}" for v in whole]
+    folders += [at for n, at in folder_paths(path, meta).items() if meta["folders"][n] not in whole]
     with_version = StructType([*schema.fields, StructField(VERSION_COL, StringType())])
     return spark.read.option("basePath", path).schema(with_version).parquet(*folders).select(*schema.names)
 
