@@ -32,6 +32,7 @@ REPEAT_PERCENT = 30
 LIMIT_PERCENT = 10
 MIN_DOCS = 10
 LEFT_PERCENT = 30
+SLICE_BYTES = 1 << 18  # of texts that are counted at a time
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -101,7 +102,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("host", pa.string()), *[(c, pa.int64()) for c in _COUNTS],
                         ("lines", lists), ("class", pa.int64())])
     for b in batches:
-        for lo, hi, buf, offs in text_slices(b.column("text")):
+        for lo, hi, buf, offs in text_slices(b.column("text"), SLICE_BYTES):
             lines, ends, classes = [], [0], []
             for r in range(hi - lo):
                 ls = normalised_lines(buf[offs[r]:offs[r + 1]].tobytes())
@@ -147,9 +148,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     frequent = staged(
         counted.filter(F.col("n") >= min_docs).join(sizes, "host")
         .filter(F.col("n") * 100 > F.col("docs") * limit_percent).select("host", "line"), "frequent")
-    found = (worded.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
-             .join(frequent, ["host", "line"]).groupBy("row")
-             .agg(F.array_sort(F.collect_list("at")).alias("removed_lines"), F.sum("words").alias("lost")))
+    # Written for the same reason: rows without a frequent line are not moved to learn that.
+    found = staged(worded.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.*")
+                   .join(frequent, ["host", "line"]).groupBy("row")
+                   .agg(F.array_sort(F.collect_list("at")).alias("removed_lines"), F.sum("words").alias("lost")),
+                   "found_lines")
     return (scanned.drop("lines", "class").join(found, "row", "left")
             .withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
             .withColumn("n_removed_words", F.coalesce("lost", F.lit(0)).cast("long"))
