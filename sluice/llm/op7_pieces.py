@@ -41,7 +41,6 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20240229
 MARK = "▁"
-CACHED_CHUNKS = 120_000  # per variant and worker
 COURSES = 400_000  # kept per worker
 LONG_CHUNK = 64  # longer ones are encoded alone and not kept
 DOCS_AT_ONCE = 128
@@ -60,6 +59,7 @@ class Pieces:
     byte_of: dict[int, int]
     chunk: re.Pattern = field(init=False)
     name: int = field(init=False)
+    blobs: list[bytes] = field(init=False)  # what each piece decodes to
 
     def __post_init__(self):
         # Chunks may be cut before a mark that follows another character, and
@@ -67,6 +67,8 @@ class Pieces:
         whole = any(MARK in p.lstrip(MARK) for p in self.ids) or any("\n" in p for p in self.ids)
         self.chunk = re.compile(rf"[^{MARK}]+|{MARK}" if whole else rf" *[^ \n{MARK}]+|\n| +|{MARK}")
         self.name = zlib.crc32("\n".join(self.texts).encode())
+        self.blobs = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(MARK, " ").encode()
+                      for i, t in enumerate(self.texts)]
 
 
 def load_pieces(model: str = MODEL) -> Pieces:
@@ -263,69 +265,6 @@ def encode_chunks(chunks: list[str], keys: np.ndarray, pieces: Pieces, joins: Jo
     return [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
 
-class Encoder:
-    """Encodes texts with one of ``variants`` keys per chunk, drawn by a hash of
-    its place, keeping a bounded number of encoded chunks."""
-
-    def __init__(self, pieces: Pieces, dropout: float, variants: int, seed: int):
-        self.pieces, self.dropout, self.joins = pieces, dropout, Joins(pieces)
-        self.variants = variants if dropout else 1
-        self.seed = np.uint64(seed)
-        self.keys = [int(x) for x in mix(np.arange(1, self.variants + 1, dtype=np.uint64) * self.seed)]
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-
-    def _alone(self, chunk: str, variant: int) -> bytes:
-        return array("i", encode_chunk(chunk, self.pieces, self.keys[variant], self.dropout)).tobytes()
-
-    def _learn(self, new: list[tuple[str, int]]) -> None:
-        known = self.joins.char
-        plain = [(c, v) for c, v in new if c != MARK]
-        if plain:
-            codes = np.frombuffer("".join(c for c, _ in plain).encode("utf-32-le"), np.uint32)
-            size = np.array([len(c) for c, _ in plain])
-            odd = np.logical_or.reduceat(known[codes] < 0, np.cumsum(size) - size)  # needs byte pieces
-            batch = [x for x, o in zip(plain, odd.tolist(), strict=True) if not o]
-            if batch:
-                keys = np.array([self.keys[v] for _, v in batch], np.uint64)
-                done = encode_chunks([c for c, _ in batch], keys, self.pieces, self.joins, self.dropout)
-                for (c, v), ids in zip(batch, done, strict=True):
-                    self.cache[v][c] = ids
-        for c, v in new:
-            if c not in self.cache[v]:
-                self.cache[v][c] = self._alone(c, v)
-
-    def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
-        split = []
-        wanted: list[set[str]] = [set() for _ in range(self.variants)]
-        for text, doc in zip(texts, docs, strict=True):
-            chunks = self.pieces.chunk.findall(" " + text) if text else []
-            place = np.arange(len(chunks), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            with np.errstate(over="ignore"):
-                base = np.uint64(doc & _M64) * np.uint64(0xC2B2AE3D27D4EB4F) + self.seed
-            variant = ((mix(place + base) >> np.uint64(40)) % np.uint64(self.variants)).tolist()
-            split.append((chunks, variant))
-            for c, v in zip(chunks, variant, strict=True):
-                wanted[v].add(c)
-        new = []
-        for v, known in enumerate(self.cache):
-            if len(known) + len(wanted[v]) > CACHED_CHUNKS:
-                known.clear()
-            new += [(c, v) for c in wanted[v] - known.keys() if len(c) <= LONG_CHUNK]
-        if new:
-            self._learn(new)
-        out = []
-        for chunks, variant in split:
-            parts = [self.cache[v].get(c) for c, v in zip(chunks, variant, strict=True)]
-            if None in parts:
-                parts = [self._alone(c, v) if p is None else p
-                         for p, c, v in zip(parts, chunks, variant, strict=True)]
-            out.append(np.frombuffer(b"".join(parts), np.int32))
-        return out
-
-    def encode(self, text: str, doc: int) -> np.ndarray:
-        return self.encode_all([text], [doc])[0]
-
-
 def _ranges(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All positions of the ranges, one range after the other."""
     return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)
@@ -482,35 +421,22 @@ class Sampler:
 
 
 def decode_ids(ids, pieces: Pieces) -> str:
-    """The text that ``ids`` encode."""
-    byte_of, texts = pieces.byte_of, pieces.texts
+    """The text that ``ids`` encode. A piece starts with a whole character, so
+    bytes that make none are replaced up to the next piece, not beyond."""
     ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
-    if byte_of.keys().isdisjoint(ids):
-        return "".join([texts[i] for i in ids]).replace(MARK, " ")[1:]
-    out, run = [], bytearray()
-    for i in ids:
-        b = byte_of.get(i)
-        if b is not None:
-            run.append(b)
-            continue
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-            run.clear()
-        out.append(texts[i].replace(MARK, " "))
-    out.append(run.decode("utf-8", "replace"))
-    return "".join(out)[1:]
+    return b"".join(map(pieces.blobs.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-_encoders: dict[tuple, Encoder | Sampler] = {}  # one per setting and worker process
+_samplers: dict[tuple, Sampler] = {}  # one per setting and worker process
 
 
-def _encode(pieces: Pieces, dropout: float, variants: int, seed: int):
-    setting = (pieces.name, dropout, variants, seed)
+def _encode(pieces: Pieces, dropout: float, seed: int):
+    setting = (pieces.name, dropout, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if setting not in _encoders:
-            _encoders[setting] = Encoder(pieces, dropout, variants, seed) if variants else Sampler(pieces, dropout, seed)
-        enc = _encoders[setting]
+        if setting not in _samplers:
+            _samplers[setting] = Sampler(pieces, dropout, seed)
+        enc = _samplers[setting]
         for b in batches:
             for lo in range(0, b.num_rows, DOCS_AT_ONCE):
                 part = b.slice(lo, DOCS_AT_ONCE)
@@ -536,19 +462,18 @@ def _decode(pieces: Pieces):
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
-           dropout: float = DROPOUT, variants: int = 0, seed: int = SEED) -> DataFrame:
+           dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, ids, n_pieces, lossless) for every row of ``docs``.
 
     The model file is read on the driver, at the path given, and travels to
     the tasks with the function. With ``dropout`` 0 the segmentation is the
-    model's own. Dropout is drawn for every occurrence of a chunk by itself; with
-    ``variants`` above 0 each occurrence has one of so many keys only. A null or empty text has no pieces. Rows that repeat an id
-    and text are encoded alike; a row without an id uses key 0. ``lossless``
+    model's own. Dropout is drawn for every occurrence of a chunk by itself. A
+    null or empty text has no pieces. Rows that repeat an id and text are encoded alike; a row without an id uses key 0. ``lossless``
     says that decoding gives the text back (null as empty). Other columns are
     ignored. An empty table gives an empty result.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrow_map(base, _encode(load_pieces(model), dropout, variants, seed),
+    return arrow_map(base, _encode(load_pieces(model), dropout, seed),
                      "doc_id long, ids array<int>, n_pieces long, lossless boolean")
 
 
