@@ -1,14 +1,18 @@
 """Personal data by weak supervision.
 
-Fixed patterns give the base spans (email, ip, card, phone). Further spans of
-kind ``secret`` (keys, tokens, passwords) come from voters: format and hex
-patterns, a gazetteer of key names, and labelers of context and shape each
-vote for (1), against (-1) or not at all (0) on every candidate token.
-Expectation-maximisation over the vote patterns estimates how reliable each
+Fixed patterns give the base spans (email, ip, card, phone). Further spans come
+from voters: kind ``secret`` (keys, tokens, passwords) from format and hex
+patterns, a gazetteer of key names, and labelers of context and shape; kind
+``name`` (persons) from gazetteers of given names, titles and labels, and
+labelers of shape and of ordinary words; kind ``id`` (national and account
+numbers) from formats, check digits, labels and context. Each voter votes for
+(1), against (-1) or not at all (0) on every candidate of its kind.
+Expectation-maximisation over a kind's vote patterns estimates how reliable each
 voter is and gives each pattern its probability; a naive Bayes span classifier
 over shape and context features is trained on all candidates with these soft
 labels and decides. There are at most 3**7 vote patterns and 16 values for
-each of the features, so both models have a size that does not depend on the data.
+each of the features of a kind, so the models have a size that does not depend
+on the data.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +30,9 @@ from pyspark.sql import functions as F
 from sluice.llm._stage import arrow_map, staged
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret")
+LEARNED_KINDS = ("secret", "name", "id")
+KINDS = (*BASE_KINDS, *LEARNED_KINDS)
+SECRET, NAME, ID = range(len(BASE_KINDS), len(KINDS))
 MIN_TOKEN, LONG_WORD = 8, 16
 
 # Patterns of the base kinds.
@@ -47,6 +54,30 @@ _HEX = re.compile(r"(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])[0-9a-fA-F]{16,
 _TOKEN = re.compile(r"[A-Za-z0-9_+/-]{8,}")
 _PLAIN_WORD = re.compile(r"[A-Z]?[a-z]+$|[A-Z]+$")
 
+# Gazetteers of titles, labels, given names and ordinary words, and forms of numbers.
+_TITLES = frozenset("Mr Mrs Ms Miss Dr Prof Sir Herr Frau Monsieur Madame Mademoiselle Mme Señor Señora Sr Sra Don "
+                    "Doña".split())
+_NAME_LABELS = frozenset("Name Author Contact Customer Patient Employee Student Applicant Signed Attn".split())
+_GIVEN = frozenset(
+    "James John Robert Michael William David Richard Joseph Thomas Charles Mary Patricia Jennifer Linda Elizabeth "
+    "Barbara Susan Jessica Sarah Karen Hans Peter Klaus Jürgen Wolfgang Heike Ursula Sabine Renate Monika Jean Pierre "
+    "Michel Philippe Jacques Marie Nathalie Isabelle Sylvie Françoise José Juan Antonio Manuel Francisco Carmen "
+    "Dolores Pilar Josefa Teresa Ahmed Mohammed Fatima Wei Li Yuki Ivan Olga Anna Maria Paul Daniel".split())
+_INTRODUCERS = _TITLES | _NAME_LABELS | _GIVEN
+_ORDINARY = frozenset(
+    "The This That These Those And But For With From Not You Your When What Where Who How All Our His Her It We He She "
+    "Der Die Das Und Ein Eine Nicht Les Des Une Est Dans Pour Avec El Los Las Una Con Por Para Que Como Del".split())
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+")
+_NAME_WORD = r"(?:[A-Z]\.\s)?(?:[A-Z]')?" + _CAPITAL.pattern
+_NAME_WORDS = re.compile(rf"{_NAME_WORD}(?:[ -]{_NAME_WORD}){{0,2}}")
+_ID_FORMS = re.compile(r"(?<![\w-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+                       r"|[A-Z]{0,3}[0-9][A-Z0-9-]{4,13}[A-Z0-9])(?![\w-])")
+_ID_LABEL = re.compile(r"(?:ssn|social security|passport|national id|tax id|iban|account|insurance|identity card|"
+                       r"steuer-?id|dni|nie|insee)(?: (?:no|number|nr|num)\.?)?\s{0,2}[:#=]?\s{0,2}$", re.I)
+_ID_HINT = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}")
+_ID_LABELS = ("ssn", "security", "passport", "national id", "tax id", "iban", "account", "insurance", "identity", "steuer",
+              "dni", "nie", "insee")
+
 
 def _luhn(digits: str) -> bool:
     total = 0
@@ -134,8 +165,95 @@ N_VOTERS = 7
 N_FEATURES = 10
 
 
+def _iban(number: str) -> bool:
+    """The check digits of an account number: 97 divides it with its head moved back."""
+    n = number.replace(" ", "")
+    return 15 <= len(n) <= 34 and int("".join(str(int(c, 36)) for c in n[4:] + n[:4])) % 97 == 1
+
+
+def _code(votes: list[int], values: list[int]) -> tuple[int, list[int]]:
+    pattern = 0
+    for v in (*votes, *[0] * (N_VOTERS - len(votes))):
+        pattern = pattern * 3 + v + 1
+    return pattern, [16 * k + min(15, v) for k, v in enumerate(values)]
+
+
+def _clear(taken: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether no span of the sorted, disjoint ``taken`` meets start..end."""
+    k = bisect_right(taken, (start, end))
+    return not (k and taken[k - 1][1] > start) and not (k < len(taken) and taken[k][0] < end)
+
+
+def names(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, list[int]]]:
+    """(start, end, pattern, features) of capitalised words that a title, a
+    label or a given name introduces."""
+    if _INTRODUCERS.isdisjoint(_CAPITAL.findall(text)):
+        return
+    done = 0
+    for m in _CAPITAL.finditer(text):
+        word, start = m.group(), m.start()
+        if start < done or word not in _INTRODUCERS:
+            continue
+        before = text[start - 1:start]
+        if before.isalnum():
+            continue
+        title, label, given = word in _TITLES, word in _NAME_LABELS, word in _GIVEN
+        at = start
+        if not given:
+            at = m.end()
+            gap = text[at:at + 3]
+            at += 1 if gap[:1] == "." and title or gap[:1] == ":" and label else 0
+            if label and text[at - 1:at] != ":" or text[at:at + 1] != " ":
+                continue
+            at += 1
+        n = _NAME_WORDS.match(text, at)
+        if not n or not _clear(taken, at, n.end()):
+            continue
+        words = [w for w in re.split("[ -]", n.group()) if w]
+        known = sum(w in _GIVEN for w in words)
+        if given and len(words) == 1 or words[0] in _TITLES:  # a second title introduces the name itself
+            continue
+        after = text[n.end():n.end() + 1]
+        ordinary = sum(w in _ORDINARY for w in words)
+        yield at, n.end(), *_code(
+            [1 if title else 0, 1 if label else 0, 1 if known else 0, 1 if 2 <= len(words) <= 3 else 0,
+             -1 if ordinary else 0, -1 if len(set(words)) < len(words) else 0,
+             -1 if after.isalnum() else 0],
+            [len(words), len(words[0]) // 2, len(words[-1]) // 2, int(title), int(label), known, ordinary,
+             0 if before in "\n" else 1 if before == " " else 2, 0 if after in ".,;\n" else 1 if after == " " else 2,
+             int("." in n.group())])
+        done = n.end()
+
+
+def id_numbers(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, list[int]]]:
+    """(start, end, pattern, features) of numbers in the form of a national or
+    account number, or behind a label of one."""
+    if not _DIGIT.search(text):
+        return
+    low = text.lower()
+    if not (_ID_HINT.search(text) or any(x in low for x in _ID_LABELS)):
+        return
+    for m in _ID_FORMS.finditer(text):
+        number, (start, end) = m.group(), m.span()
+        digits = sum(c.isdigit() for c in number)
+        label = bool(_ID_LABEL.search(text[max(0, start - 30):start]))
+        social = number[3:4] == "-" and number[6:7] == "-" and len(number) == 11
+        account = number[:2].isalpha() and number[2:4].isdigit() and len(number) >= 15
+        if not (social or account or label) or digits < 5 or not _clear(taken, start, end):
+            continue
+        good = social and number[:3] not in ("000", "666") and number[0] != "9" and number[4:6] != "00" and number[7:] != "0000"
+        checked = account and _iban(number)
+        before = text[start - 1:start]
+        yield start, end, *_code(
+            [1 if good else -1 if social else 0, 1 if checked else -1 if account else 0, 1 if label else 0,
+             1 if social or checked else 0, -1 if len(set(number) - set(" -")) <= 2 else 0,
+             -1 if before in "$€£/" and before else 0],
+            [len(number) // 2, _bucket(digits / len(number)), int(social), int(good), int(account), int(checked), int(label),
+             number.count("-"), number.count(" "), 0 if before in "\n" else 1 if before == " " else 2])
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, list[int]]]:
-    """(start, end, pattern, features) of tokens that a voter may vote for.
+    """(start, end, pattern, features) of tokens that a voter on secrets may vote for.
 
     A text without a digit and without a key name holds none: no voter votes
     for any of its tokens. Base spans are not candidates again.
@@ -159,13 +277,26 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[in
         yield start, end, *votes_and_features(text, start, end)
 
 
+def all_candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, int, int, list[int]]]:
+    """(kind, start, end, pattern, features) of the candidates of every learned kind; none meets a base span."""
+    taken: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):  # base spans of different kinds may overlap
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
+    for kind, found in ((SECRET, candidates(text, base)), (NAME, names(text, taken)), (ID, id_numbers(text, taken))):
+        for c in found:
+            yield kind, *c
+
+
 _SCAN = ("doc_id long, h long, base array<struct<kind:int,s:long,e:long>>, "
-         "found array<struct<s:long,e:long,pattern:int,features:array<int>>>")
+         "found array<struct<kind:int,s:long,e:long,pattern:int,features:array<int>>>")
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     base_t = pa.list_(pa.struct([("kind", pa.int32()), ("s", pa.int64()), ("e", pa.int64())]))
-    found_t = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("pattern", pa.int32()),
+    found_t = pa.list_(pa.struct([("kind", pa.int32()), ("s", pa.int64()), ("e", pa.int64()), ("pattern", pa.int32()),
                                   ("features", pa.list_(pa.int32()))]))
     for b in batches:
         base, found = [], []
@@ -173,7 +304,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = t.as_py() or ""
             spans = base_spans(text)
             base.append([{"kind": BASE_KINDS.index(k), "s": s, "e": e} for k, s, e in spans])
-            found.append([{"s": s, "e": e, "pattern": p, "features": f} for s, e, p, f in candidates(text, spans)])
+            found.append([{"kind": k, "s": s, "e": e, "pattern": p, "features": f}
+                          for k, s, e, p, f in all_candidates(text, spans)])
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("h"), pa.array(base, base_t), pa.array(found, found_t)],
             names=["doc_id", "h", "base", "found"])
@@ -210,21 +342,23 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 60) -> dict[i
     return prob
 
 
-def _soft(prob: dict[int, float]):
-    """Adds to every feature the soft labels of its tokens, in millionths, per batch."""
+def _soft(prob: dict[int, dict[int, float]]):
+    """Adds to every kind's features the soft labels of its candidates, in millionths, per batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             pos, all_ = {}, {}
             for found in b.column("found").to_pylist():
                 for c in found or ():
-                    w = round(1e6 * prob.get(c["pattern"], 0.5))
+                    w = round(1e6 * prob[c["kind"]].get(c["pattern"], 0.5))
                     for f in (-1, *c["features"]):
-                        pos[f] = pos.get(f, 0) + w
-                        all_[f] = all_.get(f, 0) + 1_000_000
+                        key = c["kind"], f
+                        pos[key] = pos.get(key, 0) + w
+                        all_[key] = all_.get(key, 0) + 1_000_000
             keys = sorted(all_)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int32()), pa.array([pos[k] for k in keys], pa.int64()),
-                 pa.array([all_[k] for k in keys], pa.int64())], names=["feature", "pos", "n"])
+                [pa.array([k for k, _ in keys], pa.int32()), pa.array([f for _, f in keys], pa.int32()),
+                 pa.array([pos[k] for k in keys], pa.int64()), pa.array([all_[k] for k in keys], pa.int64())],
+                names=["kind", "feature", "pos", "n"])
     return run
 
 
@@ -238,34 +372,39 @@ def naive_bayes(rows: list[tuple[int, int, int]]) -> tuple[float, dict[int, floa
             {f: math.log(p / (pos + 16)) - math.log(q / (neg + 16)) for f, (p, q) in mass.items()})
 
 
-def _decide(bias: float, weights: dict[int, float]):
-    names = ["doc_id", "h", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", "n_secret", "spans", "span_list"]
+def _decide(models: dict[int, tuple[float, dict[int, float]]]):
+    columns = ["doc_id", "h", *[f"n_{k}" for k in BASE_KINDS], "base_sha256", *[f"n_{k}" for k in LEARNED_KINDS], "spans",
+               "span_list"]
+
+    def accepted(c: dict) -> bool:
+        bias, weights = models[c["kind"]]
+        return bias + sum(weights.get(f, 0.0) for f in c["features"]) > 0
+
     span_t = pa.list_(pa.struct([("kind", pa.string()), ("s", pa.int64()), ("e", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts, sha, secret, spans, lists = [], [], [], [], []
+            counts, sha, learned, spans, lists = [], [], [], [], []
             for base, found in zip(b.column("base").to_pylist(), b.column("found").to_pylist(), strict=True):
                 own = [(x["kind"], x["s"], x["e"]) for x in base or ()]
-                more = [(len(BASE_KINDS), c["s"], c["e"]) for c in found or ()
-                        if bias + sum(weights.get(f, 0.0) for f in c["features"]) > 0]
+                more = [(c["kind"], c["s"], c["e"]) for c in found or () if accepted(c)]
                 text = ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(own))
                 counts.append([sum(k == j for k, _, _ in own) for j in range(len(BASE_KINDS))])
                 sha.append(hashlib.sha256(text.encode()).hexdigest())
-                secret.append(len(more))
+                learned.append([sum(k == j for k, _, _ in more) for j in (SECRET, NAME, ID)])
                 spans.append(",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(own + more)))
                 lists.append([{"kind": KINDS[k], "s": s, "e": e} for k, s, e in sorted(own + more)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("h"),
                  *[pa.array([c[j] for c in counts], pa.int64()) for j in range(len(BASE_KINDS))],
-                 pa.array(sha, pa.string()), pa.array(secret, pa.int64()), pa.array(spans, pa.string()),
-                 pa.array(lists, span_t)], names=names)
+                 pa.array(sha, pa.string()), *[pa.array([c[j] for c in learned], pa.int64()) for j in range(len(LEARNED_KINDS))],
+                 pa.array(spans, pa.string()), pa.array(lists, span_t)], names=columns)
     return run
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, h (hash of the text), n_email, n_ip,
-    n_card, n_phone, base_sha256, n_secret, spans ("kind:start:end", by kind and
+    n_card, n_phone, base_sha256, n_secret, n_name, n_id, spans ("kind:start:end", by kind and
     start, comma-joined; code points, end exclusive) and span_list (the same, typed).
 
     A null text counts as empty: no spans, the digest of the empty string. Rows
@@ -276,16 +415,17 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("h"),
                         F.col(text_col).alias("text"))
     scanned = staged(arrow_map(texts, _scan, _SCAN), "pii_scan")
-    patterns = (scanned.select(F.explode("found").alias("c")).groupBy("c.pattern").count()).collect()
-    prob = expectation_maximisation({r[0]: r[1] for r in patterns})  # at most 3**7 rows
+    patterns = scanned.select(F.explode("found").alias("c")).groupBy("c.kind", "c.pattern").count().collect()
+    prob = {k: expectation_maximisation({r[1]: r[2] for r in patterns if r[0] == k})  # at most 3**7 rows a kind
+            for k in (SECRET, NAME, ID)}
     rows = (arrow_map(scanned.filter(F.size("found") > 0).select("found"), _soft(prob),
-                      "feature int, pos long, n long")
-            .groupBy("feature").agg(F.sum("pos"), F.sum("n")).collect())  # at most 16 per feature
-    bias, weights = naive_bayes(sorted((r[0], r[1], r[2]) for r in rows))
+                      "kind int, feature int, pos long, n long")
+            .groupBy("kind", "feature").agg(F.sum("pos"), F.sum("n")).collect())  # at most 16 per feature
+    models = {k: naive_bayes(sorted((r[1], r[2], r[3]) for r in rows if r[0] == k)) for k in (SECRET, NAME, ID)}
     return arrow_map(
-        scanned, _decide(bias, weights),
-        "doc_id long, h long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-        "n_secret long, spans string, span_list array<struct<kind:string,s:long,e:long>>")
+        scanned, _decide(models),
+        "doc_id long, h long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_secret long, "
+        "n_name long, n_id long, spans string, span_list array<struct<kind:string,s:long,e:long>>")
 
 
 def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,8 +447,10 @@ def mask_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` (same columns) with every span replaced by its kind in angle
     brackets; overlapping spans become one. Null texts stay null; rows without
     an id are masked as well."""
-    found = (find_pii(docs, id_col, text_col).filter("spans != ''")
-             .select(F.col("doc_id").alias("k0"), F.col("h").alias("k1"), "span_list").dropDuplicates(["k0", "k1"]))
+    # Written, so that the planner knows its size and moves no text where it is small.
+    found = staged(find_pii(docs, id_col, text_col).filter("spans != ''")
+                   .select(F.col("doc_id").alias("k0"), F.col("h").alias("k1"), "span_list").dropDuplicates(["k0", "k1"]),
+                   "spans")
     cols = docs.columns
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols) if c != text_col]).alias("rest"),

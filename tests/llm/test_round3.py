@@ -428,3 +428,39 @@ def test_a_contained_passage_with_another_partner_stays(spark):
     df = spark.createDataFrame([row(i, " ".join(w)) for i, w in rows], SCHEMA)
     got = fuzzy_passages(df).collect()
     assert {r.doc_id for r in got} | {r.other_doc_id for r in got} == {1, 2, 3}
+
+
+def test_names_and_numbers_are_learned(spark):
+    """Titles, labels, given names, formats and check digits vote; the classifier takes persons and numbers, not their look-alikes."""
+    rng = random.Random(31)
+    family = ["Smith", "Müller", "Dupont", "García", "O'Brien", "Weiß", "Novak", "Rossi"]
+    rows, want = [], {}
+    for i in range(300):
+        filler = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(8))
+        kind = i % 6
+        if kind == 0:
+            hit, text = f"{rng.choice(['John', 'Anna', 'Klaus'])} {rng.choice(family)}", f"{filler} {{}} {filler}"
+        elif kind == 1:
+            hit, text = f"{rng.choice(['Ellen', 'Tom'])} {rng.choice(family)}", f"{filler} {rng.choice(['Mr. ', 'Frau ', 'Mme '])}{{}}, {filler}"
+        elif kind == 2:
+            hit, text = f"{rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}", f"{filler} ssn: {{}} {filler}"
+        elif kind == 3:
+            bank = "".join(str(rng.randrange(10)) for _ in range(18))
+            check = 98 - int("".join(str(int(c, 36)) for c in bank + "DE00")) % 97
+            hit = f"DE{check:02d}{bank}"
+            text = f"{filler} account {{}} {filler}"
+        elif kind == 4:
+            hit, text = None, f"The Name of the rose. {filler}. And The This. Dr. {filler}"
+        else:
+            hit, text = None, f"{filler} 000-00-0000 and 666-00-{rng.randrange(1000, 9999)} {filler}"
+        text = text.format(hit)
+        rows.append((i, text))
+        want[i] = (("name" if kind < 2 else "id"), text.index(hit), text.index(hit) + len(hit)) if hit else None
+    docs = spark.createDataFrame([row(*r) for r in rows], SCHEMA)
+    got = {r.doc_id: r for r in op8_pii.find_pii(docs).collect()}
+    for i, hit in want.items():
+        found = [(x.kind, x.s, x.e) for x in got[i].span_list if x.kind in ("name", "id")]
+        assert found == ([hit] if hit else []), (rows[i], found)
+        assert (got[i].n_name, got[i].n_id) == (int(bool(hit) and hit[0] == "name"), int(bool(hit) and hit[0] == "id"))
+    masked = {r.doc_id: r.text for r in op8_pii.mask_pii(docs).collect()}
+    assert "<NAME>" in masked[0] and rows[0][1][want[0][1]:want[0][2]] not in masked[0]
