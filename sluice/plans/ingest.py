@@ -146,8 +146,9 @@ def run_items(spark: SparkSession, items: DataFrame, source_of: Callable[[Row],
     A run that is started again under its ``run_id`` after a lost driver goes
     on with the items that have no good outcome yet; one that was cut off
     in the middle is repeated from its extract, which changes nothing twice.
-    The log also holds each item's high-water mark. The driver walks over the
-    items, which are jobs, not rows: the control table bounds them.
+    The log also holds each item's high-water mark; of past runs only the
+    latest good outcome of each item is needed, so older folders of the log may
+    be deleted. The driver walks over the items, which are jobs, not rows: the control table bounds them.
     """
     log_path = log_path or f"{raw_root.rstrip('/')}/_outcomes"
     past = read_outcomes(spark, log_path)
