@@ -576,8 +576,8 @@ def test_long_queries_with_near_ties(seed):
     names = np.arange(1, terms + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     order = np.lexsort((names[term], doc))
     doc, term = doc[order], term[order]
-    shard = op1_search.Shard(np.arange(n), doc, names[term], np.ones(len(doc), np.int32),
-                             present.sum(axis=1).astype(np.int64), float(terms))
+    shard = op1_search.Shard([np.arange(n), doc, names[term], np.ones(len(doc), np.int32),
+                              present.sum(axis=1).astype(np.int64)], float(terms))
     # Weights between 5 and 5.0001: all scores lie close to each other, in the ten thousands.
     weights = 5 + 1e-4 * rng.random(terms)
     by_name = np.argsort(names)
