@@ -167,13 +167,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                 **limits: int) -> DataFrame:
     """``docs`` without the rejected rows; the frequent lines of the others are cut out of their texts."""
-    # Written, so that the planner knows its size and moves no text where it is small.
     verdicts = staged(quality(docs, id_col, text_col, host_col, **limits).filter("not kept or size(removed_lines) > 0")
                       .select("doc_id", "h", "host", "kept", "removed_lines").distinct(), "verdicts")
     d = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
                     F.col(f"`{id_col}`").cast("long").alias("k_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("k_h"),
                     F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("\x00")).alias("k_host"))
-    joined = d.join(verdicts, F.col("k_id").eqNullSafe(F.col("doc_id")) & (F.col("k_h") == F.col("h"))
+    # The verdicts have no size bound: one plan at every size, no broadcast.
+    joined = d.join(verdicts.hint("merge"), F.col("k_id").eqNullSafe(F.col("doc_id")) & (F.col("k_h") == F.col("h"))
                     & (F.col("k_host") == F.col("host")), "left").filter("kept is null or kept")
     at = docs.columns.index(text_col)
     cut = arrow_map(joined.select(*[f"c{i}" for i in range(len(docs.columns))], "removed_lines"), _cut(f"c{at}"),
