@@ -21,7 +21,8 @@ One upsert run:
 4. Touched folders and batch are merged by one of two plans (``plan_upsert``):
    the *shuffle* merge (both shuffled once by folder, newer row per key kept)
    or the *broadcast* merge (no target row shuffled: broadcast semi/anti joins
-   on the batch keys inside the target scan).
+   on the batch keys inside the target scan). Batch keys over the broadcast
+   bound are merged in parts by folder, one after the other, each under it.
 5. The merged rows are written as a new version of the touched folders, and the
    pointer file is replaced in one rename. Untouched folders keep their files.
 
@@ -67,6 +68,9 @@ VERSION_COL = "sluice_version"
 _META_FILE = "_sluice_table.json"
 _QUARANTINE = "_sluice_quarantine"
 _SPLIT = "__sluice_split"
+_BYTES = "__sluice_bytes"
+_SPEC = "__sluice_folder"
+_PART = "__sluice_part"
 
 
 def bucket_of(keys: Sequence[str], num_buckets: int) -> Column:
@@ -169,15 +173,17 @@ def _switch(spark: SparkSession, path: str, meta: dict) -> None:
         fs.makeQualified(tmp), fs.makeQualified(p), how)
 
 
-def _publish(spark: SparkSession, path: str, rows: DataFrame, meta: dict, base: str | None) -> list[str]:
-    """Write ``rows`` as a new version of their folders, then switch to it.
+def _publish(spark: SparkSession, path: str, parts: Sequence[DataFrame], meta: dict, base: str | None) -> list[str]:
+    """Write the rows of ``parts``, one after the other, as a new version of
+    their folders, then switch to it.
 
     ``meta["folders"]`` are the folders that stay; ``base`` is the version the
     rows were made from. Returns the names of the new folders.
     """
     version = uuid.uuid4().hex[:16]
     columns = [*meta["partition_by"], BUCKET_COL]
-    rows.write.partitionBy(*columns).parquet(f"{path}/{VERSION_COL}={version}")
+    for rows in parts:
+        rows.write.mode("append").partitionBy(*columns).parquet(f"{path}/{VERSION_COL}={version}")
     names = partition_folders(spark, f"{path}/{VERSION_COL}={version}", len(columns))
     now = read_meta(spark, path)["version"] if table_exists(spark, path) else None
     if now != base:
@@ -339,7 +345,7 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     meta = {"num_buckets": num_buckets, "splits": splits, "keys": list(keys), "partition_by": lead,
             "schema": schema.jsonValue(), "folders": {}}
-    _publish(spark, path, _spread(rows, keys, splits, lead), meta, base)
+    _publish(spark, path, [_spread(rows, keys, splits, lead)], meta, base)
     return UpsertResult(path, run_id, None, {**obs.get, "rows_quarantined": n_rejected}, quarantine)
 
 
@@ -355,11 +361,12 @@ SHUFFLE_MAX_BYTES = 1 << 30
 
 @dataclass
 class UpsertPlan:
-    merged: DataFrame | None
+    merged: DataFrame | None  # the first part's rows
     quarantine: DataFrame
     meta: dict
     strategy: str = "none"
     staging: str | None = None
+    parts: list[DataFrame] = field(default_factory=list)  # disjoint; written one after the other
 
 
 def _shuffle_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -404,11 +411,31 @@ def _broadcast_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
     return kept.unionByName(winners)
 
 
+def _merge_parts(folders: Sequence[tuple[str, int]], limit: int) -> list[tuple[list[str], int, int]]:
+    """Parts (folders, slices, slice) of a merge whose batch keys are at most
+    about ``limit`` bytes each: folders (name, bytes of batch keys) next to each
+    other, or, of a folder that is larger by itself, one slice by key hash."""
+    parts: list[tuple[list[str], int, int]] = []
+    held = 0
+    for name, size in folders:
+        if size > limit:
+            n = size * 5 // (4 * limit) + 1  # hash slices are not quite equal
+            parts += [([name], n, k) for k in range(n)]
+            held = limit
+            continue
+        if not parts or held + size > limit:
+            parts.append(([], 1, 0))
+            held = 0
+        parts[-1][0].append(name)
+        held += size
+    return parts
+
+
 def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
                 precombine: Sequence[str | Column], run_id: str,
                 tiebreak: Sequence[str | Column] = (), strategy: str = "auto",
                 broadcast_bytes: int = MERGE_BROADCAST_BYTES,
-                shuffle_max_bytes: int = SHUFFLE_MAX_BYTES) -> UpsertPlan:
+                shuffle_max_bytes: int = SHUFFLE_MAX_BYTES, in_parts: bool = False) -> UpsertPlan:
     """Build (without writing) the merged rows of the touched folders.
 
     ``strategy``: ``"shuffle"`` (window merge per folder), ``"broadcast"`` (no
@@ -419,6 +446,12 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     table size in the file listing the driver already holds, times the share
     of touched folders. Jobs run here: the batch's write (which also counts
     and measures it) and the list of its folders.
+
+    A broadcast merge whose batch keys are over ``broadcast_bytes`` is an error
+    unless ``in_parts``: then it is planned as several merges of some folders
+    each (of a slice by key hash of a single large folder), whose batch keys
+    are under it. Which folders go together is decided on the driver from one
+    row per touched folder, which is what the table's pointer holds too.
     """
     meta = read_meta(spark, path)
     n, keys, splits = int(meta["num_buckets"]), _stored_keys(meta, keys, path), int(meta["splits"])
@@ -456,15 +489,36 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
     # count as selective, so the planner prunes the scan by it at run time.
     folder = [*lead, BUCKET_COL]
     seen = Observation("folders")
-    touched = latest.select(*folder).distinct().coalesce(1)
+    touched = latest.groupBy(*folder).agg(F.sum(width).cast("long").alias(_BYTES)).coalesce(1)
     touched.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{staged}/folders")
     touched = spark.read.schema(touched.schema).parquet(f"{staged}/folders").filter(F.col(BUCKET_COL) >= 0)
     incoming = with_meta(latest, keys, run_id, lead)
-    existing = target.join(F.broadcast(touched), folder, "left_semi").select(*target.columns)
 
+    def touched_rows(folders: DataFrame) -> DataFrame:
+        return target.join(F.broadcast(folders.select(*folder)), folder, "left_semi").select(*target.columns)
+
+    existing = touched_rows(touched)
     if strategy == "broadcast" and key_bytes > broadcast_bytes:
-        remove(spark, staged)
-        raise ValueError(f"batch keys of {key_bytes} bytes are over the broadcast bound of {broadcast_bytes}")
+        if not in_parts:
+            remove(spark, staged)
+            raise ValueError(f"batch keys of {key_bytes} bytes are over the broadcast bound of {broadcast_bytes}")
+        spec = F.to_json(F.array(*[F.col(c).cast("string") for c in folder]))
+        by_name = [(r[0], r[1]) for r in touched.select(spec, _BYTES).orderBy(*folder).collect()]
+        parts = _merge_parts(by_name, broadcast_bytes)
+        listed = [(name, k) for k, (names, _, _) in enumerate(parts) for name in names]
+        (touched.join(F.broadcast(spark.createDataFrame(listed, f"{_SPEC} string, {_PART} int")),
+                      F.col(_SPEC) == spec).select(*folder, _PART).coalesce(1).write.parquet(f"{staged}/parts"))
+        dealt = spark.read.parquet(f"{staged}/parts")
+        merges = []
+        for k, (_, slices, piece) in enumerate(parts):
+            mine = dealt.filter(F.col(_PART) == k)
+            sides = [touched_rows(mine), incoming.join(F.broadcast(mine.select(*folder)), folder, "left_semi")
+                     .select(*incoming.columns)]
+            if slices > 1:
+                here = F.pmod(F.xxhash64(*[F.col(c) for c in identity]), F.lit(slices)) == piece
+                sides = [s.filter(here) for s in sides]
+            merges.append(_broadcast_merge(*sides, identity, precombine))
+        return UpsertPlan(merges[0], quarantine, meta, strategy, staged, merges)
     if strategy == "auto":
         table_bytes = int(target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         touched_bytes = table_bytes * min(int(seen.get["n"]), len(meta["folders"])) // max(1, len(meta["folders"]))
@@ -473,7 +527,7 @@ def plan_upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence
         merged = _broadcast_merge(existing, incoming, identity, precombine)
     else:
         merged = _shuffle_merge(existing, incoming, keys, precombine, splits, lead)
-    return UpsertPlan(merged, quarantine, meta, strategy, staged)
+    return UpsertPlan(merged, quarantine, meta, strategy, staged, [merged])
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str],
@@ -499,18 +553,20 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
         return create_table(spark, batch, path, keys, precombine, num_buckets, run_id, tiebreak, splits, partition_by)
 
     plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy,
-                       **plan_options)
+                       **{"in_parts": True, **plan_options})
     try:
         n_rejected, quarantine = _write_quarantine(spark, plan.quarantine, path, run_id)
         if plan.merged is None:
             return UpsertResult(path, run_id, [], {"rows_written": 0, "rows_quarantined": n_rejected},
                                 quarantine, "none")
-        obs = Observation("upsert")
-        merged = plan.merged.observe(
+        seen = [Observation(f"upsert_{k}") for k in range(len(plan.parts))]
+        parts = [part.observe(
             obs, F.count(F.lit(1)).alias("rows_written"),
             F.count_if(F.col(COMMIT_TIME) == F.lit(run_id)).alias("rows_from_batch"))
-        touched = _publish(spark, path, merged, plan.meta, plan.meta["version"])
-        return UpsertResult(path, run_id, touched, {**obs.get, "rows_quarantined": n_rejected}, quarantine,
+            for part, obs in zip(plan.parts, seen, strict=True)]
+        touched = _publish(spark, path, parts, plan.meta, plan.meta["version"])
+        totals = {k: sum(int(obs.get[k]) for obs in seen) for k in ("rows_written", "rows_from_batch")}
+        return UpsertResult(path, run_id, touched, {**totals, "rows_quarantined": n_rejected}, quarantine,
                             plan.strategy)
     finally:
         if plan.staging:

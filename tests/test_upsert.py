@@ -246,6 +246,26 @@ def test_broadcast_never_exceeds_bound(spark, tmp_dir):
         plan_upsert(spark, batch, path, ["k1", "k2"], ["ts"], "rb", strategy="broadcast", broadcast_bytes=500)
 
 
+def test_broadcast_merge_over_the_bound_goes_in_parts(spark, tmp_dir):
+    from sluice.sinks.upsert import _merge_parts
+    assert _merge_parts([("a", 4), ("b", 5), ("c", 3), ("d", 25), ("e", 1)], 10) == [
+        (["a", "b"], 1, 0), (["c"], 1, 0), *[(["d"], 4, k) for k in range(4)], (["e"], 1, 0)]
+    batch = [(i, f"x{i % 3}", (9, 10, 11, None)[i % 4], f"b{i}") for i in range(20, 90)]
+    batch += [(i, f"x{i % 3}", 8, "older") for i in range(20, 90)]
+    states, written = [], []
+    # One merge; several folders a part; slices of a folder.
+    for name, bound in (("whole", 1 << 20), ("folders", 3000), ("slices", 500)):
+        path = f"{tmp_dir}/{name}"
+        upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=6)
+        res = upsert(spark, _df(spark, batch), path, ["k1", "k2"], ["ts"], run_id="parts", strategy="broadcast",
+                     broadcast_bytes=bound)
+        assert res.strategy == "broadcast"
+        states.append(_state(spark, path))
+        written.append((res.metrics["rows_written"], res.metrics["rows_from_batch"]))
+        assert len(snapshot(spark, path).select("k1", "k2").distinct().collect()) == snapshot(spark, path).count()
+    assert states[0] == states[1] == states[2] and len(set(written)) == 1
+
+
 def test_stored_keys_rule(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     upsert(spark, _df(spark, BASE), path, ["k1", "k2"], ["ts"], num_buckets=4)
