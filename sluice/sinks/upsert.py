@@ -226,8 +226,8 @@ def drop_old_versions(spark: SparkSession, path: str, older_than_s: float) -> in
     return n
 
 
-def _write_quarantine(spark: SparkSession, rejected: DataFrame, path: str, run_id: str
-                      ) -> tuple[int, DataFrame | None]:
+def quarantine_rows(spark: SparkSession, rejected: DataFrame, path: str, run_id: str
+                    ) -> tuple[int, DataFrame | None]:
     """Rows with a NULL key, kept below the table; a repeated run replaces its own."""
     folder = f"{path}/{_QUARANTINE}/{re.sub('[^A-Za-z0-9_.-]', '_', run_id)}"
     obs = Observation("quarantine")
@@ -340,7 +340,7 @@ def create_table(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[s
     # Partition columns last, as the partitioned reader returns them.
     last = [*lead, BUCKET_COL]
     schema = StructType([f for f in rows.schema.fields if f.name not in last] + [rows.schema[c] for c in last])
-    n_rejected, quarantine = _write_quarantine(spark, rejected, path, run_id)
+    n_rejected, quarantine = quarantine_rows(spark, rejected, path, run_id)
     obs = Observation("create")
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     meta = {"num_buckets": num_buckets, "splits": splits, "keys": list(keys), "partition_by": lead,
@@ -555,7 +555,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str]
     plan = plan_upsert(spark, batch, path, keys, precombine, run_id, tiebreak, strategy=strategy,
                        **{"in_parts": True, **plan_options})
     try:
-        n_rejected, quarantine = _write_quarantine(spark, plan.quarantine, path, run_id)
+        n_rejected, quarantine = quarantine_rows(spark, plan.quarantine, path, run_id)
         if plan.merged is None:
             return UpsertResult(path, run_id, [], {"rows_written": 0, "rows_quarantined": n_rejected},
                                 quarantine, "none")
