@@ -2,11 +2,14 @@
 
 Each page's html is cut into blocks; scripts, styles, menus, headers, footers,
 sidebars, notices, adverts, forms and comments are left out by element, role
-and class, up to where HTML ends them, also without their end tag. If the page marks its article (``article``, else ``main``), its
-text is what that holds. A page that marks none is compared with the nearest
+and class, up to where HTML ends them, also without their end tag. If the page marks its article (``article``, else ``main``),
+only what that holds is looked at. Every page is compared with the nearest
 page of its host in URL path order: both pages' lines are aligned by their
-longest common subsequence and the shared lines, the site's frame, are
-deleted. If the shared lines are more than half of either page the two are
+longest common subsequence, and the shared lines are taken for the site's frame
+and deleted by units. Where no markup says what belongs together a unit is a
+line; an ``article`` element is one unit, deleted if all its lines are shared
+(the same teaser on both pages) and whole otherwise: a line that two articles
+have in common belongs to both. If the shared lines are more than half of either page the two are
 copies of each other, which tells nothing about a frame, and all lines stay.
 
 Neighbours are found on one global range order of (host, path), so a host
@@ -19,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -100,6 +104,7 @@ class _Open:
     def __init__(self) -> None:
         self.stack: list[tuple[str, bool]] = []
         self.depth = {"article": 0, "main": 0}  # those whose content counts
+        self.articles = 0  # so far, not counting those inside another one
 
     def off(self) -> bool:
         return bool(self.stack) and self.stack[-1][1]
@@ -107,6 +112,7 @@ class _Open:
     def push(self, name: str, off: bool) -> None:
         self.stack.append((name, off))
         if name in self.depth and not off:
+            self.articles += name == "article" and not self.depth[name]
             self.depth[name] += 1
 
     def pop_to(self, k: int) -> None:
@@ -150,15 +156,18 @@ class _Open:
                 return  # nor any other out of a table's cell
 
 
-def page_lines(page: str) -> tuple[list[str], bool]:
-    """(lines, whether the page marks its article): the lines of the article,
-    or of everything that no rule leaves out.
+def page_units(page: str) -> tuple[list[str], list[int], bool]:
+    """(lines, the unit of each, whether the page marks its article): the lines
+    of the article, or of everything that no rule leaves out.
+
+    Lines of one ``article`` element, or of ``main``, are one unit; on a page
+    that marks nothing every line is its own.
 
     A left-out element ends with its end tag, with that of an element around
     it, or where HTML implies its end. An article inside a menu, header or form
     (a form round the whole page, a menu that nobody closed) counts.
     """
-    blocks: list[tuple[str, int]] = []
+    blocks: list[tuple[str, int, int]] = []
     parts: list[str] = []
     seen = {"article": False, "main": False}
     tree = _Open()
@@ -168,7 +177,7 @@ def page_lines(page: str) -> tuple[list[str], bool]:
             line = " ".join("".join(parts).split())
             parts.clear()
             if line:
-                blocks.append((line, 2 if tree.depth["article"] else 1 if tree.depth["main"] else 0))
+                blocks.append((line, 2 if tree.depth["article"] else 1 if tree.depth["main"] else 0, tree.articles))
 
     for m in _TOKEN.finditer(page):
         text = m.group("text")
@@ -205,7 +214,15 @@ def page_lines(page: str) -> tuple[list[str], bool]:
             seen[name] = True
     flush()
     level = 2 if seen["article"] else 1 if seen["main"] else 0
-    return [line for line, at in blocks if at >= level], level > 0
+    lines = [line for line, at, _ in blocks if at >= level]
+    units = [unit if level == 2 else 0 for _, at, unit in blocks if at >= level] if level else list(range(len(lines)))
+    return lines, units, level > 0
+
+
+def page_lines(page: str) -> tuple[list[str], bool]:
+    """(lines, whether the page marks its article), see ``page_units``."""
+    lines, _, marked = page_units(page)
+    return lines, marked
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -239,8 +256,16 @@ def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             + [(len(a) - k, len(b) - k) for k in range(hi, 0, -1)])
 
 
+def whole_units(lines: list[int], units: list[int]) -> list[int]:
+    """Those of the lines ``lines`` (indexes, ascending) whose unit is among them as a whole."""
+    if not lines:
+        return []
+    size, got = Counter(units), Counter(units[i] for i in lines)
+    return [i for i in lines if got[units[i]] == size[units[i]]]
+
+
 def shared_lines(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> list[int]:
-    """Indexes of ``a``'s lines to delete, given its neighbour's lines."""
+    """Indexes of ``a``'s lines that its neighbour has too, if they may be a frame."""
     both = common_lines(a, b)
     if (2 * sum(a_sizes[i] for i, _ in both) > sum(a_sizes)
             or 2 * sum(b_sizes[j] for _, j in both) > sum(b_sizes)):
@@ -266,24 +291,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What differencing needs of a page: its place, and its lines' hashes and sizes."""
-    longs = pa.list_(pa.int64())
+    """What differencing needs of a page: its place, and its lines' hashes, sizes and units."""
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
     for b in batches:
-        rows = [page_lines(h.as_py() or "") for h in b.column("html")]
+        rows = [page_units(h.as_py() or "") for h in b.column("html")]
         places = [_host_path(u.as_py()) for u in b.column("url")]
         yield pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in places]), pa.array([p[1] for p in places]), b.column("page_id"), b.column("h"),
-             pa.array([not r[1] for r in rows]),
-             # Only pages that mark no article, and so may be a partner of one, carry lines.
              pa.array([[_line_key(x) for x in r[0]] for r in rows], longs),
-             pa.array([[len(x) for x in r[0]] for r in rows], longs)],
-            names=["host", "path", "page_id", "h", "open", "lines", "sizes"])
+             pa.array([[len(x) for x in r[0]] for r in rows], ints), pa.array([r[1] for r in rows], ints)],
+            names=["host", "path", "page_id", "h", "lines", "sizes", "units"])
 
 
-_OUTLINE = "host string, path string, page_id long, h long, open boolean, lines array<long>, sizes array<long>"
+_OUTLINE = ("host string, path string, page_id long, h long, lines array<long>, sizes array<int>, units array<int>")
 _RELATION = ("page_id long, h long, near int, before boolean, removed array<long>, "
-             "edge struct<host:string,path:string,page_id:long,h:long,open:boolean,lines:array<long>,"
-             "sizes:array<long>,first:boolean,last:boolean>")
+             "edge struct<host:string,path:string,page_id:long,h:long,lines:array<long>,"
+             "sizes:array<int>,units:array<int>,first:boolean,last:boolean>")
 
 
 def _prefix(a: str, b: str) -> int:
@@ -296,19 +319,19 @@ def _prefix(a: str, b: str) -> int:
 
 
 def _relations(a: dict, b: dict) -> Iterator[dict]:
-    """What a pair of neighbouring pages says about each that marks no article."""
+    """What a pair of neighbouring pages says about each."""
     if a["host"] == b["host"]:
         near = _prefix(a["path"], b["path"])
         for x, y, before in ((a, b, False), (b, a, True)):
-            if x["open"]:
-                yield {"page_id": x["page_id"], "h": x["h"], "near": near, "before": before,
-                       "removed": shared_lines(x["lines"], x["sizes"], y["lines"], y["sizes"]), "edge": None}
+            shared = shared_lines(x["lines"], x["sizes"], y["lines"], y["sizes"])
+            yield {"page_id": x["page_id"], "h": x["h"], "near": near, "before": before,
+                   "removed": whole_units(shared, x["units"]), "edge": None}
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
     edge = pa.struct([("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("h", pa.int64()),
-                      ("open", pa.bool_()), ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-                      ("first", pa.bool_()), ("last", pa.bool_())])
+                      ("lines", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+                      ("units", pa.list_(pa.int32())), ("first", pa.bool_()), ("last", pa.bool_())])
     return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
         ("page_id", pa.int64()), ("h", pa.int64()), ("near", pa.int32()), ("before", pa.bool_()),
         ("removed", pa.list_(pa.int64())), ("edge", edge)]))
@@ -355,7 +378,7 @@ def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def template_lines(pages: DataFrame) -> DataFrame:
-    """(page_id, h, removed) for pages that mark no article and share lines with
+    """(page_id, h, removed) for pages that share whole units of lines with
     their nearest neighbour; ``pages`` has page_id, h, url, html."""
     place = ["host", "path", "page_id", "h"]
     outline = staged(arrow_map(pages, _outline, _OUTLINE), "outline")
@@ -365,8 +388,9 @@ def template_lines(pages: DataFrame) -> DataFrame:
              .sortWithinPartitions(*[f"edge.{c}" for c in place], F.desc("edge.first")))
     pairs = found.filter("edge is null").unionByName(arrow_map(edges, _between, _RELATION))
     # Of its two neighbours, the page's nearer one: longer common path, then the one before.
-    return (pairs.groupBy("page_id", "h").agg(F.max(F.struct("near", "before", "removed")).alias("best"))
-            .select("page_id", "h", F.col("best.removed").alias("removed")).filter(F.size("removed") > 0))
+    removed = (pairs.groupBy("page_id", "h").agg(F.max(F.struct("near", "before", "removed")).alias("best"))
+               .select("page_id", "h", F.col("best.removed").alias("removed")).filter(F.size("removed") > 0))
+    return staged(removed, "removed")  # few pages: the join with all texts goes by what is left, not by all relations
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
