@@ -2,7 +2,7 @@
 
 import random
 
-from sluice.llm import op9_html
+from sluice.llm import op9_html, op10_chains
 
 
 def test_differencing_decides_about_the_articles_of_marked_pages(spark):
@@ -37,3 +37,37 @@ def test_units_of_a_page():
     assert op9_html.page_units("<main><p>a</p><p>b</p></main><p>c</p>") == (["a", "b"], [0, 0], True)
     assert op9_html.page_units("<p>a</p><p>b</p>") == (["a", "b"], [0, 1], False)
     assert op9_html.whole_units([0, 1, 3], [5, 5, 6, 6]) == [0, 1]
+
+
+def test_links_between_holders_of_popular_clauses(spark):
+    """Two popular halves in a row: only two documents (then ten) hold both, and each half has another hub."""
+    rng = random.Random(41)
+    fresh = lambda n: [f"v{rng.randrange(10 ** 9)}" for _ in range(n)]
+    for holders, both in ((3, 2), (12, 2), (12, 10)):
+        left, right = fresh(30), fresh(30)
+        rows, i = [], 0
+        for part in (left, right):
+            for _ in range(holders):  # with more shared text, so that they are the hubs
+                rows.append((i, fresh(20) + part + fresh(20)))
+                i += 1
+        extra = fresh(45)
+        rows += [(i + k, fresh(9) + part + fresh(9) + extra) for k, part in enumerate((left, right, left, right))]
+        wanted = set(range(100, 100 + both))
+        rows += [(k, fresh(15) + left + fresh(1) + right + fresh(15)) for k in wanted]
+        docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id long, text string")
+        got = [r for r in op10_chains.fuzzy_passages(docs).collect()
+               if {r.doc_id, r.other_doc_id} <= wanted and r.end_word - r.start_word >= 60]
+        reached = {100}
+        for _ in wanted:
+            reached |= {x for r in got if {r.doc_id, r.other_doc_id} & reached for x in (r.doc_id, r.other_doc_id)}
+        assert reached == wanted, (holders, both)
+
+
+def test_copies_are_told_by_their_first_document(spark):
+    rng = random.Random(43)
+    fresh = lambda n: [f"v{rng.randrange(10 ** 9)}" for _ in range(n)]
+    whole = fresh(70)
+    rows = [(k, " ".join(whole)) for k in (5, 3, 9)] + [(7, " ".join(fresh(10) + whole)), (8, "short"), (6, "short")]
+    got = op10_chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [
+        (5, 0, 70, 3, 0, 70, 70), (7, 10, 80, 3, 0, 70, 70), (9, 0, 70, 3, 0, 70, 70)]
