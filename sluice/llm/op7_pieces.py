@@ -41,9 +41,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 20240229
 MARK = "▁"
-COURSES = 400_000  # kept per worker
+COURSES = 1_000_000  # kept per worker
 LONG_CHUNK = 64  # longer ones are encoded alone and not kept
-DOCS_AT_ONCE = 128
+DOCS_AT_ONCE, CHARS_AT_ONCE = 512, 1 << 21  # of a portion, whichever is reached first
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _M64 = (1 << 64) - 1
 
@@ -283,8 +283,9 @@ class Sampler:
         self.roots: dict[str, int] = {}  # chunk -> its course without a skip
         self.turns: dict[int, int] = {}  # course << 8 | number of the candidate skipped -> course
         self.chunk: list[str] = []
-        self.skip: list[tuple[int, int]] = []  # the course it follows from, and the skipped candidate's place in the flat arrays
         self.n = 0
+        # Per course: the one it follows from, and the skipped candidate's place in the flat arrays (-1: none).
+        self.skip_of, self.skip_at = (np.zeros(1 << 16, np.int64) for _ in range(2))
         # Per course: its candidates and ids in the flat arrays.
         self.cand_at, self.cand_n, self.id_at, self.id_n = (np.zeros(1 << 16, np.int64) for _ in range(4))
         self.place, self.rank, self.ids = (np.zeros(1 << 18, np.int32) for _ in range(3))
@@ -295,34 +296,45 @@ class Sampler:
     def _grown(x: np.ndarray, n: int) -> np.ndarray:
         return x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
 
-    def _barred(self, course: int, cand: int) -> frozenset:
-        """(place, rank) of a candidate and of those that its course has skipped before."""
-        out = []
-        while cand >= 0:
-            out.append((int(self.place[cand]), int(self.rank[cand])))
-            course, cand = self.skip[course]
-        return frozenset(out)
-
-    def _add(self, new: list[tuple[str, frozenset]], skip: list[tuple[int, int]]) -> None:
-        """Works off the courses of (chunk, skipped candidates)."""
-        codes = np.frombuffer("".join(c for c, _ in new).encode("utf-32-le"), np.uint32)
-        size = np.array([len(c) for c, _ in new])
+    def _barred(self, course: np.ndarray, cand: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number, place, rank) of every candidate and of those that its course has skipped before."""
+        k = np.flatnonzero(cand >= 0)
+        course, cand = course[k], cand[k]
+        found = [(k, cand)]
+        while len(k):
+            course, cand = self.skip_of[course], self.skip_at[course]
+            go = cand >= 0
+            k, course, cand = k[go], course[go], cand[go]
+            found.append((k, cand))
+        k, cand = (np.concatenate(x) for x in zip(*found, strict=True))
+        return k, self.place[cand].astype(np.int64), self.rank[cand].astype(np.int64)
+
+    def _add(self, new: list[str], skip_of: np.ndarray, skip_at: np.ndarray) -> None:
+        """Works off the courses of chunks; each follows ``skip_of`` up to the
+        candidate ``skip_at``, which it skips (-1: none)."""
+        codes = np.frombuffer("".join(new).encode("utf-32-le"), np.uint32)
+        size = np.fromiter(map(len, new), np.int64, len(new))
         odd = np.logical_or.reduceat(self.joins.char[codes] < 0, np.cumsum(size) - size)  # needs byte pieces
-        odd |= np.array([c == MARK for c, _ in new])
+        odd |= (size == 1) & (codes[np.cumsum(size) - size] == ord(MARK))
         plain = np.flatnonzero(~odd)
+        of, at, which = self._barred(skip_of, skip_at)
         rounds: list = []
         ids: list = [b""] * len(new)
         if len(plain):
-            barred = np.array(sorted(((k * LONG_CHUNK + i) << 24) | r for k, x in enumerate(plain.tolist())
-                                     for i, r in new[x][1]), np.int64)
-            done = encode_chunks([new[x][0] for x in plain], np.zeros(len(plain), np.uint64), self.pieces,
+            mine = ~odd[of]
+            barred = np.sort(_code((np.cumsum(~odd) - 1)[of[mine]], at[mine], which[mine]))
+            done = encode_chunks([new[x] for x in plain.tolist()], np.zeros(len(plain), np.uint64), self.pieces,
                                  self.joins, 0.0, barred, rounds)
             for x, b in zip(plain.tolist(), done, strict=True):
                 ids[x] = b
             rounds = [(plain[c], i, r) for c, i, r in rounds]
+        skipped: dict[int, set[tuple[int, int]]] = {}
+        for x, i, r in zip(*(v[odd[of]].tolist() for v in (of, at, which)), strict=True):
+            skipped.setdefault(x, set()).add((i, r))
         for x in np.flatnonzero(odd).tolist():
             taken: list = []
-            ids[x] = array("i", encode_chunk(*[new[x][0], self.pieces, 0, 0.0], new[x][1], taken)).tobytes()
+            ids[x] = array("i", encode_chunk(new[x], self.pieces, 0, 0.0, frozenset(skipped.get(x, ())),
+                                             taken)).tobytes()
             if taken:
                 i, r = np.array(taken, np.int64).T
                 rounds.append((np.full(len(i), x), i, r))
@@ -330,9 +342,10 @@ class Sampler:
         of, i, r = (np.concatenate(x) for x in zip(*rounds, strict=True)) if rounds else (none, none, none)
         order = np.argsort(of, kind="stable")
         n, count = self.n + len(new), np.bincount(of, minlength=len(new))
-        lengths = np.array([len(b) // 4 for b in ids])
-        self.cand_at, self.cand_n, self.id_at, self.id_n = (
-            self._grown(x, n) for x in (self.cand_at, self.cand_n, self.id_at, self.id_n))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.cand_at, self.cand_n, self.id_at, self.id_n, self.skip_of, self.skip_at = (
+            self._grown(x, n) for x in (self.cand_at, self.cand_n, self.id_at, self.id_n, self.skip_of, self.skip_at))
+        self.skip_of[self.n:n], self.skip_at[self.n:n] = skip_of, skip_at
         self.cand_n[self.n:n], self.cand_at[self.n:n] = count, self.n_cand + np.cumsum(count) - count
         self.id_n[self.n:n], self.id_at[self.n:n] = lengths, self.n_id + np.cumsum(lengths) - lengths
         m = self.n_cand + len(of)
@@ -345,8 +358,7 @@ class Sampler:
         self.ids = self._grown(self.ids, k)
         self.ids[self.n_id:k] = np.frombuffer(b"".join(ids), np.int32)
         self.n, self.n_cand, self.n_id = n, m, k
-        self.chunk += [c for c, _ in new]
-        self.skip += skip
+        self.chunk += new
 
     def _keys(self, n: int, doc: int) -> np.ndarray:
         """The keys of a document's ``n`` chunks."""
@@ -378,14 +390,14 @@ class Sampler:
             f = (skip[first] - (np.cumsum(size) - size)[row]) + at[row]
             todo, c, at = todo[row], c[row], f
             turn, back = np.unique(c << 8 | f, return_inverse=True)
-            turns = turn.tolist()
-            fresh = [t for t in turns if t not in self.turns]
-            if fresh:
-                first_new = self.n
-                skips = [(t >> 8, int(self.cand_at[t >> 8]) + (t & 255)) for t in fresh]
-                self._add([(self.chunk[p], self._barred(p, q)) for p, q in skips], skips)
-                self.turns.update(zip(fresh, range(first_new, self.n), strict=True))
-            course[todo] = np.array([self.turns[t] for t in turns], np.int64)[back]
+            after = np.fromiter(map(self.turns.get, turn.tolist(), repeat(-1)), np.int64, len(turn))
+            fresh = np.flatnonzero(after < 0)
+            if len(fresh):
+                t = turn[fresh]
+                after[fresh] = np.arange(self.n, self.n + len(t))
+                self._add([self.chunk[p] for p in (t >> 8).tolist()], t >> 8, self.cand_at[t >> 8] + (t & 255))
+                self.turns.update(zip(t.tolist(), after[fresh].tolist(), strict=True))
+            course[todo] = after[back]
         return course
 
     def encode_all(self, texts: list[str], docs: list[int]) -> list[np.ndarray]:
@@ -401,7 +413,8 @@ class Sampler:
         new = [c for c in {chunks[x] for x in unknown} if len(c) <= LONG_CHUNK]
         if new:
             first = self.n
-            self._add([(c, frozenset()) for c in new], [(-1, -1)] * len(new))
+            none = np.full(len(new), -1)
+            self._add(new, none, none)
             self.roots.update(zip(new, range(first, self.n), strict=True))
             course[unknown] = [self.roots.get(chunks[x], -1) for x in unknown]
         short = np.flatnonzero(course >= 0)
@@ -427,6 +440,18 @@ def decode_ids(ids, pieces: Pieces) -> str:
     return b"".join(map(pieces.blobs.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+def portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``DOCS_AT_ONCE``, and of ``CHARS_AT_ONCE`` but for a single one."""
+    lo = held = 0
+    for hi, size in enumerate(sizes):
+        if hi > lo and (hi - lo == DOCS_AT_ONCE or held + size > CHARS_AT_ONCE):
+            yield lo, hi
+            lo, held = hi, 0
+        held += size
+    if sizes:
+        yield lo, len(sizes)
+
+
 _samplers: dict[tuple, Sampler] = {}  # one per setting and worker process
 
 
@@ -438,8 +463,8 @@ def _encode(pieces: Pieces, dropout: float, seed: int):
             _samplers[setting] = Sampler(pieces, dropout, seed)
         enc = _samplers[setting]
         for b in batches:
-            for lo in range(0, b.num_rows, DOCS_AT_ONCE):
-                part = b.slice(lo, DOCS_AT_ONCE)
+            for lo, hi in portions([len(t) if t else 0 for t in b.column("text").to_pylist()]):
+                part = b.slice(lo, hi - lo)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 each = enc.encode_all(texts, [i or 0 for i in part.column("doc_id").to_pylist()])
                 lossless = [decode_ids(x, pieces) == t for x, t in zip(each, texts, strict=True)]

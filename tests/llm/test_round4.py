@@ -2,7 +2,10 @@
 
 import random
 
-from sluice.llm import op9_html, op10_chains
+import numpy as np
+import pytest
+
+from sluice.llm import op7_pieces, op9_html, op10_chains
 
 
 def test_differencing_decides_about_the_articles_of_marked_pages(spark):
@@ -71,3 +74,27 @@ def test_copies_are_told_by_their_first_document(spark):
     got = op10_chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in got) == [
         (5, 0, 70, 3, 0, 70, 70), (7, 10, 80, 3, 0, 70, 70), (9, 0, 70, 3, 0, 70, 70)]
+
+
+def test_portions_are_bounded_by_texts_and_characters(monkeypatch):
+    monkeypatch.setattr(op7_pieces, "DOCS_AT_ONCE", 3)
+    monkeypatch.setattr(op7_pieces, "CHARS_AT_ONCE", 10)
+    assert list(op7_pieces.portions([1, 1, 1, 1, 50, 4, 6, 1])) == [(0, 3), (3, 4), (4, 5), (5, 7), (7, 8)]
+    assert list(op7_pieces.portions([])) == [] and list(op7_pieces.portions([99])) == [(0, 1)]
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.6])
+def test_courses_with_skips_behind_skips(dropout):
+    """Chains of skipped candidates, plain chunks and those with byte pieces, against one occurrence at a time."""
+    pieces = op7_pieces.load_pieces()
+    rng = random.Random(5)
+    vocab = ["the", "internationalisation", "\u2603snow", "caf\u00e9", "a\u4e2db", "Straßenbahn", op7_pieces.MARK, "x" * 80]
+    texts = [" ".join(rng.choice(vocab) for _ in range(60)) for _ in range(30)]
+    sampler = op7_pieces.Sampler(pieces, dropout, 11)
+    for _ in range(2):  # the second time from kept courses
+        got = sampler.encode_all(texts, list(range(30)))
+        for doc, text in enumerate(texts):
+            chunks = pieces.chunk.findall(" " + text)
+            keys = sampler._keys(len(chunks), doc).tolist()
+            want = [i for c, k in zip(chunks, keys, strict=True) for i in op7_pieces.encode_chunk(c, pieces, k, dropout)]
+            assert np.array_equal(got[doc], want)
